@@ -1,4 +1,4 @@
-"""The queries of this subpackage: op1 to op10 over whole tables, and the pipeline."""
+"""The queries of this subpackage: op1 to op10 over whole tables."""
 
 from __future__ import annotations
 
@@ -6,17 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import common
+from siltstone.llm import common, langid, pii, simhash, substrings
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from siltstone.llm.substrings import remove_repeated
+    return substrings.remove_repeated(common.table(spark, sf_dir, "documents"), digest=True)
 
-    return remove_repeated(common.table(spark, sf_dir, "documents"), digest=True)
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(common.table(spark, sf_dir, "documents"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(common.table(spark, sf_dir, "documents"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(common.table(spark, sf_dir, "documents"))
+
+
+QUERIES = (op2_substring_dedup, op3_simhash, op6_pii, op10_language)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_substring_dedup": op2_substring_dedup}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
