@@ -20,14 +20,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import common
+from siltstone.llm import common, kernels
 
 BLOCK_BYTES = 4 << 20
-BLOCK_SCHEMA = "block_id long, doc_ids array<long>, texts array<string>"
+#: Texts of a block that the kernels take at once; what they need of it stays in a core's cache.
+PIECE_BYTES = 1 << 17
+BLOCK_SCHEMA = "block_id long, doc_ids array<long>, sizes array<int>, body binary"
 
 
 def _pack(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -36,10 +39,14 @@ def _pack(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.Re
     texts: list[pa.Array] = []
     have = 0
 
+    pack = zstandard.ZstdCompressor(level=3)
+
     def block() -> pa.RecordBatch:
         doc_ids, text = pa.concat_arrays(ids), pa.concat_arrays(texts)
         ends = pa.array([0, len(doc_ids)], type=pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array([at], type=pa.int64()), pa.ListArray.from_arrays(ends, doc_ids), pa.ListArray.from_arrays(ends, text)], names=["block_id", "doc_ids", "texts"])
+        data, offsets = kernels.text_buffer(text)
+        sizes = pa.array(np.diff(offsets).astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array([at], type=pa.int64()), pa.ListArray.from_arrays(ends, doc_ids), pa.ListArray.from_arrays(ends, sizes), pa.array([pack.compress(data)], type=pa.binary())], names=["block_id", "doc_ids", "sizes", "body"])
 
     for part in common.slices(batches, limit=block_bytes // 4):
         new = part.column("doc_id")
@@ -47,7 +54,7 @@ def _pack(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.Re
             yield block()
             at, ids, texts, have = at + 1, [], [], 0
         ids.append(new)
-        texts.append(part.column("text").cast(pa.string()))
+        texts.append(part.column("text").cast(pa.large_string()))
         have += pc.sum(common.text_bytes(part.column("text"))).as_py() or 0
     if ids:
         yield block()
@@ -59,23 +66,45 @@ def pack(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> DataFram
     n = common.shuffle_partitions(docs.sparkSession)
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     ranged = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id")
-    return common.stash(ranged.mapInArrow(lambda b: _pack(b, block_bytes), BLOCK_SCHEMA), name)
+    return common.stash(ranged.mapInArrow(lambda b: _pack(b, block_bytes), BLOCK_SCHEMA), name, "uncompressed")
 
 
-def block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, pa.Array]]:
-    """Each block of the batches: its row as a dict of scalars, its ids and its texts."""
+def block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, np.ndarray, np.ndarray]]:
+    """Each block of the batches: its other columns as a dict of scalars, its ids, the bytes of its texts and their offsets."""
+    unpack = zstandard.ZstdDecompressor()
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {n: batch.column(n)[i] for n in batch.schema.names if n not in ("doc_ids", "texts")}
-            yield row, batch.column("doc_ids")[i].values.to_numpy(zero_copy_only=False), batch.column("texts")[i].values
+            row = {n: batch.column(n)[i] for n in batch.schema.names if n not in ("doc_ids", "sizes", "body")}
+            sizes = batch.column("sizes")[i].values.to_numpy(zero_copy_only=False)
+            offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+            data = np.frombuffer(unpack.decompress(batch.column("body")[i].as_py(), max_output_size=max(1, int(offsets[-1]))), dtype=np.uint8)
+            yield row, batch.column("doc_ids")[i].values.to_numpy(zero_copy_only=False), data, offsets
+
+
+def pieces(offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about so many bytes; a text is never cut."""
+    at, n = 0, len(offsets) - 1
+    while at < n:
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        yield at, end
+        at = end
+
+
+def bucket_labels(spark: SparkSession, n: int) -> np.ndarray:
+    """n bucket numbers that Spark's hash deals to n different partitions, so that none gets several; one small job."""
+    tried = spark.range(0, 32 * n + 64, numPartitions=1).select(F.col("id").cast("int").alias("label"))
+    rows = tried.groupBy(F.pmod(F.hash("label"), F.lit(n)).alias("p")).agg(F.min("label").alias("label")).collect()
+    found = sorted(r["label"] for r in rows)
+    spare = (x for x in range(32 * n + 64, 34 * n + 64))  # a partition that no number hit, which is all but impossible
+    return np.array(found + [next(spare) for _ in range(n - len(found))], dtype=np.int64)
 
 
-def deal(hashes: np.ndarray, second: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+def deal(hashes: np.ndarray, second: np.ndarray, labels: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """Places of the hashes by bucket, each in the order of the hashes."""
-    bucket = (second % np.uint64(buckets)).astype(np.int64)
+    bucket = (second % np.uint64(len(labels))).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    return [(b, order[cuts[b] : cuts[b + 1]]) for b in range(buckets) if cuts[b] < cuts[b + 1]] if buckets <= 4 * len(hashes) else [(int(b), order[np.searchsorted(bucket[order], b) : np.searchsorted(bucket[order], b, side="right")]) for b in np.unique(bucket)]
+    there, starts = np.unique(bucket[order], return_index=True)
+    return [(int(labels[b]), x) for b, x in zip(there, np.split(order, starts[1:]), strict=True)] if len(order) else []
 
 
 SENT_SCHEMA = "block_id long, bucket int, hashes binary"

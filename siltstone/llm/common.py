@@ -96,6 +96,12 @@ def drop_stash(df: DataFrame) -> None:
         _remove(spark, f)
 
 
+def positional(docs: DataFrame) -> tuple[DataFrame, list[str], dict[str, int]]:
+    """docs with its columns named by their places, those names, and the place of each old name: whatever the columns of a table are called, they can't clash with an operator's own."""
+    names = [f"column_{i}_of_docs" for i in range(len(docs.columns))]
+    return docs.toDF(*names), names, {n: i for i, n in enumerate(docs.columns)}
+
+
 def release(spark: SparkSession) -> None:
     gc.collect()
     spark._jvm.System.gc()

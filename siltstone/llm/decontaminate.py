@@ -198,5 +198,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, cove
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that no benchmark item is found in; rows without a doc_id stay."""
-    found = common.stash(contaminated(docs, benchmark).select("doc_id").where("doc_id is not null").distinct(), "tiling-found")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("found_id")).where("found_id is not null").distinct()
+    found = common.stash(found, "tiling-found")
+    rows, names, at = common.positional(docs)
+    return rows.join(found, F.col(names[at["doc_id"]]) == F.col("found_id"), "left_anti").toDF(*docs.columns)

@@ -208,22 +208,21 @@ def masked(text: str, spans: str) -> str:
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with personal data masked and n_chars set anew where it is there; texts without any stay as they are."""
-    found = detect(docs).where("spans <> ''").select(F.col("key").alias("_key"), F.col("spans").alias("_spans")).dropDuplicates(["_key"])
-    keyed = docs.withColumn("_key", F.md5(F.coalesce("text", F.lit("")).cast("binary"))).join(found, "_key", "left").drop("_key")
-    fields = docs.schema
-    at = {n: i for i, n in enumerate(docs.columns)}
+    found = detect(docs).where("spans <> ''").select("key", "spans").dropDuplicates(["key"])
+    rows, names, at = common.positional(docs)
+    text, n_chars = at["text"], at.get("n_chars")
+    key = F.md5(F.coalesce(names[text], F.lit("")).cast("binary"))
+    joined = rows.join(found, key == F.col("key"), "left").select(*names, "spans")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            arrays = list(b.columns[:-1])
-            spans = b.column(b.num_columns - 1)
-            if spans.null_count < len(spans):
-                texts = arrays[at["text"]].to_pylist()
-                new = [masked(t, s) if s else t for t, s in zip(texts, spans.to_pylist(), strict=True)]
-                arrays[at["text"]] = pa.array(new, type=arrays[at["text"]].type)
-                if "n_chars" in at:
-                    old = arrays[at["n_chars"]]
-                    arrays[at["n_chars"]] = pa.array([len(t) if s else n for t, s, n in zip(new, spans.to_pylist(), old.to_pylist(), strict=True)], type=old.type)
-            yield pa.RecordBatch.from_arrays(arrays, names=b.schema.names[:-1])
-
-    return keyed.mapInArrow(apply, fields)
+            arrays, spans = list(b.columns[:-1]), b.column(b.num_columns - 1).to_pylist()
+            if any(spans):
+                new = [masked(t, s) if s else t for t, s in zip(arrays[text].to_pylist(), spans, strict=True)]
+                arrays[text] = pa.array(new, type=arrays[text].type)
+                if n_chars is not None:
+                    old = arrays[n_chars]
+                    arrays[n_chars] = pa.array([len(t) if s else n for t, s, n in zip(new, spans, old.to_pylist(), strict=True)], type=old.type)
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return joined.mapInArrow(apply, rows.schema).toDF(*docs.columns)

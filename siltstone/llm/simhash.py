@@ -207,7 +207,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents with one row of each group: that of the smallest doc_id. Rows without a doc_id stay; repeated rows of the kept doc_id stay once."""
-    found = near_duplicates(docs)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    kept = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows, names, at = common.positional(docs)
+    own = names[at["doc_id"]]
+    once = rows.join(kept, rows[own] == F.col("kept_id"), "left_semi").dropDuplicates([own])
+    return once.unionByName(rows.where(F.col(own).isNull())).toDF(*docs.columns)

@@ -37,47 +37,53 @@ DIGEST_SCHEMA = "doc_id long, n_words long, n_removed long, n_spans long, kept_s
 SECOND = 0xC2B2AE3D27D4EB4F
 
 
-def _windows(ids: np.ndarray, texts: pa.Array, width: int):
+def _windows(data: np.ndarray, offsets: np.ndarray, width: int):
     """Of a block: word offsets of its texts, the first word of each window, the window's text, its hash and second hash."""
-    data, offsets = kernels.text_buffer(texts)
-    starts, ends, words = kernels.word_bounds(data, offsets)
-    word = kernels.Hasher(kernels.BYTE_VALUES[data]).slices(starts, ends)
-    count = np.maximum(np.diff(words) - width + 1, 0)
-    text = np.repeat(np.arange(len(count)), count)
-    first = np.repeat(words[:-1], count) + kernels.ragged_arange(count)
-    one = kernels.Hasher(word).windows(width)[first] if len(first) else np.zeros(0, np.uint64)
-    two = kernels.Hasher(word, SECOND).windows(width)[first] if len(first) else np.zeros(0, np.uint64)
-    return words, first, text, one, two
-
-
-def _send(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    for row, ids, texts in blocks.block_rows(batches):
-        _, _, _, one, two = _windows(ids, texts, width)
+    words, first, text, one, two = [np.zeros(1, np.int64)], [], [], [], []
+    for i, j in blocks.pieces(offsets):
+        part = data[offsets[i] : offsets[j]]
+        starts, ends, at = kernels.word_bounds(part, offsets[i : j + 1] - offsets[i])
+        word = kernels.Hasher(kernels.BYTE_VALUES[part]).slices(starts, ends)
+        count = np.maximum(np.diff(at) - width + 1, 0)
+        f = np.repeat(at[:-1], count) + kernels.ragged_arange(count)
+        if len(f):
+            one.append(kernels.Hasher(word).windows(width)[f])
+            two.append(kernels.Hasher(word, SECOND).windows(width)[f])
+            first.append(f + words[-1][-1])
+            text.append(np.repeat(np.arange(i, j), count))
+        words.append(at[1:] + words[-1][-1])
+    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+    return np.concatenate(words), join(first, np.int64), join(text, np.int64), join(one, np.uint64), join(two, np.uint64)
+
+
+def _send(batches: Iterator[pa.RecordBatch], width: int, labels: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for row, _, data, offsets in blocks.block_rows(batches):
+        _, _, _, one, two = _windows(data, offsets, width)
         if not len(one):
             continue
         distinct, at = np.unique(one, return_index=True)
-        dealt = blocks.deal(distinct, two[at], buckets)
+        dealt = blocks.deal(distinct, two[at], labels)
         yield pa.RecordBatch.from_arrays([pa.array([row["block_id"].as_py()] * len(dealt), type=pa.int64()), pa.array([b for b, _ in dealt], type=pa.int32()), pa.array([distinct[x].tobytes() for _, x in dealt], type=pa.binary())], names=["block_id", "bucket", "hashes"])
 
 
-def _removed(row: dict, ids: np.ndarray, texts: pa.Array, width: int, buckets: int) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+def _removed(row: dict, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, width: int, labels: np.ndarray) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
     """Of each text of a block: its id, its words and flags of the words that go."""
-    words, first, text, one, two = _windows(ids, texts, width)
+    words, first, text, one, two = _windows(data, offsets, width)
     flags = np.zeros(int(words[-1]), dtype=bool)
     if len(one):
         distinct, at, back = np.unique(one, return_index=True, return_inverse=True)
-        found = blocks.bits_of(row, blocks.deal(distinct, two[at], buckets), len(distinct))
+        found = blocks.bits_of(row, blocks.deal(distinct, two[at], labels), len(distinct))
         gone = found[back] | (ids[text] > ids[text[at]][back])
         flags = kernels.covered(first[gone], width, int(words[-1]))
-    for i, t in enumerate(texts.cast(pa.binary()).to_pylist()):
-        yield int(ids[i]), (t or b"").split(), flags[words[i] : words[i + 1]]
+    for i, doc in enumerate(ids.tolist()):
+        yield doc, data[offsets[i] : offsets[i + 1]].tobytes().split(), flags[words[i] : words[i + 1]]
 
 
-def _apply(batches: Iterator[pa.RecordBatch], width: int, buckets: int, digest: bool) -> Iterator[pa.RecordBatch]:
+def _apply(batches: Iterator[pa.RecordBatch], width: int, labels: np.ndarray, digest: bool) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    for row, ids, texts in blocks.block_rows(batches):
+    for row, ids, data, offsets in blocks.block_rows(batches):
         out: list[tuple] = []
-        for doc, words, flags in _removed(row, ids, texts, width, buckets):
+        for doc, words, flags in _removed(row, ids, data, offsets, width, labels):
             starts, ends = kernels.runs(flags)
             kept = b" ".join(compress(words, (~flags).tolist()) if len(starts) else words)
             last = hashlib.sha256(kept).hexdigest() if digest else kept.decode("utf-8", "replace")
@@ -108,10 +114,11 @@ def remove_repeated(docs: DataFrame, width: int = WORDS, digest: bool = False) -
     spark = docs.sparkSession
     common.prepare(spark)
     parts = common.shuffle_partitions(spark)
+    labels = blocks.bucket_labels(spark, parts)
     packed = blocks.pack(docs, "substring-blocks")
-    sent = packed.mapInArrow(lambda b: _send(b, width, parts), blocks.SENT_SCHEMA)
+    sent = packed.mapInArrow(lambda b: _send(b, width, labels), blocks.SENT_SCHEMA)
     replies = common.stash(blocks.exchange(sent, parts), "substring-replies")
     joined = packed.join(replies, "block_id", "left")
     schema = DIGEST_SCHEMA if digest else RESULT_SCHEMA
     alone = docs.where(F.col("doc_id").isNull()).select("text").mapInArrow(lambda b: _alone(b, digest), schema)
-    return joined.mapInArrow(lambda b: _apply(b, width, parts, digest), schema).unionByName(alone)
+    return joined.mapInArrow(lambda b: _apply(b, width, labels, digest), schema).unionByName(alone)

@@ -5,9 +5,9 @@ string that covers it also starts in a document with a smaller doc_id; overlaps
 count, and strings are judged on the input.
 
 Equal strings must meet.  A 50-byte window is named by the least-hashed of its
-16-byte substrings, its anchor (the leftmost at ties), which depends on the
+24-byte substrings, its anchor (the leftmost at ties), which depends on the
 window alone; neighbouring windows mostly share one, so a text falls into
-segments, runs of windows with one anchor (50 to 84 bytes).  Blocks of
+segments, runs of windows with one anchor (50 to 76 bytes).  Blocks of
 documents first exchange their distinct anchors: a segment whose anchor no other
 document has can't match.  The distinct segments left go to the bucket of their
 anchor, where a column-wise construction (see bwt.py) builds the transform and
@@ -33,46 +33,48 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import blocks, bwt, common, kernels
 
-BYTES, ANCHOR = 50, 16
+BYTES, ANCHOR = 50, 24
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept binary"
 DIGEST_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-SENT_SCHEMA = "block_id long, bucket int, owners binary, lengths binary, parts binary, strings binary"
+SENT_SCHEMA = "block_id long, bucket int, n int, frame binary"
 #: Symbols of one collection, about. Smaller ones stay in a core's cache; a group of equal anchors is never split.
-COLLECTION = 1 << 18
+COLLECTION = 1 << 17
 _PLACE = np.uint64((1 << 32) - 1)
 
 
+def _segments(data: np.ndarray, offsets: np.ndarray, width: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Of some texts: the first window of each segment, its windows, its text, its anchor's hash and the hash of all its bytes."""
+    n = len(data)
+    hasher = kernels.Hasher(kernels.BYTE_VALUES[data])
+    hashes = hasher.windows(anchor)
+    value = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
+    least = (kernels.sliding_min(value, width - anchor + 1) & _PLACE).astype(np.int64)
+    count = np.maximum(np.diff(offsets) - width + 1, 0)
+    has = np.flatnonzero(count)
+    new = np.zeros(n + 1, dtype=bool)
+    new[1 : len(least)] = least[1:] != least[:-1]
+    new[offsets[has]] = True  # windows don't run on into the next text
+    at = np.flatnonzero(new)
+    text = np.searchsorted(offsets, at, side="right") - 1
+    limit = (offsets[:-1] + count)[text]
+    real = at < limit
+    first, text, limit = at[real], text[real], limit[real]
+    windows = np.minimum(np.append(first[1:], n), limit) - first
+    return first, windows, text, hashes[least[first]] if len(first) else np.zeros(0, np.uint64), hasher.slices(first, first + windows + width - 1)
+
+
 class Segments:
     """The segments of a block's texts."""
 
-    def __init__(self, ids: np.ndarray, texts: pa.Array, width: int, anchor: int):
-        self.data, self.offsets = kernels.text_buffer(texts)
-        n = len(self.data)
-        self.hasher = kernels.Hasher(kernels.BYTE_VALUES[self.data])
+    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, width: int, anchor: int):
+        self.data, self.offsets = data, offsets
         self.rank = np.unique(ids, return_inverse=True)[1]  # of a text's doc_id in the block
-        sizes = np.diff(self.offsets)
-        count = np.maximum(sizes - width + 1, 0)
-        hashes = self.hasher.windows(anchor)
-        value = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
-        least = (kernels.sliding_min(value, width - anchor + 1) & _PLACE).astype(np.int64)
-        new = np.zeros(n + 1, dtype=bool)
-        if len(least):
-            new[0] = True
-            new[1 : len(least)] = least[1:] != least[:-1]
-        valid = np.zeros(n + 1, dtype=bool)
-        has = count > 0
-        step = np.zeros(n + 1, dtype=np.int8)
-        step[self.offsets[:-1][has]] += 1
-        np.subtract.at(step, (self.offsets[:-1] + count)[has], 1)
-        valid[:] = np.cumsum(step, dtype=np.int8) > 0
-        new[self.offsets[:-1][has]] = True  # windows don't run on into the next text
-        self.first = np.flatnonzero(new & valid)
-        text = np.searchsorted(self.offsets, self.first, side="right") - 1
-        limit = self.offsets[text] + count[text]
-        after = np.append(self.first[1:], n)
-        self.windows = np.minimum(after, limit) - self.first
-        self.text = text
-        self.key = hashes[least[self.first]] if len(self.first) else np.zeros(0, np.uint64)
+        found = []
+        for i, j in blocks.pieces(offsets):
+            first, windows, text, key, whole = _segments(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width, anchor)
+            found.append((first + offsets[i], windows, text + i, key, whole))
+        none = np.zeros(0, np.int64)
+        self.first, self.windows, self.text, self.key, self.whole = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none, none, none.astype(np.uint64), none.astype(np.uint64))
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct anchor hashes, which of them several documents of the block have, and each segment's place in them."""
@@ -82,39 +84,41 @@ class Segments:
         several[back[own != own[at][back]]] = True
         return distinct, several, back
 
-    def distinct(self, keep: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the kept segments: places of the distinct ones (the first document's) in the order of their hashes, the kept places, and the distinct one of each."""
+    def distinct(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the kept segments: places of the distinct ones (the first document's) in the order of the text, the kept places, and the distinct one of each."""
         at = np.flatnonzero(keep)
-        h = self.hasher.slices(self.first[at], self.first[at] + self.windows[at] + width - 1)
-        _, first, back = np.unique(h, return_index=True, return_inverse=True)
-        return at[first], at, back
+        _, first, back = np.unique(self.whole[at], return_index=True, return_inverse=True)
+        order = np.argsort(first)
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        return at[first[order]], at, rank[back]
 
 
-def _deal(keys: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
-    return blocks.deal(keys, kernels.mix(keys ^ np.uint64(0xA5A5A5A55A5A5A5A)), buckets)
+def _deal(keys: np.ndarray, labels: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    return blocks.deal(keys, kernels.mix(keys ^ np.uint64(0xA5A5A5A55A5A5A5A)), labels)
 
 
-def _send_anchors(batches: Iterator[pa.RecordBatch], width: int, anchor: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    for row, ids, texts in blocks.block_rows(batches):
-        distinct, _, _ = Segments(ids, texts, width, anchor).anchors()
+def _send_anchors(batches: Iterator[pa.RecordBatch], width: int, anchor: int, labels: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for row, ids, data, offsets in blocks.block_rows(batches):
+        distinct, _, _ = Segments(ids, data, offsets, width, anchor).anchors()
         if len(distinct):
-            dealt = _deal(distinct, buckets)
+            dealt = _deal(distinct, labels)
             yield pa.RecordBatch.from_arrays([pa.array([row["block_id"].as_py()] * len(dealt), type=pa.int64()), pa.array([b for b, _ in dealt], type=pa.int32()), pa.array([distinct[x].tobytes() for _, x in dealt], type=pa.binary())], names=["block_id", "bucket", "hashes"])
 
 
-def _candidates(row: dict, ids: np.ndarray, texts: pa.Array, width: int, anchor: int, buckets: int):
+def _candidates(row: dict, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, width: int, anchor: int, labels: np.ndarray):
     """A block's segments and, of those whose anchor another document has, the distinct ones, dealt by anchor."""
-    seg = Segments(ids, texts, width, anchor)
+    seg = Segments(ids, data, offsets, width, anchor)
     anchors, several, back = seg.anchors()
-    shared = several | blocks.bits_of(row, _deal(anchors, buckets) if len(anchors) else [], len(anchors))
-    distinct, at, of = seg.distinct(shared[back] if len(back) else np.zeros(0, bool), width)
-    return seg, distinct, at, of, _deal(seg.key[distinct], buckets) if len(distinct) else []
+    shared = several | blocks.bits_of(row, _deal(anchors, labels) if len(anchors) else [], len(anchors))
+    distinct, at, of = seg.distinct(shared[back] if len(back) else np.zeros(0, bool))
+    return seg, distinct, at, of, _deal(seg.key[distinct], labels) if len(distinct) else []
 
 
-def _send_segments(batches: Iterator[pa.RecordBatch], width: int, anchor: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _send_segments(batches: Iterator[pa.RecordBatch], width: int, anchor: int, labels: np.ndarray) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3)
-    for row, ids, texts in blocks.block_rows(batches):
-        seg, distinct, _, _, dealt = _candidates(row, ids, texts, width, anchor, buckets)
+    for row, *block in blocks.block_rows(batches):
+        seg, distinct, _, _, dealt = _candidates(row, *block, width, anchor, labels)
         owner = seg.rank[seg.text[distinct]].astype(np.uint32)
         length = seg.windows[distinct] + width - 1
         out = []
@@ -122,10 +126,11 @@ def _send_segments(batches: Iterator[pa.RecordBatch], width: int, anchor: int, b
             n = length[x]
             body = seg.data[np.repeat(seg.first[distinct[x]], n) + kernels.ragged_arange(n)]
             part = (kernels.mix(seg.key[distinct[x]]) >> np.uint64(48)).astype(np.uint16)
-            out.append((row["block_id"].as_py(), bucket, owner[x].tobytes(), n.astype(np.uint8).tobytes(), part.tobytes(), pack.compress(body.tobytes())))
+            step = np.diff(owner[x], prepend=np.uint32(0))  # owners rise with the text
+            out.append((row["block_id"].as_py(), bucket, len(x), pack.compress(step.tobytes() + part.tobytes() + n.astype(np.uint8).tobytes() + body.tobytes())))
         if out:
             cols = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], type=pa.int64()), pa.array(cols[1], type=pa.int32()), *(pa.array(c, type=pa.binary()) for c in cols[2:])], names=["block_id", "bucket", "owners", "lengths", "parts", "strings"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["block_id", "bucket", "n", "frame"])
 
 
 def earlier_windows(strings: np.ndarray, lengths: np.ndarray, keys: np.ndarray, width: int, **limits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +166,7 @@ def _compare(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
     unpack = zstandard.ZstdDecompressor()
     by: dict[int, list[tuple]] = {}
     for b in batches:
-        for row in zip(*(b.column(n).to_pylist() for n in ("block_id", "bucket", "owners", "lengths", "parts", "strings")), strict=True):
+        for row in zip(*(b.column(n).to_pylist() for n in ("block_id", "bucket", "n", "frame")), strict=True):
             by.setdefault(row[1], []).append(row)
     for bucket in sorted(by):
         sent = sorted(by.pop(bucket))
@@ -170,12 +175,13 @@ def _compare(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
         part_of: list[int] = []
         places = []
         own = []
-        for rank, (_, _, owners, lengths, parts, strings) in enumerate(sent):
-            body = unpack.decompress(strings)
-            ends = np.cumsum(np.frombuffer(lengths, dtype=np.uint8).astype(np.int64)).tolist()
-            key = (np.frombuffer(owners, dtype=np.uint32).astype(np.int64) + (rank << 32)).tolist()
+        for rank, (_, _, count, frame) in enumerate(sent):
+            raw = unpack.decompress(frame)
+            body = raw[7 * count :]
+            ends = np.cumsum(np.frombuffer(raw, dtype=np.uint8, count=count, offset=6 * count), dtype=np.int64).tolist()
+            key = (np.cumsum(np.frombuffer(raw, dtype=np.uint32, count=count), dtype=np.int64) + (rank << 32)).tolist()
             at, s = [], 0
-            for e, k, part in zip(ends, key, np.frombuffer(parts, dtype=np.uint16).tolist(), strict=True):
+            for e, k, part in zip(ends, key, np.frombuffer(raw, dtype=np.uint16, count=count, offset=4 * count).tolist(), strict=True):
                 x = known.setdefault(body[s:e], len(keys))
                 if x == len(keys):
                     keys.append(k)
@@ -205,9 +211,9 @@ def _compare(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], type=pa.int64()), pa.array([bucket] * len(out), type=pa.int32()), pa.array([x[1] for x in out], type=pa.binary())], names=["block_id", "bucket", "bits"])
 
 
-def _apply(batches: Iterator[pa.RecordBatch], width: int, anchor: int, buckets: int, digest: bool) -> Iterator[pa.RecordBatch]:
-    for row, ids, texts in blocks.block_rows(batches):
-        seg, distinct, at, of, dealt = _candidates(row, ids, texts, width, anchor, buckets)
+def _apply(batches: Iterator[pa.RecordBatch], width: int, anchor: int, labels: np.ndarray, digest: bool) -> Iterator[pa.RecordBatch]:
+    for row, ids, *texts in blocks.block_rows(batches):
+        seg, distinct, at, of, dealt = _candidates(row, ids, *texts, width, anchor, labels)
         n = len(seg.data)
         flags = np.zeros(n, dtype=bool)
         if len(distinct):
@@ -256,14 +262,15 @@ def remove_repeated(docs: DataFrame, width: int = BYTES, anchor: int = ANCHOR, d
     spark = docs.sparkSession
     common.prepare(spark)
     parts = common.shuffle_partitions(spark)
+    labels = blocks.bucket_labels(spark, parts)
     packed = blocks.pack(docs, "suffix-blocks")
-    sent = packed.mapInArrow(lambda b: _send_anchors(b, width, anchor, parts), blocks.SENT_SCHEMA)
+    sent = packed.mapInArrow(lambda b: _send_anchors(b, width, anchor, labels), blocks.SENT_SCHEMA)
     shared = common.stash(blocks.exchange(sent, parts, either=True), "suffix-anchors")
     joined = packed.join(shared, "block_id", "left")
-    segments = joined.mapInArrow(lambda b: _send_segments(b, width, anchor, parts), SENT_SCHEMA)
+    segments = joined.mapInArrow(lambda b: _send_segments(b, width, anchor, labels), SENT_SCHEMA)
     compared = segments.repartition(parts, "bucket").mapInArrow(lambda b: _compare(b, width), blocks.REPLY_SCHEMA)
     compared = common.stash(compared.groupBy("block_id").agg(F.collect_list(F.struct("bucket", "bits")).alias("compared")), "suffix-compared")
     schema = DIGEST_SCHEMA if digest else RESULT_SCHEMA
-    done = packed.join(shared, "block_id", "left").join(compared, "block_id", "left").mapInArrow(lambda b: _apply(b, width, anchor, parts, digest), schema)
+    done = packed.join(shared, "block_id", "left").join(compared, "block_id", "left").mapInArrow(lambda b: _apply(b, width, anchor, labels, digest), schema)
     alone = docs.where(F.col("doc_id").isNull()).select("text").mapInArrow(lambda b: _alone(b, digest), schema)
     return done.unionByName(alone)

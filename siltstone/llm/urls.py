@@ -78,11 +78,12 @@ def first_rule(rules: tuple[Rule, ...], host: Column, path: Column, value: str)
 
 def prior_weight(groups: DataFrame) -> float:
     """The weight of a level's prior, in pages, by the method of moments: with ``v`` the variance of the groups' shares about
-    their prior means (weighted by pages, less the sampling part), it is ``mean(p(1-p)) / v - 1``, within bounds."""
+    their prior means (weighted by pages, less the sampling part), it is ``mean(p(1-p)) / v - 1``, within bounds; a level
+    of fewer than two groups with outcomes says nothing about their variance and has the least weight."""
     share, p, n = F.col("good") / F.col("n"), F.col("prior_mean"), F.col("n")
-    m = groups.where("n > 0").agg(F.sum(n * (share - p) * (share - p)).alias("spread"), F.sum(p * (1 - p)).alias("chance"), F.sum(n * p * (1 - p)).alias("scale"), F.sum(n).alias("pages")).first()
-    if not m["pages"]:
-        return MOST_WEIGHT
+    m = groups.where("n > 0").agg(F.sum(n * (share - p) * (share - p)).alias("spread"), F.sum(p * (1 - p)).alias("chance"), F.sum(n * p * (1 - p)).alias("scale"), F.sum(n).alias("pages"), F.count("*").alias("groups")).first()
+    if m["groups"] < 2:
+        return LEAST_WEIGHT
     between = max((m["spread"] - m["chance"]) / m["pages"], 1e-9)
     return min(max(m["scale"] / m["pages"] / between - 1, LEAST_WEIGHT), MOST_WEIGHT)
 
@@ -134,7 +135,7 @@ def oracle_sql(rules: tuple[Rule, ...] = RULES, threshold: float = THRESHOLD) ->
     fit = lambda r: f"(host = {quote(r.host)} OR ends_with(host, {quote('.' + r.host)})) AND starts_with(path, {quote(r.path)})"
     name = "CASE " + " ".join(f"WHEN {fit(r)} THEN {quote(r.name)}" for r in longest_first) + " END"
     verdict = "CASE " + " ".join(f"WHEN {fit(r)} THEN {quote(r.verdict)}" for r in longest_first) + " END"
-    weight = lambda t: f"""SELECT coalesce(least(greatest(sum(n * p * (1 - p)) / sum(n) / greatest((sum(n * (good / n - p) * (good / n - p)) - sum(p * (1 - p))) / sum(n), 1e-9) - 1, {LEAST_WEIGHT}), {MOST_WEIGHT}), {MOST_WEIGHT}) AS weight FROM {t} WHERE n > 0"""
+    weight = lambda t: f"""SELECT coalesce(CASE WHEN count(*) < 2 THEN {LEAST_WEIGHT} END, least(greatest(sum(n * p * (1 - p)) / sum(n) / greatest((sum(n * (good / n - p) * (good / n - p)) - sum(p * (1 - p))) / sum(n), 1e-9) - 1, {LEAST_WEIGHT}), {MOST_WEIGHT})) AS weight FROM {t} WHERE n > 0"""
     return f"""
 WITH cut AS (
   SELECT page_id,
