@@ -81,7 +81,7 @@ def read_header(source: str | None) -> tuple[str | None, str | None]:
 
 @pandas_udf(T.StructType([T.StructField("header", T.StringType()), T.StructField("problem", T.StringType())]))
 def header(sources: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([read_header(s) for s in sources], columns=["header", "problem"])
+    return pd.DataFrame([read_header(s) for s in sources], columns=["header", "problem"], dtype=object)
 
 
 FENCE = re.compile(r"^([ \t]*)(`{3,}|~{3,})[ \t]*([^\s`]*)[^\n]*$")
@@ -268,12 +268,12 @@ def clean_wiki(title: str, raw: str) -> str:
 
 @pandas_udf(T.StringType())
 def cleaned(titles: pd.Series, raws: pd.Series) -> pd.Series:
-    return pd.Series([clean_wiki(t, r) for t, r in zip(titles, raws, strict=True)])
+    return pd.Series([clean_wiki(t, r) for t, r in zip(titles, raws, strict=True)], dtype=object)
 
 
 @pandas_udf(T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("code", T.StringType())])))
 def blocks(texts: pd.Series) -> pd.Series:
-    return pd.Series([[{"lang": a, "code": b} for a, b in code_blocks(t)] for t in texts])
+    return pd.Series([[{"lang": a, "code": b} for a, b in code_blocks(t)] for t in texts], dtype=object)
 
 
 def duplicate_heading(content: Column) -> Column:

@@ -66,7 +66,7 @@ def layer(found: DataFrame) -> DataFrame:
 
 def legacy_cache(spark: SparkSession, path: str) -> DataFrame:
     """(hash, summary, when_to_use, related_topics) of an old cache: a JSON object of objects; anything else has no rows."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     entries = raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("hash", "v")).where(F.try_parse_json("v").isNotNull() & F.trim("v").startswith("{"))
     return entries.select("hash", F.from_json("v", "summary string, when_to_use string, related_topics array<string>").alias("e")).select("hash", "e.*")
 
@@ -80,7 +80,7 @@ def manifest(spark: SparkSession, paths: list[str]) -> tuple[dict, str]:
     for path in dict.fromkeys(paths):
         jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
         if jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
-            source = spark.read.option("wholetext", "true").text(path).first()
+            source = spark.read.text(path, wholetext=True).first()
             try:
                 found = json.loads(source["value"] if source else "")
             except ValueError as e:
@@ -102,7 +102,7 @@ def policy(spark: SparkSession, path: str) -> DataFrame:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
         return spark.createDataFrame([], schema)
-    source = spark.read.option("wholetext", "true").text(path).first()["value"]
+    source = spark.read.text(path, wholetext=True).first()["value"]
     if yaml is None:
         raise RuntimeError("reading a policy needs the yaml package")
     found = yaml.safe_load(source) or {}
@@ -127,7 +127,7 @@ SCENARIO = r"(?s)## Scenario (\d+)(.*?)(?=\n## Scenario \d+|\n---|\z)"
 def scenarios(markdown_text: DataFrame, metadata: DataFrame) -> DataFrame:
     """Blocks ``## Scenario NN`` of a text column ``content``, left-joined with metadata by id."""
     block = markdown_text.select(F.explode(F.regexp_extract_all("content", F.lit(SCENARIO), F.lit(0))).alias("block"))
-    rows = block.select(F.regexp_extract("block", SCENARIO, 1).alias("id"), F.trim(F.regexp_extract("block", SCENARIO, 2)).alias("body"))
+    rows = block.select(F.regexp_extract("block", SCENARIO, 1).alias("id"), text.strip(F.regexp_extract("block", SCENARIO, 2)).alias("body"))
     return rows.join(metadata, "id", "left")
 
 
