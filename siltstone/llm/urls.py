@@ -6,7 +6,8 @@ rule (of host, then path) decides.  Hosts without a rule are judged by the
 outcomes of their labelled pages, shrunk through beta-binomial priors: a
 suffix's good share towards the overall share, a registered domain's towards
 its suffix's, a host's towards its domain's.  Each level's prior weight is
-estimated from the data by the method of moments over that level's groups.  A
+estimated from the data by the method of moments over that level's groups, and
+is no more than the evidence that the level above has.  A
 url is blocked if the upper posterior bound of its host's good share (mean plus
 ``SIGMAS`` posterior deviations) is under the threshold: hosts of which little
 is known are let pass.
@@ -89,8 +90,8 @@ def prior_weight(groups: DataFrame) -> float:
 
 
 def shrunk(groups: DataFrame, key: str) -> DataFrame:
-    """(key, n, good, prior_mean) to the posterior mean of each group and the pages of evidence behind it."""
-    weight = F.lit(prior_weight(groups))
+    """(key, n, good, prior_mean, prior_evidence) to the posterior mean of each group and the pages of evidence behind it; a prior weighs no more than the pages that it rests on."""
+    weight = F.least(F.lit(prior_weight(groups)), F.col("prior_evidence"))
     return groups.select(key, "n", "good", ((F.col("good") + weight * F.col("prior_mean")) / (F.col("n") + weight)).alias("mean"), (F.col("n") + weight).alias("evidence"))
 
 
@@ -101,9 +102,10 @@ def reputation(hosts: DataFrame) -> DataFrame:
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     every = suffixes.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
     overall = ((every["good"] or 0) + 1) / ((every["n"] or 0) + 2)
-    top = shrunk(suffixes.withColumn("prior_mean", F.lit(overall)), "suffix")
-    middle = shrunk(domains.join(top.select("suffix", F.col("mean").alias("prior_mean")), "suffix"), "domain")
-    low = shrunk(named.select("host", "domain", "n", "good").join(middle.select("domain", F.col("mean").alias("prior_mean")), "domain"), "host")
+    above = lambda d, key: d.select(key, F.col("mean").alias("prior_mean"), F.col("evidence").alias("prior_evidence"))
+    top = shrunk(suffixes.withColumn("prior_mean", F.lit(overall)).withColumn("prior_evidence", F.lit(float((every["n"] or 0) + 2))), "suffix")
+    middle = shrunk(domains.join(above(top, "suffix"), "suffix"), "domain")
+    low = shrunk(named.select("host", "domain", "n", "good").join(above(middle, "domain"), "domain"), "host")
     spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("evidence") + 1))
     return low.select("host", "n", "mean", (F.col("mean") + SIGMAS * spread).alias("upper"))
 
@@ -155,16 +157,16 @@ WITH cut AS (
 ), suffixes AS (
   SELECT suffix, sum(n) AS n, sum(good) AS good FROM domains GROUP BY suffix
 ), overall AS (
-  SELECT (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) AS p FROM suffixes
-), s0 AS (SELECT suffixes.*, p FROM suffixes, overall
+  SELECT (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) AS p, coalesce(sum(n), 0) + 2 AS e FROM suffixes
+), s0 AS (SELECT suffixes.*, p, e FROM suffixes, overall
 ), sw AS ({weight("s0")}
-), s1 AS (SELECT suffix, (good + weight * p) / (n + weight) AS mean FROM s0, sw
-), d0 AS (SELECT domains.*, s1.mean AS p FROM domains JOIN s1 USING (suffix)
+), s1 AS (SELECT suffix, (good + least(weight, e) * p) / (n + least(weight, e)) AS mean, n + least(weight, e) AS evidence FROM s0, sw
+), d0 AS (SELECT domains.*, s1.mean AS p, s1.evidence AS e FROM domains JOIN s1 USING (suffix)
 ), dw AS ({weight("d0")}
-), d1 AS (SELECT domain, (good + weight * p) / (n + weight) AS mean FROM d0, dw
-), h0 AS (SELECT hosts.*, d1.mean AS p FROM hosts JOIN d1 USING (domain)
+), d1 AS (SELECT domain, (good + least(weight, e) * p) / (n + least(weight, e)) AS mean, n + least(weight, e) AS evidence FROM d0, dw
+), h0 AS (SELECT hosts.*, d1.mean AS p, d1.evidence AS e FROM hosts JOIN d1 USING (domain)
 ), hw AS ({weight("h0")}
-), h1 AS (SELECT host, (good + weight * p) / (n + weight) AS mean, n + weight AS evidence FROM h0, hw
+), h1 AS (SELECT host, (good + least(weight, e) * p) / (n + least(weight, e)) AS mean, n + least(weight, e) AS evidence FROM h0, hw
 )
 SELECT page_id, cut.host, path, {name} AS rule,
        coalesce({verdict}, CASE WHEN mean + {SIGMAS} * sqrt(mean * (1 - mean) / (evidence + 1)) < {threshold} THEN 'block' ELSE 'allow' END) AS verdict
