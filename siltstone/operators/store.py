@@ -157,6 +157,15 @@ def save(old: DataFrame, new: DataFrame, now: str) -> DataFrame:
     return upsert(old, stamped)
 
 
+def repaired(documents: DataFrame, base: DataFrame, override: DataFrame, now: str) -> DataFrame:
+    """Base records whose title or date is to be set right: current or pinned, without an override, and with another title than the document or no date."""
+    current = base.where("readable").join(documents.select(*KEY, F.col("title").alias("doc_title"), "body_hash"), KEY).join(override, KEY, "left_anti")
+    fresh = current.where(F.col("content_hash").isNull() | (F.col("content_hash") == F.col("body_hash")))
+    dated = F.coalesce(F.trim("generated_at"), F.lit("")) != ""
+    wrong = fresh.where(~F.trim("title").eqNullSafe(F.col("doc_title")) | ~dated)
+    return wrong.withColumn("title", F.col("doc_title")).withColumn("generated_at", F.when(dated, F.col("generated_at")).otherwise(now)).select(*base.columns)
+
+
 def fork(base: DataFrame, override: DataFrame, keys: DataFrame) -> DataFrame:
     """Override records for these keys from base: pinned, by hand; none where base has no readable record or an override is there."""
     picked = base.where("readable").join(keys, KEY, "left_semi").join(override, KEY, "left_anti")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import fixed, mail, markdown, text, tokens
-from siltstone.operators import layout, store, threads
+from siltstone.operators import layout, release, store, threads
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -510,6 +510,65 @@ def competence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), ok.alias("passed"), F.floor(F.lit(1000.0) * ok / F.count("*")).alias("pass_permille"))
 
 
+# --- release -----------------------------------------------------------------------------------------------------------
+# Registry: benchmark items name their first word as a symbol; items with an even number of characters are deprecated.
+
+SYMBOLS_SQL = "sym AS (SELECT regexp_extract(text, '[A-Za-z]+') AS symbol, bool_or(length(text) % 2 = 0) AS deprecated FROM benchmark GROUP BY 1)"
+
+
+def _symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = table(spark, sf_dir, "benchmark").select(F.regexp_extract("text", "[A-Za-z]+", 0).alias("symbol"), (F.length("text") % 2 == 0).alias("even"))
+    return b.groupBy("symbol").agg(F.bool_or("even").alias("deprecated"))
+
+
+WORDS_SQL = "unnest(list_distinct(regexp_extract_all(regexp_replace(text, '`[^`\n]*`', ' ', 'g'), '[A-Za-z_$][0-9A-Za-z_$]*(?:\\.[A-Za-z_$][0-9A-Za-z_$]*)*')))".replace("\\\\", "\\")
+
+
+@query(f"WITH {SYMBOLS_SQL}, w AS (SELECT doc_id, {WORDS_SQL} AS symbol FROM documents) SELECT symbol, deprecated, count(*) AS n_docs, min(doc_id) AS first_doc FROM w JOIN sym USING (symbol) GROUP BY symbol, deprecated")
+def symbol_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("content"))
+    return release.mentions(docs, _symbols(spark, sf_dir)).groupBy("symbol", "deprecated").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+
+
+@query(f"WITH {SYMBOLS_SQL}, w AS (SELECT doc_id, {WORDS_SQL} AS symbol FROM documents) SELECT doc_id, count(*) > 0 AS warned, string_agg(symbol, ', ' ORDER BY symbol) AS deprecated FROM w JOIN sym USING (symbol) WHERE deprecated GROUP BY doc_id")
+def deprecated_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), F.col("text").alias("content"))
+    warned = release.warn_of_deprecated(docs, _symbols(spark, sf_dir))
+    listed = F.regexp_extract("content", r"\A> \[!WARNING\]\n> Deprecated: ([^\n]*)\n", 1)
+    return warned.select(F.col("path").alias("doc_id"), (listed != "").alias("warned"), listed.alias("deprecated")).where("warned")
+
+
+@query()
+def linked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links into texts need their positions and the code around them: a function over whole texts."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"))
+    registry = _symbols(spark, sf_dir).select("symbol", F.concat(F.lit("symbols/"), "symbol").alias("target"))
+    return release.link(docs, registry).select("path", F.regexp_count("content", F.lit(r"\]\(symbols/")).alias("n_links"), F.length("content").alias("n_chars"))
+
+
+@query(
+    """WITH l AS (SELECT source AS module, n_chars, CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 ELSE 3 END AS place, doc_id || '.md' AS file FROM documents)
+SELECT module, CAST(sum(n_chars) AS BIGINT) AS tokens, '# ' || module || ' module' || chr(10) || '> **Total Context:** ~' || CAST(sum(n_chars) AS BIGINT) || ' tokens' || chr(10) || chr(10)
+  || string_agg('- [' || file || '](./chunked-reference/' || file || ') (~' || n_chars || ' tokens)', chr(10) ORDER BY place, file) AS index FROM l GROUP BY module"""
+)
+def module_indexes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English documents have high priority, French medium, German low, the rest none."""
+    priority = F.when(F.col("lang") == "en", "high").when(F.col("lang") == "fr", "medium").when(F.col("lang") == "de", "low")
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("module"), F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("file"), F.lit(None).cast("string").alias("short"), F.col("n_chars").alias("token_count"), priority.alias("routing_priority"))
+    return release.module_index(docs)
+
+
+@query(
+    """WITH e AS (SELECT DISTINCT event_type AS module, 'f' || (user_id % 7) AS name FROM events)
+SELECT module, 'declare module "' || module || '" {' || chr(10) || string_agg('    export function ' || name || '(event: any, options?: any): any;', chr(10) ORDER BY name) || chr(10) || '}' AS source FROM e GROUP BY module"""
+)
+def declarations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event types as modules; users as functions of an event and options."""
+    parameter = lambda n, o: F.struct(F.lit(n).alias("name"), F.lit(o).alias("optional"))
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("module"), F.concat(F.lit("f"), (F.col("user_id") % 7).cast("string")).alias("name"))
+    return release.declarations(e.withColumn("parameters", F.array(parameter("event", False), parameter("options", True))))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
