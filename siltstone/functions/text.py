@@ -6,6 +6,9 @@ Java: without them ``\\w``, ``\\b`` and case folding are ASCII only.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,19 +22,77 @@ def body_hash(text: Column, width: int = 12) -> Column:
     return F.substring(F.sha2(text.cast("binary"), 256), 1, width)
 
 
+def alternatives(pattern: str) -> list[str]:
+    """The pattern's parts between bars that stand outside brackets."""
+    out, depth, at, i = [], 0, 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            i += 1
+        elif c == "[":
+            i = pattern.index("]", i + 2)
+        elif c in "()":
+            depth += 1 if c == "(" else -1
+        elif c == "|" and not depth:
+            out.append(pattern[at:i])
+            at = i + 1
+        i += 1
+    return [*out, pattern[at:]]
+
+
+def needed(pattern: str) -> list[str] | None:
+    """Lower-case words of which every match holds one at least, or None if the pattern has none: of each alternative the longest plain run outside groups."""
+    out = []
+    for part in alternatives(pattern):
+        bare = re.sub(r"\\.|\[[^\]]+\][*+?]?", " ", part)
+        while (shorter := re.sub(r"\([^()]*\)[*+?]?", " ", bare)) != bare:
+            bare = shorter
+        bare = re.sub(r".[*?]|.\{\d+,?\d*\}", " ", bare)  # what may be missing
+        runs = re.findall(r"[A-Za-z0-9_:/'-]+", bare)
+        if not runs:
+            return None
+        out.append(max(runs, key=len).lower())
+    return out
+
+
+def folded(text: Column) -> Column:
+    """Lower case, with the two letters that match s and i without being their capitals."""
+    return F.replace(F.replace(F.lower(text), F.lit("\u017f"), F.lit("s")), F.lit("\u0131"), F.lit("i"))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _found(text: Column, low: Column, pattern: str) -> Column:
+    """As matches, with the folded text at hand."""
+    words = needed(pattern)
+    found = text.rlike(BLIND + pattern)
+    if not words:
+        return found
+    hint = low.contains(words[0])
+    for w in words[1:]:
+        hint = hint | low.contains(w)
+    return hint & found
+
+
 def matches(text: Column, pattern: str) -> Column:
-    return text.rlike(BLIND + pattern)
+    """Whether the pattern is found, without regard to case. A plain search for words that every match holds spares most texts the pattern."""
+    if needed(pattern) is None:
+        return text.rlike(BLIND + pattern)
+    return bound(folded(text), lambda low: _found(text, low, pattern))
 
 
 def keywords(text: Column) -> Column:
     """The keyword patterns that the text has, sorted."""
-    return F.array_sort(F.array_compact(F.array(*[F.when(matches(text, p), F.lit(p)) for p in fixed.KEYWORDS])))
+    return F.array_sort(F.array_compact(bound(folded(text), lambda low: F.array(*[F.when(_found(text, low, p), F.lit(p)) for p in fixed.KEYWORDS]))))
 
 
 def categories(text: Column) -> Column:
     """The categories that fit, in declared order; ``uncategorized`` alone if none does."""
-    found = F.array_compact(F.array(*[F.when(matches(text, p), F.lit(k)) for k, p in fixed.CATEGORIES.items()]))
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("uncategorized")))
+    found = F.array_compact(bound(folded(text), lambda low: F.array(*[F.when(_found(text, low, p), F.lit(k)) for k, p in fixed.CATEGORIES.items()])))
+    return bound(found, lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(F.lit("uncategorized"))))
 
 
 def primary_category(found: Column) -> Column:

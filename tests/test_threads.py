@@ -100,6 +100,21 @@ def one(spark, column, **values):
     return spark.createDataFrame([tuple(values.values())], ", ".join(f"{n} string" for n in names)).select(column.alias("x")).first()["x"]
 
 
+def test_needed_words_are_in_every_match():
+    for p in (*fixed.KEYWORDS, *fixed.CATEGORIES.values(), fixed.PROBLEM, fixed.CORRECTION, fixed.BOT_SENDER):
+        assert len(text.needed(p)) == len(text.alternatives(p))
+    assert text.alternatives(r"a|b(?:c|d)|[|]e|f\|g") == ["a", "b(?:c|d)", "[|]e", r"f\|g"]
+    assert text.needed(r"\[VOTE\]|\b(?:CI|x)\b") is None and text.needed(r"https?://x") == ["http"] and text.needed(r"ab(?:cd)?ef*") == ["ab"]
+
+
+def test_a_plain_search_first_changes_nothing(spark):
+    rows = [("It \u017fhould be \u0131n\u0131t.d, a MEMORY\u00a0LEAK",), ("DON'T use-after-free",), ("see https://github.com/x and HTTP://bugs.x",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    for p in (*fixed.KEYWORDS, *fixed.CATEGORIES.values(), fixed.PROBLEM, fixed.CORRECTION, fixed.QUOTED_CORRECTION):
+        for r in df.select(text.matches(F.col("t"), p).alias("a"), F.col("t").rlike(text.BLIND + p).alias("b")).collect():
+            assert r["a"] == r["b"], p
+
+
 def test_flags_and_extractors(spark):
     c = F.col("t")
     assert one(spark, text.keywords(c), t="Error: the BUG, a mutex") == sorted(["error:", "bug", "mutex"])
