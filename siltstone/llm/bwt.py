@@ -152,12 +152,11 @@ class Collection:
             sym = s[pos]
             mine = act[at_list]
             head = at_list == starts[sym]
-            linked = (sym != 0) & (~head | (seen[sym] > 0))
             value = np.zeros(len(at_list), dtype=np.uint8)
-            inner = np.flatnonzero(linked & ~head)
+            inner = np.flatnonzero((sym != 0) & ~head)
             value[inner] = _range_minima(v, by[at_list[inner] - 1] + 1, pos[inner]) + np.uint8(1)
-            outer = np.flatnonzero(linked & head)
-            if len(outer):
+            if a:  # the first of a symbol in this chunk follows its last in an earlier one
+                outer = np.flatnonzero(head & (sym != 0) & (seen[sym] > 0))
                 least = np.minimum.accumulate(v)
                 value[outer] = np.minimum(carry[sym[outer]], least[pos[outer]]) + np.uint8(1)
             at = (base + seen - starts)[sym] + at_list

@@ -73,10 +73,16 @@ class Hasher:
     def slices(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.inv[start])
 
+    def raw_windows(self, width: int) -> np.ndarray:
+        """As windows, before the finaliser: equal for equal windows, but spread over the high bits only after a multiplication."""
+        n = max(0, len(self.sums) - width)
+        out = self.sums[width : width + n] - self.sums[:n]
+        out *= self.inv[:n]
+        return out
+
     def windows(self, width: int) -> np.ndarray:
         """Of every window of this width; the entry i starts at i."""
-        n = max(0, len(self.sums) - width)
-        return mix((self.sums[width : width + n] - self.sums[:n]) * self.inv[:n])
+        return mix(self.raw_windows(width))
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

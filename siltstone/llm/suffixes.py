@@ -40,14 +40,17 @@ SENT_SCHEMA = "block_id long, bucket int, n int, frame binary"
 #: Symbols of one collection, about. Smaller ones stay in a core's cache; a group of equal anchors is never split.
 COLLECTION = 1 << 17
 _PLACE = np.uint64((1 << 32) - 1)
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _segments(data: np.ndarray, offsets: np.ndarray, width: int, anchor: int) -> tuple[np.ndarray, ...]:
     """Of some texts: the first window of each segment, its windows, its text, its anchor's hash and the hash of all its bytes."""
     n = len(data)
     hasher = kernels.Hasher(kernels.BYTE_VALUES[data])
-    hashes = hasher.windows(anchor)
-    value = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
+    hashes = hasher.raw_windows(anchor)
+    value = hashes * _SPREAD  # ordered by the high bits of a product, ties by place
+    value &= ~_PLACE
+    value |= np.arange(len(hashes), dtype=np.uint64)
     least = (kernels.sliding_min(value, width - anchor + 1) & _PLACE).astype(np.int64)
     count = np.maximum(np.diff(offsets) - width + 1, 0)
     has = np.flatnonzero(count)
@@ -60,7 +63,7 @@ def _segments(data: np.ndarray, offsets: np.ndarray, width: int, anchor: int) ->
     real = at < limit
     first, text, limit = at[real], text[real], limit[real]
     windows = np.minimum(np.append(first[1:], n), limit) - first
-    return first, windows, text, hashes[least[first]] if len(first) else np.zeros(0, np.uint64), hasher.slices(first, first + windows + width - 1)
+    return first, windows, text, kernels.mix(hashes[least[first]]) if len(first) else np.zeros(0, np.uint64), hasher.slices(first, first + windows + width - 1)
 
 
 class Segments:
