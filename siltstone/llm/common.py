@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows and bytes of one Arrow batch that Spark hands to a Python worker.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 #: Bytes of text that a vectorised kernel takes at once, so that its arrays stay in a core's cache; a longer text is taken alone, whole.
 SLICE_BYTES = 1 << 18
 
