@@ -1,11 +1,18 @@
 """License scans by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences at line ends and after ``. ! ? ;`` before a space.
-A sentence is normalised (lower case; all but ``a-z 0-9 . + -`` is one space; dots
-and spaces at the ends go) and looked up in a table of known licence
-sentences, which names it by an identifier.  The identifiers of a text, in
-order, form a sequence, and ordered rules match runs of identifiers in it: the
-first rule that fits is the licence of the text, and all that fit are listed.
+A text is normalised (lower case; all but ``a-z 0-9 . + -`` is one space) and has
+boundaries at line ends and after ``. ! ? ;`` before a space or a line end.  Dots
+and spaces in front of a boundary go, and so do the comment and bullet marks
+behind it.  A known licence sentence is found where it stands between two
+boundaries, and its words may be parted by one line end or semicolon, so
+hard-wrapped texts are read too; a blank line or ``. ! ?`` parts sentences.  The
+longest sentence at a place counts.  A table names the sentences by identifiers.
+The identifiers of a text, in order, form a sequence, and ordered rules match
+runs of identifiers in it: the first rule that fits is the licence of the text,
+and all that fit are listed.
+
+The DuckDB statement cuts at every line end, so it finds the same but for
+sentences that are wrapped or follow a dash; the given tables have none.
 
 Everything is an expression over one row: there is no shuffle and no Python.
 
@@ -15,6 +22,8 @@ sentences repeat in the sequence; columns besides doc_id and text are not read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,18 +69,37 @@ RULES = (
 
 #: Every known sentence holds one of these, so a text without them needs no cutting.
 HINT = "licen|copyright|redistribut"
-CUT = r"[.!?;]+[ \t]+|[\n\r]+"
+#: Texts are lower-cased, so capitals are free as marks: S ends a sentence, L is a semicolon. In this order they give boundaries without marks around them.
+STEPS = (
+    (r"\r\n?", "\n"),
+    (r"(?<![.!?;]);++(?=[ \t\n])", "L"),
+    (r"(?<![.!?;])[.!?;]++(?=[ \t\n])", "S"),
+    (r"[^a-z0-9.+\nSL-]+", " "),
+    (r"(?<=[\nSL])[ .+-]++", ""),
+    (r"(?<![ .])[ .]++(?=[\nSL])", ""),
+)
+PARTS = r"(?: |L?\n|L)"
 
 
 def normalised(sentence: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(sentence), r"[^a-z0-9.+-]+", " "), r"^[ .]+|[ .]+$", "")
 
 
+def sentence_pattern(sentences: dict[str, str] = SENTENCES) -> str:
+    """Any known sentence between two boundaries of a text after STEPS, the longest first."""
+    longest = sorted(sentences, key=len, reverse=True)
+    return r"(?<=[\nSL])(?:" + "|".join(PARTS.join(re.escape(w) for w in x.split(" ")) for x in longest) + r")(?=[\nSL])"
+
+
 def known_sentences(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
     """The identifiers of the known sentences of a text, in order."""
     names = F.create_map(*[F.lit(x) for p in sentences.items() for x in p])
-    looked_up = F.transform(F.split(text, CUT), lambda s: F.try_element_at(names, normalised(s)))
-    return F.when(F.lower(text).rlike(HINT), F.filter(looked_up, lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>"))
+    marked = F.concat(F.lit("\n"), F.lower(text), F.lit("\n"))
+    for pattern, by in STEPS:
+        marked = F.regexp_replace(marked, pattern, by)
+    hits = F.regexp_extract_all(marked, F.lit(sentence_pattern(sentences)), 0)
+    looked_up = F.transform(hits, lambda s: F.element_at(names, F.regexp_replace(s, PARTS, " ")))
+    return F.when(F.lower(text).rlike(HINT), looked_up).otherwise(F.array().cast("array<string>"))
 
 
 def matches(sequence: Column, rules: tuple = RULES) -> Column:
