@@ -9,13 +9,17 @@ could have matched.
 The bootstrap: base spans are the seed entities.  The two words before a
 mention, lower-cased and with digits masked, are its lexical pattern.  Tokens
 that look like an identifier but match no base pattern are candidates of the
-kind that their form suggests.  Spark scores the graph of patterns and
-instances in rounds: a pattern's reliability is the mean score of the distinct
-instances it meets, damped by its support; a candidate's score is
-``1 - prod(1 - reliability)`` over its patterns.  Candidates at or over the
-threshold join the known instances of the next round; after the last one,
-their mentions are added as spans.  A pattern needs ``support`` distinct seed
-instances, so one passage that is copied often induces nothing.
+kind that their form suggests, and those of no kind's form are the kind OTHER.
+Spark scores the graph of patterns and instances in rounds: a pattern's
+reliability for a kind is the mean score of the distinct known instances of the
+kind that it meets, where each instance of another kind or form that it meets
+counts zero.  Candidates not known yet say nothing, however many they are; only
+where they lower the mean less than those of other kinds do, they count zero in
+their place.  A candidate's score is ``1 - prod(1 - reliability)`` over its
+patterns.  Candidates at or over the threshold are known instances from the next
+round on; after the last one, their mentions are added as spans.  A pattern
+needs ``support`` distinct known instances, seeds or accepted ones, so one
+passage that is copied often induces nothing.
 
 Defined cases: a null text counts as empty and has no spans; offsets are code
 points, ends are exclusive; each input row gives one row, repeated rows too.
@@ -35,6 +39,8 @@ from pyspark.sql import functions as F
 from siltstone.llm import common
 
 KINDS = ("email", "ip", "card", "phone")
+#: An identifier of no kind's form: never a span, but evidence against the patterns it stands under.
+OTHER = "other"
 ROUNDS, SUPPORT, RELIABLE, ACCEPT = 3, 3, 0.8, 0.8
 CONTEXT_WORDS, CONTEXT_CHARS = 2, 64
 
@@ -122,7 +128,7 @@ def mentions(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple]:
             at += 1
         if any(s < end and e > start for s, e in taken[at : at + 4]):
             continue
-        kind = kind_of(token)
+        kind = kind_of(token) or (OTHER if len(DIGIT.findall(token)) >= 6 else None)
         if kind and (pattern := context(text, start)):
             out.append((kind, start, end, token.lower(), pattern, False))
     return out
@@ -151,7 +157,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = [(k, s, e) for k in KINDS for s, e in base[k]]
             found = mentions(text, base)
             row += 1
-            for c, x in zip(cols, (row, text_key(text) if found else None, *(len(base[k]) for k in KINDS), joined(spans), [dict(zip(("kind", "start", "end", "surface", "pattern", "seed"), x, strict=True)) for x in found]), strict=True):
+            for c, x in zip(cols, (row, text_key(text) if any(x[0] != OTHER for x in found) else None, *(len(base[k]) for k in KINDS), joined(spans), [dict(zip(("kind", "start", "end", "surface", "pattern", "seed"), x, strict=True)) for x in found]), strict=True):
                 c.append(x)
         yield pa.RecordBatch.from_arrays(
             [pa.array(cols[0], type=pa.int64()), part.column("doc_id").cast(pa.int64()), pa.array(cols[1], type=pa.string()), *(pa.array(c, type=pa.int64()) for c in cols[2:6]), pa.array(cols[6], type=pa.string()), pa.array(cols[7], type=MENTION_TYPE)],
@@ -162,15 +168,23 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def bootstrap(seen: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, reliable: float = RELIABLE, accept: float = ACCEPT) -> DataFrame:
     """(kind, surface, pattern, seed) mentions to the accepted (kind, surface, score)."""
     edges = common.stash(seen.where("pattern <> ''").groupBy("kind", "surface", "pattern").agg(F.max("seed").alias("seed")), "pii-edges")
-    known = edges.where("seed").select("kind", "surface").distinct().withColumn("score", F.lit(1.0))
+    seeds = edges.where("seed").select("kind", "surface").distinct().withColumn("score", F.lit(1.0))
+    own = edges.groupBy("kind", "pattern").agg(F.count("*").alias("own"))
+    every = own.groupBy("pattern").agg(F.sum("own").alias("every"))
+    edges_of_kinds = edges.where(F.col("kind") != OTHER)
+    known = seeds
     for _ in range(rounds):
-        scored = edges.join(known, ["kind", "surface"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
-        patterns = scored.groupBy("kind", "pattern").agg(F.avg("score").alias("mean"), F.count_if("seed").alias("seeds"), F.count("*").alias("n"))
-        patterns = patterns.where((F.col("seeds") >= support) & (F.col("mean") >= reliable) & (F.col("n") > F.col("seeds"))).select("kind", "pattern", F.col("mean").alias("reliability"))
+        scored = edges_of_kinds.join(known, ["kind", "surface"], "left")
+        patterns = scored.groupBy("kind", "pattern").agg(F.sum("score").alias("total"), F.count("score").alias("known"), F.count_if("seed").alias("seeds"), F.count("*").alias("n"))
+        patterns = patterns.where((F.col("known") >= support) & (F.col("n") > F.col("seeds"))).join(every, "pattern")
+        # against it: instances of other kinds and forms; the unknown ones of its own kind instead where they are fewer
+        against = F.least(F.col("every") - F.col("n"), F.col("n") - F.col("known"))
+        # rounded, so that the order of a sum decides nothing at a threshold
+        patterns = patterns.select("kind", "pattern", F.round(F.col("total") / (F.col("known") + against), 9).alias("reliability")).where(F.col("reliability") >= reliable)
         # a pattern below certainty adds log(1 - r); a certain one is kept off the logarithm's pole
-        scores = edges.where(~F.col("seed")).join(patterns, ["kind", "pattern"]).groupBy("kind", "surface").agg((1 - F.exp(F.sum(F.log(1 - F.least("reliability", F.lit(1 - 1e-9)))))).alias("score"))
+        scores = edges_of_kinds.where(~F.col("seed")).join(patterns, ["kind", "pattern"]).groupBy("kind", "surface").agg(F.round(1 - F.exp(F.sum(F.log(1 - F.least("reliability", F.lit(1 - 1e-9))))), 9).alias("score"))
         learned = scores.where(F.col("score") >= accept)
-        known = common.stash(edges.where("seed").select("kind", "surface", F.lit(1.0).alias("score")).distinct().unionByName(learned), "pii-known")
+        known = common.stash(known.unionByName(learned).groupBy("kind", "surface").agg(F.max("score").alias("score")), "pii-known")
     return known.join(edges.where("seed").select("kind", "surface").distinct(), ["kind", "surface"], "left_anti")
 
 
