@@ -45,7 +45,7 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The 63-bit hash of every token, and the n + 1 token offsets of the texts."""
     data, offsets = kernels.text_buffer(pc.utf8_lower(texts.cast(pa.large_string())))
     starts, ends, words = kernels.word_bounds(data, offsets, SEPARATES)
-    return kernels.Hasher(kernels.BYTE_VALUES[data]).slices(starts, ends) & ~BREAK, words
+    return kernels.word_hashes(data, starts, ends) & ~BREAK, words
 
 
 def seeds(token: np.ndarray, words: np.ndarray, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -4,15 +4,23 @@ All kernels work on one contiguous byte buffer that holds many texts, so the
 cost per text is small and no Python loop runs per byte or per word.
 
 Words are maximal runs of bytes other than 0x20 and 0x09-0x0D; all separators
-are ASCII, so UTF-8 texts can be cut as bytes.  Hashes are Rabin-Karp
-polynomials modulo 2**64: the hash of ``x[s:e]`` is
-``sum(T[x[i]] * B**(i - s))``, read off a prefix sum in constant time because
-the odd base B has an inverse.  A finaliser spreads the polynomial over all
-bits before it is compared, cut or used for ordering.
+are ASCII, so UTF-8 texts can be cut as bytes.  A word's hash is chained over
+its 8-byte lanes through a finaliser that is a bijection, so words of up to 8
+bytes never collide with others of their length and no algebra of long words
+(as of polynomials modulo 2**64) makes two of them equal.
+
+Hashes of windows are Rabin-Karp polynomials modulo 2**64: the hash of
+``x[s:e]`` is ``sum(x[i] * B**(i - s))``, read off a prefix sum in constant time
+because the odd base B has an inverse.  A finaliser spreads the polynomial over
+all bits before it is cut or used for ordering.  Such polynomials find
+candidates; where a wrong match would change a result, operators compare the
+bytes or a cryptographic digest of them.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -26,8 +34,9 @@ def _byte_table(seed: int) -> np.ndarray:
 
 
 BYTE_VALUES = _byte_table(7)
-LOWER_VALUES = BYTE_VALUES.copy()
-LOWER_VALUES[65:91] = BYTE_VALUES[97:123]
+#: ASCII capitals folded.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] = np.arange(97, 123)
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -61,6 +70,28 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+_LANE = np.array([(1 << 8 * i) - 1 for i in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word ``data[s:e]``."""
+    length = ends - starts
+    lanes = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))), 0, (1,))  # the 8 bytes from every place on
+    out = mix(lanes[starts] & _LANE[np.minimum(length, 8)] ^ (length.astype(np.uint64) * U64(0x9E3779B97F4A7C15)))
+    short = length <= LONG_WORD
+    going, done = np.flatnonzero((length > 8) & short), 8
+    while len(going):
+        lane = lanes[starts[going] + done] & _LANE[np.minimum(length[going] - done, 8)]
+        out[going] = mix((out[going] + U64(0xA24BAED4963EE407)) ^ lane)
+        done += 8
+        going = going[length[going] > done]
+    for i in np.flatnonzero(~short).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return out
+
+
 class Hasher:
     """Polynomial hashes of the slices of one sequence of 64-bit values."""
 
@@ -150,7 +181,10 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     """Flags of the n places that some window [s, s + width) covers."""
-    step = np.zeros(n + 1, dtype=np.int64)
-    np.add.at(step, starts, 1)
-    np.add.at(step, np.minimum(starts + width, n), -1)
-    return np.cumsum(step[:-1]) > 0
+    s = np.sort(starts)
+    new = np.flatnonzero(s[1:] > s[:-1] + width) + 1  # windows that touch or overlap are one run
+    step = np.zeros(n + 1, dtype=np.int8)
+    if len(s):
+        step[s[np.append(0, new)]] = 1
+        step[np.minimum(s[np.append(new, len(s)) - 1] + width, n)] -= 1
+    return np.cumsum(step[:-1], dtype=np.int8).view(bool)

@@ -7,17 +7,24 @@ count, and strings are judged on the input.
 Equal strings must meet.  A 50-byte window is named by the least-hashed of its
 24-byte substrings, its anchor (the leftmost at ties), which depends on the
 window alone; neighbouring windows mostly share one, so a text falls into
-segments, runs of windows with one anchor (50 to 76 bytes).  Blocks of
-documents first exchange their distinct anchors: a segment whose anchor no other
-document has can't match.  The distinct segments left go to the bucket of their
-anchor, where a column-wise construction (see bwt.py) builds the transform and
-the common prefixes of the bucket's strings.  Places whose common prefixes reach
-50 bytes form the classes of equal windows; the smallest document of each class
-is its first, and every block gets a bit for each window of its segments back.
+segments, runs of at most 27 windows with equal anchors (50 to 76 bytes; a long
+repetition of few bytes gives many equal segments, of which one is kept).
+Blocks of documents first exchange their distinct anchors: a segment whose
+anchor no other text has can't match.  The distinct segments left, compared byte
+by byte, go to the bucket of their anchor, where a column-wise construction (see
+bwt.py) builds the transform and the common prefixes of the bucket's strings.
+Places whose common prefixes reach 50 bytes form the classes of equal windows;
+the smallest document of each class is its first, and every block gets a bit for
+each window of its segments back.
+
+Hashes choose anchors and buckets only; that windows are equal is always read
+off the transform of their bytes.  Long texts are cut into overlapping pieces.
 
 Defined cases: a null or empty text has no bytes and keeps none; rows of one
-doc_id don't remove each other; a row with a null doc_id keeps all its bytes and
-removes none elsewhere; columns besides doc_id and text are not read.
+doc_id don't remove each other, in whatever blocks they lie; a row with a null
+doc_id keeps all its bytes and removes none elsewhere; an empty table gives an
+empty result; a text may have any length; columns besides doc_id and text are
+not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,7 +43,6 @@ from siltstone.llm import blocks, bwt, common, kernels
 BYTES, ANCHOR = 50, 24
 RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept binary"
 DIGEST_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-SENT_SCHEMA = "block_id long, bucket int, n int, frame binary"
 #: Symbols of one collection, about. Smaller ones stay in a core's cache; a group of equal anchors is never split.
 COLLECTION = 1 << 17
 _PLACE = np.uint64((1 << 32) - 1)
@@ -51,89 +57,116 @@ def _segments(data: np.ndarray, offsets: np.ndarray, width: int, anchor: int) ->
     value = hashes * _SPREAD  # ordered by the high bits of a product, ties by place
     value &= ~_PLACE
     value |= np.arange(len(hashes), dtype=np.uint64)
-    least = (kernels.sliding_min(value, width - anchor + 1) & _PLACE).astype(np.int64)
+    least = (kernels.sliding_min(value, width - anchor + 1) & _PLACE).astype(np.int32)
+    own = hashes[least]
     count = np.maximum(np.diff(offsets) - width + 1, 0)
     has = np.flatnonzero(count)
     new = np.zeros(n + 1, dtype=bool)
-    new[1 : len(least)] = least[1:] != least[:-1]
+    new[1 : len(own)] = own[1:] != own[:-1]
     new[offsets[has]] = True  # windows don't run on into the next text
     at = np.flatnonzero(new)
+    most = width - anchor + 1  # windows that one place of an anchor can have
+    long = np.diff(at, append=len(own)) > most
+    if long.any():
+        pieces = np.maximum(-(-np.diff(at, append=len(own)) // most), 1)
+        at = np.repeat(at, pieces) + kernels.ragged_arange(pieces) * most
     text = np.searchsorted(offsets, at, side="right") - 1
     limit = (offsets[:-1] + count)[text]
     real = at < limit
     first, text, limit = at[real], text[real], limit[real]
     windows = np.minimum(np.append(first[1:], n), limit) - first
-    return first, windows, text, kernels.mix(hashes[least[first]]) if len(first) else np.zeros(0, np.uint64), hasher.slices(first, first + windows + width - 1)
+    return first, windows, text, kernels.mix(own[first]) if len(first) else np.zeros(0, np.uint64), hasher.slices(first, first + windows + width - 1)
+
+
+def _byte_pieces(offsets: np.ndarray, width: int) -> Iterator[tuple[int, int, int]]:
+    """(first text, start, end) of the bytes that the kernels take at once; parts of a long text overlap, so that every window lies in one."""
+    for i, j in blocks.pieces(offsets):
+        a, end = int(offsets[i]), int(offsets[j])
+        while j == i + 1 and end - a > 2 * blocks.PIECE_BYTES:
+            yield i, a, a + blocks.PIECE_BYTES + width - 1
+            a += blocks.PIECE_BYTES
+        yield i, a, end
 
 
 class Segments:
-    """The segments of a block's texts."""
+    """The segments of a block's distinct texts."""
 
-    def __init__(self, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, width: int, anchor: int):
-        self.data, self.offsets = data, offsets
-        self.rank = np.unique(ids, return_inverse=True)[1]  # of a text's doc_id in the block
+    def __init__(self, block: blocks.Block, width: int, anchor: int):
+        self.data, self.offsets, self.owner = block.data, block.offsets, block.owner
         found = []
-        for i, j in blocks.pieces(offsets):
-            first, windows, text, key, whole = _segments(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], width, anchor)
-            found.append((first + offsets[i], windows, text + i, key, whole))
+        for i, a, b in _byte_pieces(block.offsets, width):
+            inside = block.offsets[np.searchsorted(block.offsets, a, side="right") : np.searchsorted(block.offsets, b)] - a
+            first, windows, text, key, whole = _segments(self.data[a:b], np.concatenate(([0], inside, [b - a])), width, anchor)
+            found.append((first + a, windows, windows * 0 + np.searchsorted(block.offsets, first + a, side="right") - 1, key, whole))
         none = np.zeros(0, np.int64)
         self.first, self.windows, self.text, self.key, self.whole = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none, none, none.astype(np.uint64), none.astype(np.uint64))
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchor hashes, which of them several documents of the block have, and each segment's place in them."""
+        """Distinct anchor hashes, which of them several texts of the block have, and each segment's place in them."""
         distinct, at, back = np.unique(self.key, return_index=True, return_inverse=True)
-        own = self.rank[self.text]
         several = np.zeros(len(distinct), dtype=bool)
-        several[back[own != own[at][back]]] = True
+        several[back[self.text != self.text[at][back]]] = True
         return distinct, several, back
 
-    def distinct(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the kept segments: places of the distinct ones (the first document's) in the order of the text, the kept places, and the distinct one of each."""
+    def bytes_of(self, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of these segments, one after the other, and their lengths."""
+        n = self.windows[at] + width - 1
+        return self.data[np.repeat(self.first[at], n) + kernels.ragged_arange(n)], n
+
+    def distinct(self, keep: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the kept segments: places of the distinct ones (the first text's) in the order of the text, the kept places, and the distinct one of each.
+
+        Segments of one hash are compared with the first of them; should their bytes differ, all are told apart by their bytes.
+        """
         at = np.flatnonzero(keep)
         _, first, back = np.unique(self.whole[at], return_index=True, return_inverse=True)
+        again = np.flatnonzero(first[back] != np.arange(len(at)))
+        for i in range(0, len(again), 1 << 16):
+            a, b = at[again[i : i + (1 << 16)]], at[first[back[again[i : i + (1 << 16)]]]]
+            (x, n), (y, m) = self.bytes_of(a, width), self.bytes_of(b, width)
+            if not (np.array_equal(n, m) and np.array_equal(x, y)):
+                body, size = self.bytes_of(at, width)
+                ends = np.cumsum(size).tolist()
+                known: dict[bytes, int] = {}
+                raw = body.tobytes()
+                back = np.array([known.setdefault(raw[e - k : e], len(known)) for e, k in zip(ends, size.tolist(), strict=True)], dtype=np.int64)
+                first = np.unique(back, return_index=True)[1]
+                break
         order = np.argsort(first)
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
         return at[first[order]], at, rank[back]
 
 
-def _deal(keys: np.ndarray, labels: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    return blocks.deal(keys, kernels.mix(keys ^ np.uint64(0xA5A5A5A55A5A5A5A)), labels)
-
-
 def _send_anchors(batches: Iterator[pa.RecordBatch], width: int, anchor: int, labels: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for row, ids, data, offsets in blocks.block_rows(batches):
-        distinct, _, _ = Segments(ids, data, offsets, width, anchor).anchors()
+    for block in blocks.block_rows(batches):
+        distinct = np.unique(Segments(block, width, anchor).key)
         if len(distinct):
-            dealt = _deal(distinct, labels)
-            yield pa.RecordBatch.from_arrays([pa.array([row["block_id"].as_py()] * len(dealt), type=pa.int64()), pa.array([b for b, _ in dealt], type=pa.int32()), pa.array([distinct[x].tobytes() for _, x in dealt], type=pa.binary())], names=["block_id", "bucket", "hashes"])
+            yield blocks.short_frames(block.id, distinct, labels)
 
 
-def _candidates(row: dict, ids: np.ndarray, data: np.ndarray, offsets: np.ndarray, width: int, anchor: int, labels: np.ndarray):
-    """A block's segments and, of those whose anchor another document has, the distinct ones, dealt by anchor."""
-    seg = Segments(ids, data, offsets, width, anchor)
+def _candidates(block: blocks.Block, width: int, anchor: int, labels: np.ndarray):
+    """A block's segments and, of those whose anchor another text has, the distinct ones, dealt by anchor."""
+    seg = Segments(block, width, anchor)
     anchors, several, back = seg.anchors()
-    shared = several | blocks.bits_of(row, _deal(anchors, labels) if len(anchors) else [], len(anchors))
-    distinct, at, of = seg.distinct(shared[back] if len(back) else np.zeros(0, bool))
-    return seg, distinct, at, of, _deal(seg.key[distinct], labels) if len(distinct) else []
+    shared = several | blocks.bits_of(block, "shared", blocks.deal(anchors, labels), len(anchors))
+    distinct, at, of = seg.distinct(shared[back] if len(back) else np.zeros(0, bool), width)
+    return seg, distinct, at, of, blocks.deal(seg.key[distinct], labels)
 
 
 def _send_segments(batches: Iterator[pa.RecordBatch], width: int, anchor: int, labels: np.ndarray) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3)
-    for row, *block in blocks.block_rows(batches):
-        seg, distinct, _, _, dealt = _candidates(row, *block, width, anchor, labels)
-        owner = seg.rank[seg.text[distinct]].astype(np.uint32)
-        length = seg.windows[distinct] + width - 1
+    for block in blocks.block_rows(batches):
+        seg, distinct, _, _, dealt = _candidates(block, width, anchor, labels)
+        owner = seg.owner[seg.text[distinct]]
         out = []
         for bucket, x in dealt:
-            n = length[x]
-            body = seg.data[np.repeat(seg.first[distinct[x]], n) + kernels.ragged_arange(n)]
+            body, n = seg.bytes_of(distinct[x], width)
             part = (kernels.mix(seg.key[distinct[x]]) >> np.uint64(48)).astype(np.uint16)
-            step = np.diff(owner[x], prepend=np.uint32(0))  # owners rise with the text
-            out.append((row["block_id"].as_py(), bucket, len(x), pack.compress(step.tobytes() + part.tobytes() + n.astype(np.uint8).tobytes() + body.tobytes())))
+            step = np.diff(owner[x], prepend=np.int64(0))  # owners rise with the text
+            out.append((bucket, len(x), pack.compress(step.tobytes() + part.tobytes() + n.astype(np.uint8).tobytes() + body.tobytes())))
         if out:
-            cols = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["block_id", "bucket", "n", "frame"])
+            yield blocks.sent_batch(block.id, out)
 
 
 def earlier_windows(strings: np.ndarray, lengths: np.ndarray, keys: np.ndarray, width: int, **limits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -172,19 +205,19 @@ def _compare(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
         for row in zip(*(b.column(n).to_pylist() for n in ("block_id", "bucket", "n", "frame")), strict=True):
             by.setdefault(row[1], []).append(row)
     for bucket in sorted(by):
-        sent = sorted(by.pop(bucket))
+        sent = by.pop(bucket)
         known: dict[bytes, int] = {}
         keys: list[int] = []
         part_of: list[int] = []
         places = []
         own = []
-        for rank, (_, _, count, frame) in enumerate(sent):
+        for _, _, count, frame in sent:
             raw = unpack.decompress(frame)
-            body = raw[7 * count :]
-            ends = np.cumsum(np.frombuffer(raw, dtype=np.uint8, count=count, offset=6 * count), dtype=np.int64).tolist()
-            key = (np.cumsum(np.frombuffer(raw, dtype=np.uint32, count=count), dtype=np.int64) + (rank << 32)).tolist()
+            body = raw[11 * count :]
+            ends = np.cumsum(np.frombuffer(raw, dtype=np.uint8, count=count, offset=10 * count), dtype=np.int64).tolist()
+            key = np.cumsum(np.frombuffer(raw, dtype=np.int64, count=count)).tolist()
             at, s = [], 0
-            for e, k, part in zip(ends, key, np.frombuffer(raw, dtype=np.uint16, count=count, offset=4 * count).tolist(), strict=True):
+            for e, k, part in zip(ends, key, np.frombuffer(raw, dtype=np.uint16, count=count, offset=8 * count).tolist(), strict=True):
                 x = known.setdefault(body[s:e], len(keys))
                 if x == len(keys):
                     keys.append(k)
@@ -215,28 +248,34 @@ def _compare(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
 
 
 def _apply(batches: Iterator[pa.RecordBatch], width: int, anchor: int, labels: np.ndarray, digest: bool) -> Iterator[pa.RecordBatch]:
-    for row, ids, *texts in blocks.block_rows(batches):
-        seg, distinct, at, of, dealt = _candidates(row, ids, *texts, width, anchor, labels)
+    for block in blocks.block_rows(batches):
+        seg, distinct, at, of, dealt = _candidates(block, width, anchor, labels)
         n = len(seg.data)
         flags = np.zeros(n, dtype=bool)
         if len(distinct):
             count = seg.windows[distinct]
             offsets = np.concatenate(([0], np.cumsum(count)))
             found = np.zeros(offsets[-1], dtype=bool)
-            replies = {x["bucket"]: x["bits"] for x in (row["compared"].as_py() or ())}
+            replies = {x["bucket"]: x["bits"] for x in (block.row["compared"].as_py() or ())}
             for bucket, x in dealt:
                 k = count[x]
                 found[np.repeat(offsets[x], k) + kernels.ragged_arange(k)] = np.unpackbits(np.frombuffer(replies[bucket], dtype=np.uint8), count=int(k.sum())).view(bool)
             k = count[of]
             inner = kernels.ragged_arange(k)
-            later = seg.rank[seg.text[at]] > seg.rank[seg.text[distinct]][of]
+            later = block.owner[seg.text[at]] > block.owner[seg.text[distinct]][of]
             gone = found[np.repeat(offsets[of], k) + inner] | np.repeat(later, k)
             flags = kernels.covered((np.repeat(seg.first[at], k) + inner)[gone], width, n)
-        out = []
-        for i, doc in enumerate(ids.tolist()):
-            s, e = seg.offsets[i], seg.offsets[i + 1]
-            out.append(_row(doc, seg.data[s:e], flags[s:e], digest))
-        yield _batch(out, digest)
+        out, size = [], 0
+        for doc, t in zip(block.ids.tolist(), block.texts.tolist(), strict=True):
+            s, e = int(seg.offsets[t]), int(seg.offsets[t + 1])
+            again = doc > block.owner[t] and e - s >= width  # every window of it is in the text's first row
+            out.append(_row(doc, seg.data[s:e], np.ones(e - s, dtype=bool) if again else flags[s:e], digest))
+            size += 0 if digest else len(out[-1][5])
+            if size > common.BATCH_BYTES:
+                yield _batch(out, digest)
+                out, size = [], 0
+        if out:
+            yield _batch(out, digest)
 
 
 def _row(doc: int | None, data: np.ndarray, flags: np.ndarray, digest: bool) -> tuple:
@@ -263,17 +302,14 @@ def _alone(batches: Iterator[pa.RecordBatch], digest: bool) -> Iterator[pa.Recor
 def remove_repeated(docs: DataFrame, width: int = BYTES, anchor: int = ANCHOR, digest: bool = False) -> DataFrame:
     """One row a document: its bytes, removed bytes and maximal removed runs, the runs and the kept bytes; with digest, the SHA-256 of the kept bytes in place of the last two."""
     spark = docs.sparkSession
-    common.prepare(spark)
-    parts = common.shuffle_partitions(spark)
-    labels = blocks.bucket_labels(spark, parts)
-    packed = blocks.pack(docs, "suffix-blocks")
+    packed = blocks.pack(docs.select("doc_id", "text"), "suffix-blocks")
+    labels = blocks.buckets(spark, packed)
     sent = packed.mapInArrow(lambda b: _send_anchors(b, width, anchor, labels), blocks.SENT_SCHEMA)
-    shared = common.stash(blocks.exchange(sent, parts, either=True), "suffix-anchors")
-    joined = packed.join(shared, "block_id", "left")
-    segments = joined.mapInArrow(lambda b: _send_segments(b, width, anchor, labels), SENT_SCHEMA)
-    compared = segments.repartition(parts, "bucket").mapInArrow(lambda b: _compare(b, width), blocks.REPLY_SCHEMA)
+    shared = common.stash(blocks.exchange(sent, labels, blocks.shared_elsewhere, "shared"), "suffix-anchors")
+    segments = packed.join(shared, "block_id", "left").mapInArrow(lambda b: _send_segments(b, width, anchor, labels), blocks.SENT_SCHEMA)
+    compared = segments.repartition(len(labels), "bucket").mapInArrow(lambda b: _compare(b, width), blocks.REPLY_SCHEMA)
     compared = common.stash(compared.groupBy("block_id").agg(F.collect_list(F.struct("bucket", "bits")).alias("compared")), "suffix-compared")
     schema = DIGEST_SCHEMA if digest else RESULT_SCHEMA
-    done = packed.join(shared, "block_id", "left").join(compared, "block_id", "left").mapInArrow(lambda b: _apply(b, width, anchor, labels, digest), schema)
+    done = packed.join(shared.join(compared, "block_id", "left"), "block_id", "left").mapInArrow(lambda b: _apply(b, width, anchor, labels, digest), schema)
     alone = docs.where(F.col("doc_id").isNull()).select("text").mapInArrow(lambda b: _alone(b, digest), schema)
     return done.unionByName(alone)

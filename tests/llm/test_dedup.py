@@ -3,11 +3,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from conftest import prose  # noqa: F401  (tests/llm/conftest.py)
 
-from siltstone.llm import bwt, simhash, substrings, suffixes
+from siltstone.llm import blocks, bwt, kernels, simhash, substrings, suffixes
 
 
 def plain_substrings(rows, width):
@@ -160,3 +161,56 @@ def test_keep_first_keeps_one_of_each_group(odd):
     assert kept.columns == odd.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert len([i for i in ids if i is not None]) == len({i for i in ids if i is not None}) and 0 in ids and 1 not in ids
+
+
+def thue_morse(n):
+    return "".join("ab"[i.bit_count() & 1] for i in range(n))
+
+
+def test_words_that_polynomials_confuse_are_told_apart(spark):
+    """Two words of 1024 bytes whose polynomials modulo 2**64 are equal for every odd base."""
+    x = thue_morse(1024)
+    y = x.translate(str.maketrans("ab", "ba"))
+    common_words = prose(11, 49)
+    rows = [(1, f"{x} {common_words}"), (2, f"{y} {common_words}"), (3, f"{x} {common_words} more")]
+    got = substrings.remove_repeated(spark.createDataFrame(rows, "doc_id long, text string"), digest=True).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got) == plain_substrings(rows, 50)
+
+
+def test_digests_depend_on_the_words_alone():
+    words = substrings.Words(*kernels.text_buffer(pa.array(["a b c d e", "a b x d e", "a  b\tc"])))
+    first, text, _ = words.windows(3)
+    of, n = blocks.groups(words.digests(first, text, 3))
+    assert n == 6 and [of[i] for i in range(len(of)) if text[i] == 2] == [of[0]]
+
+
+def test_segments_of_one_hash_are_compared():
+    r = random.Random(4)
+    rows = [(i, "".join(r.choice("ab") for _ in range(r.randint(0, 90)))) for i in range(30)]
+    texts = [t.encode() for _, t in rows]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    block = type("B", (), {"data": data, "offsets": offsets, "owner": np.arange(len(rows))})()
+    seg = suffixes.Segments(block, 12, 5)
+    seg.whole = seg.whole & kernels.U64(7)  # all but all hashes collide
+    distinct, at, of = seg.distinct(np.ones(len(seg.first), bool), 12)
+    body = lambda i: bytes(data[seg.first[i] : seg.first[i] + seg.windows[i] + 11])
+    assert all(body(a) == body(distinct[k]) for a, k in zip(at, of)) and len({body(i) for i in distinct}) == len(distinct)
+
+
+def test_repetitions_long_texts_and_repeated_ids(spark):
+    long = prose(21, 90_000)
+    rows = [(5, "a" * 300_000), (6, "b" + "a" * 70), (7, long), (8, "x " + long[300_000:301_000] + " y"), (8, long[300_000:301_000]), (3, "z" * 200_000 + long[400_000:400_400]), (9, "ab" * 100), (10, "ab" * 90_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffixes.remove_repeated(df, digest=True).collect()
+    assert sorted([(x["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got], key=repr) == plain_bytes(rows, 50)
+    got = substrings.remove_repeated(df, digest=True).collect()
+    assert sorted([(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got], key=repr) == plain_substrings(rows, 50)
+
+
+def test_both_equal_plain_versions_on_a_whole_table(spark):
+    path = "/root/testdata/sf0.001/documents.parquet"
+    docs = spark.read.parquet(path)
+    got = substrings.remove_repeated(docs, digest=True).collect()
+    assert sorted([(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got], key=repr) == plain_substrings(texts_of(docs), 50)
+    got = suffixes.remove_repeated(docs, digest=True).collect()
+    assert sorted([(x["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got], key=repr) == plain_bytes(texts_of(docs), 50)
