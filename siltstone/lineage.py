@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -9,20 +10,41 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Only where that is unset, as in tests, one is made on this machine."""
+    """The folder of spark.checkpoint.dir. Where that is unset a local session, as in tests, gets one on this machine; a cluster, whose machines share none, is an error."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
         made = spark.sparkContext._jsc.sc().getCheckpointDir()
         if not made.isDefined():
+            if not spark.sparkContext.master.split("[")[0] == "local":
+                raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines share")
             spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="siltstone-"))
             made = spark.sparkContext._jsc.sc().getCheckpointDir()
         at = made.get()
     return at.rstrip("/")
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if the session is still there."""
+    try:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:
+        pass
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _written:
+        remove(spark, path)
+
+
 def cut(df: DataFrame, name: str = "step") -> DataFrame:
-    """Write df and read it back, so that what follows does not carry its plan and a lost executor costs one step."""
+    """Write df and read it back, so that what follows does not carry its plan and a lost executor costs one step. The files go when the program ends."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
+    _written.append((df.sparkSession, path))
     return df.sparkSession.read.schema(schema).parquet(path)
