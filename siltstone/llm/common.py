@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
 import io
-import os
 import tempfile
 import uuid
 import zipfile
@@ -14,6 +12,9 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siltstone import lineage
 
 #: Rows and bytes of one Arrow batch that Spark hands to a Python worker.
 BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
@@ -24,7 +25,10 @@ _shipped: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> None:
-    """Ship this package to the executors and bound the Arrow batches; once for an application."""
+    """Ship this package to the executors, once for an application, and bound the Arrow batches of the session.
+
+    Spark reads the bounds when a plan runs, which may be long after an operator has returned it, so they stay set.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
@@ -46,60 +50,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir. Only where that is unset, as in tests, one is made on this machine."""
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        made = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = made.get() if made.isDefined() else "file://" + tempfile.mkdtemp(prefix="siltstone-")
-        if not made.isDefined():
-            spark.sparkContext.setCheckpointDir(at)
-    return at.rstrip("/")
-
-
-_written: list[tuple[SparkSession, str]] = []
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # the session may be gone at exit
-        pass
-
-
-@atexit.register
-def _clean() -> None:
-    for spark, path in _written:
-        _remove(spark, path)
+    """The folder of spark.checkpoint.dir; see lineage.shared_dir."""
+    return lineage.shared_dir(spark)
 
 
 def stash(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write df to the shared folder and read it back: this cuts the lineage, so a lost executor costs the tasks of one step only.
 
-    Shuffle files of the steps behind it are of no more use; collecting the driver's garbage lets Spark delete them.
+    Shuffle files of the steps behind it are of no more use, and Spark deletes them when the driver's garbage is collected;
+    that is asked for here, because a driver with much memory would let them fill the executors' disks.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.option("compression", codec).parquet(path)
-    _written.append((spark, path))
+    lineage._written.append((spark, path))
     del df
     release(spark)
     return spark.read.schema(schema).parquet(path)
 
 
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a folder at once."""
+    lineage.remove(spark, path)
+
+
 def drop_stash(df: DataFrame) -> None:
     """Delete the files of a stash that nothing reads any more."""
     spark = df.sparkSession
     for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        _remove(spark, f)
+        lineage.remove(spark, f)
 
 
 def positional(docs: DataFrame) -> tuple[DataFrame, list[str], dict[str, int]]:
-    """docs with its columns named by their places, those names, and the place of each old name: whatever the columns of a table are called, they can't clash with an operator's own."""
+    """docs with its columns named by their places, those names, and the place of each old name (the first, if it is there twice).
+
+    Whatever the columns of a table are called (dots, names that differ in case), they can't clash with an operator's own.
+    """
     names = [f"column_{i}_of_docs" for i in range(len(docs.columns))]
-    return docs.toDF(*names), names, {n: i for i, n in enumerate(docs.columns)}
+    at: dict[str, int] = {}
+    for i, n in enumerate(docs.columns):
+        at.setdefault(n, i)
+    return docs.toDF(*names), names, at
+
+
+def pick(docs: DataFrame, *wanted: str) -> DataFrame:
+    """The columns of exactly these names."""
+    rows, names, at = positional(docs)
+    return rows.select(*[F.col(names[at[w]]).alias(w) for w in wanted])
 
 
 def release(spark: SparkSession) -> None:

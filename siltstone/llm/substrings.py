@@ -215,7 +215,8 @@ def _alone(batches: Iterator[pa.RecordBatch], digest: bool) -> Iterator[pa.Recor
 def remove_repeated(docs: DataFrame, width: int = WORDS, digest: bool = False) -> DataFrame:
     """One row a document: its number of words, of removed words and of maximal removal intervals, the intervals (in words) and the kept text; with digest, the SHA-256 of the kept text in place of the last two."""
     spark = docs.sparkSession
-    packed = blocks.pack(docs.select("doc_id", "text"), "substring-blocks")
+    docs = common.pick(docs, "doc_id", "text")
+    packed = blocks.pack(docs, "substring-blocks")
     labels = blocks.buckets(spark, packed)
     rolled = packed.mapInArrow(lambda b: _send(b, width, labels), blocks.SENT_SCHEMA)
     shared = common.stash(blocks.exchange(rolled, labels, blocks.shared_elsewhere, "shared"), "substring-shared")

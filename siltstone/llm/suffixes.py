@@ -12,7 +12,8 @@ repetition of few bytes gives many equal segments, of which one is kept).
 Blocks of documents first exchange their distinct anchors: a segment whose
 anchor no other text has can't match.  The distinct segments left, compared byte
 by byte, go to the bucket of their anchor, where a column-wise construction (see
-bwt.py) builds the transform and the common prefixes of the bucket's strings.
+bwt.py) builds the transform and the common prefixes of the strings whose anchor
+several distinct ones have.
 Places whose common prefixes reach 50 bytes form the classes of equal windows;
 the smallest document of each class is its first, and every block gets a bit for
 each window of its segments back.
@@ -78,14 +79,14 @@ def _segments(data: np.ndarray, offsets: np.ndarray, width: int, anchor: int) ->
     return first, windows, text, kernels.mix(own[first]) if len(first) else np.zeros(0, np.uint64), hasher.slices(first, first + windows + width - 1)
 
 
-def _byte_pieces(offsets: np.ndarray, width: int) -> Iterator[tuple[int, int, int]]:
-    """(first text, start, end) of the bytes that the kernels take at once; parts of a long text overlap, so that every window lies in one."""
+def _byte_pieces(offsets: np.ndarray, width: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of the bytes that the kernels take at once; parts of a long text overlap, so that every window lies in one."""
     for i, j in blocks.pieces(offsets):
         a, end = int(offsets[i]), int(offsets[j])
         while j == i + 1 and end - a > 2 * blocks.PIECE_BYTES:
-            yield i, a, a + blocks.PIECE_BYTES + width - 1
+            yield a, a + blocks.PIECE_BYTES + width - 1
             a += blocks.PIECE_BYTES
-        yield i, a, end
+        yield a, end
 
 
 class Segments:
@@ -94,10 +95,11 @@ class Segments:
     def __init__(self, block: blocks.Block, width: int, anchor: int):
         self.data, self.offsets, self.owner = block.data, block.offsets, block.owner
         found = []
-        for i, a, b in _byte_pieces(block.offsets, width):
-            inside = block.offsets[np.searchsorted(block.offsets, a, side="right") : np.searchsorted(block.offsets, b)] - a
+        for a, b in _byte_pieces(block.offsets, width):
+            at = int(np.searchsorted(block.offsets, a, side="right"))  # the text at a is the one before
+            inside = block.offsets[at : np.searchsorted(block.offsets, b)] - a
             first, windows, text, key, whole = _segments(self.data[a:b], np.concatenate(([0], inside, [b - a])), width, anchor)
-            found.append((first + a, windows, windows * 0 + np.searchsorted(block.offsets, first + a, side="right") - 1, key, whole))
+            found.append((first + a, windows, text + at - 1, key, whole))
         none = np.zeros(0, np.int64)
         self.first, self.windows, self.text, self.key, self.whole = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none, none, none.astype(np.uint64), none.astype(np.uint64))
 
@@ -162,7 +164,7 @@ def _send_segments(batches: Iterator[pa.RecordBatch], width: int, anchor: int, l
         out = []
         for bucket, x in dealt:
             body, n = seg.bytes_of(distinct[x], width)
-            part = (kernels.mix(seg.key[distinct[x]]) >> np.uint64(48)).astype(np.uint16)
+            part = kernels.mix(seg.key[distinct[x]]).astype(np.uint32)
             step = np.diff(owner[x], prepend=np.int64(0))  # owners rise with the text
             out.append((bucket, len(x), pack.compress(step.tobytes() + part.tobytes() + n.astype(np.uint8).tobytes() + body.tobytes())))
         if out:
@@ -187,6 +189,8 @@ def earlier_windows(strings: np.ndarray, lengths: np.ndarray, keys: np.ndarray,
 
 def _collections(parts: np.ndarray, lengths: np.ndarray, most: int) -> Iterator[np.ndarray]:
     """The strings in groups of about so many symbols; strings of one part stay together."""
+    if not len(parts):
+        return
     order = np.argsort(parts, kind="stable")
     size = np.cumsum(lengths[order].astype(np.int64))
     last = np.append(parts[order][1:] != parts[order][:-1], True)
@@ -213,11 +217,11 @@ def _compare(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
         own = []
         for _, _, count, frame in sent:
             raw = unpack.decompress(frame)
-            body = raw[11 * count :]
-            ends = np.cumsum(np.frombuffer(raw, dtype=np.uint8, count=count, offset=10 * count), dtype=np.int64).tolist()
+            body = raw[13 * count :]
+            ends = np.cumsum(np.frombuffer(raw, dtype=np.uint8, count=count, offset=12 * count), dtype=np.int64).tolist()
             key = np.cumsum(np.frombuffer(raw, dtype=np.int64, count=count)).tolist()
             at, s = [], 0
-            for e, k, part in zip(ends, key, np.frombuffer(raw, dtype=np.uint16, count=count, offset=8 * count).tolist(), strict=True):
+            for e, k, part in zip(ends, key, np.frombuffer(raw, dtype=np.uint32, count=count, offset=8 * count).tolist(), strict=True):
                 x = known.setdefault(body[s:e], len(keys))
                 if x == len(keys):
                     keys.append(k)
@@ -233,8 +237,13 @@ def _compare(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
         lens = np.fromiter(map(len, strings), dtype=np.uint8, count=len(strings))
         first = np.array(keys, dtype=np.int64)
         offsets = np.concatenate(([0], np.cumsum(lens.astype(np.int64) - width + 1)))
-        least = np.empty(offsets[-1], dtype=np.int64)
-        for group in _collections(np.array(part_of, dtype=np.int64), lens, COLLECTION):
+        least = np.repeat(first, np.diff(offsets))
+        # equal windows have one anchor, so a string that is alone with its anchor is compared with none
+        parts = np.array(part_of, dtype=np.int64)
+        _, of, together = np.unique(parts, return_inverse=True, return_counts=True)
+        several = np.flatnonzero(together[of] > 1) if len(parts) else np.zeros(0, np.int64)
+        for group in _collections(parts[several], lens[several], COLLECTION):
+            group = several[group]
             data = np.frombuffer(b"".join([strings[i] for i in group.tolist()]), dtype=np.uint8)
             found, _ = earlier_windows(data, lens[group], first[group], width)
             n = lens[group].astype(np.int64) - width + 1
@@ -302,7 +311,8 @@ def _alone(batches: Iterator[pa.RecordBatch], digest: bool) -> Iterator[pa.Recor
 def remove_repeated(docs: DataFrame, width: int = BYTES, anchor: int = ANCHOR, digest: bool = False) -> DataFrame:
     """One row a document: its bytes, removed bytes and maximal removed runs, the runs and the kept bytes; with digest, the SHA-256 of the kept bytes in place of the last two."""
     spark = docs.sparkSession
-    packed = blocks.pack(docs.select("doc_id", "text"), "suffix-blocks")
+    docs = common.pick(docs, "doc_id", "text")
+    packed = blocks.pack(docs, "suffix-blocks")
     labels = blocks.buckets(spark, packed)
     sent = packed.mapInArrow(lambda b: _send_anchors(b, width, anchor, labels), blocks.SENT_SCHEMA)
     shared = common.stash(blocks.exchange(sent, labels, blocks.shared_elsewhere, "shared"), "suffix-anchors")
