@@ -4,13 +4,20 @@ Subwords are byte trigrams of the letters (ASCII lower-cased, other ASCII
 characters are spaces, one space in front and behind), hashed to buckets; a
 text is the mean of its subwords' embeddings, and a linear softmax over it
 gives the language.  Embeddings and softmax are trained together by stochastic
-gradient descent in numpy, on a bounded sample: about ``PER_LANG`` labelled
-documents of each language, chosen by a hash of doc_id, whole texts.  A part of
-the sample is held back from the gradient; it sets the temperature of the
-softmax and the score under which a prediction is rejected.
-
-Defined cases: a null text, or one without letters, is ``und`` with score 0 and
-is rejected; without labelled rows every text is ``und``.
+gradient descent in numpy, on a bounded sample: about ``PER_LANG`` labelled rows
+of each language and ``PER_LANG_BYTES`` bytes of text, chosen by a hash of doc_id
+and text, whole texts (a single text over the bytes is not learned from).  Every
+language that has a label is learned.  A part of the sample is held back from the
+gradient; it sets the temperature of the softmax and the score under which a
+prediction is rejected.
+
+Defined cases: a null text, or one without letters (Unicode category L), is
+``und`` with score 0 and is rejected; without labelled rows every text is ``und``;
+each input row gives one row, repeated rows too; a repeated labelled row (same id,
+language and text) is learned once; at equal scores the first language by name is
+taken; a null doc_id is not held out and not learned from; a text of any length
+is read whole; an empty table gives an empty result; columns besides doc_id, text
+and lang are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,11 +33,11 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import common, kernels
 
-#: Labelled documents of each language that a model is fitted on, about; and the most languages.
-PER_LANG, MAX_LANGS = 600, 200
+#: Labelled rows of each language that a model is fitted on, and the bytes of their texts, both about.
+PER_LANG, PER_LANG_BYTES = 600, 8 << 20
 BUCKETS_LOG2, DIM, EPOCHS, RATE, BATCH, SEED = 14, 16, 6, 4.0, 32, 5
 HELD_SHARE, REJECT_SHARE, REJECT_MOST = 0.2, 0.002, 0.5
-LETTER = re.compile(r"[^\W\d_]")
+LATIN = re.compile(r"[A-Za-z]")
 
 _FOLD = np.full(256, 32, dtype=np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -47,6 +54,11 @@ class Model:
     reject_below: float
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of Unicode category L."""
+    return LATIN.search(text) is not None or any(map(str.isalpha, text))
+
+
 def subwords(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all subwords, and the text of each."""
     joined = b" ".join([b"", *texts, b""])
@@ -119,7 +131,7 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarra
     total = np.maximum(np.bincount(owner, minlength=n), 1)
     logits = np.stack([np.bincount(owner, weights=model.scores[bucket, j], minlength=n) / total for j in range(len(model.langs))], axis=1) + model.bias
     p = softmax(logits / model.temperature)
-    lettered = np.fromiter((t is not None and LETTER.search(t) is not None for t in texts), dtype=bool, count=n)
+    lettered = np.fromiter((t is not None and has_letter(t) for t in texts), dtype=bool, count=n)
     best = p.argmax(axis=1)
     return [model.langs[b] if ok else "und" for b, ok in zip(best, lettered, strict=True)], np.where(lettered, p[np.arange(n), best], 0.0)
 
@@ -129,18 +141,19 @@ def in_fold(fold: int = 0, folds: int = 5):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def training_sample(docs: DataFrame, per_lang: int = PER_LANG) -> tuple[list[str], list[str]]:
-    """About per_lang labelled texts of each language, by a hash of doc_id; never those of the held-out fold."""
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~in_fold())
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+def training_sample(docs: DataFrame, per_lang: int = PER_LANG, per_lang_bytes: int = PER_LANG_BYTES) -> tuple[list[str], list[str]]:
+    """About per_lang labelled texts of each language, by a hash of id and text; never those of the held-out fold."""
+    rows = common.pick(docs, "doc_id", "text", "lang").withColumn("size", F.octet_length("text"))
+    labelled = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~in_fold() & (F.col("size") <= per_lang_bytes))
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).collect()  # one row a language
     if not counts:
         return [], []
-    rate = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, per_lang / r["count"])))])
-    place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
-    rows = labelled.where(place < rate[F.col("lang")]).select("doc_id", "lang", "text").limit(2 * per_lang * len(counts)).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
-    rows = [r for r in rows if LETTER.search(r["text"])]
-    return [r["text"] for r in rows], [r["lang"] for r in rows]
+    rates = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, per_lang / r["n"], per_lang_bytes / max(1, r["bytes"]))) for r in counts], "lang string, rate double")
+    place = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text"), F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
+    chosen = labelled.join(F.broadcast(rates), "lang").where(place < F.col("rate")).select("doc_id", "lang", "text").distinct().collect()
+    chosen.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
+    chosen = [r for r in chosen if has_letter(r["text"])]
+    return [r["text"] for r in chosen], [r["lang"] for r in chosen]
 
 
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
@@ -151,9 +164,9 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
     return train(texts, langs) if texts else None
 
 
-def _label(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[tuple[pa.RecordBatch, list[str], np.ndarray, np.ndarray]]:
-    for part in common.slices(batches):
-        texts = part.column("text").to_pylist()
+def _label(batches: Iterator[pa.RecordBatch], model: Model | None, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str], np.ndarray, np.ndarray]]:
+    for part in common.slices(batches, column):
+        texts = part.column(column).to_pylist()
         langs, score = predict(model, texts) if model else (["und"] * len(texts), np.zeros(len(texts)))
         und = np.fromiter((x == "und" for x in langs), dtype=bool, count=len(langs))
         yield part, langs, score, und | (score < (model.reject_below if model else 1))
@@ -162,22 +175,23 @@ def _label(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[t
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row a document: doc_id, whether it is held out, language, score and whether the prediction is rejected. Fits a model on docs if none is given."""
     common.prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs))  # buckets x languages: fixed by parameters
+    shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs))  # buckets x languages, whatever the documents are
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, langs, score, rejected in _label(batches, shared.value):
             yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("held_out"), pa.array(langs, type=pa.string()), pa.array(score), pa.array(rejected)], names=["doc_id", "held_out", "lang_pred", "score", "rejected"])
 
-    return docs.select("doc_id", "text", in_fold().alias("held_out")).mapInArrow(run, SCHEMA)
+    return common.pick(docs, "doc_id", "text").withColumn("held_out", in_fold()).mapInArrow(run, SCHEMA)
 
 
 def accepted(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The documents whose language is not rejected, as they are."""
     common.prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs))
+    rows, names, at = common.positional(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _, _, rejected in _label(batches, shared.value):
+        for part, _, _, rejected in _label(batches, shared.value, names[at["text"]]):
             yield part.filter(pa.array(~rejected))
 
-    return docs.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)
