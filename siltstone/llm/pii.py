@@ -6,10 +6,15 @@ sum, a wrong number of digits) is dropped without another try.  They are found
 in time linear in the text: every pattern starts only where no earlier start
 could have matched.
 
-The bootstrap: base spans are the seed entities.  The two words before a
-mention, lower-cased and with digits masked, are its lexical pattern.  Tokens
-that look like an identifier but match no base pattern are candidates of the
-kind that their form suggests, and those of no kind's form are the kind OTHER.
+The bootstrap: base spans are the seed entities, and so are quoted values behind
+a secret's name and ``=`` or ``:`` (kind secret, which is no base kind).  What
+stands around a mention is generalised (lower case, digits masked, punctuation at
+a word's edges dropped) to four lexical patterns: the two words before it; the
+second and third word before it, with any word between; the two words behind it;
+the words on both sides.  Candidates are what looks like an identifier but
+matches no base pattern: numbers in groups, local phone numbers, numbers that
+fail the Luhn sum, IPv6 and defanged addresses, ``name (at) host (dot) tld``,
+random strings of letters and digits; those of no kind's form are the kind OTHER.
 Spark scores the graph of patterns and instances in rounds: a pattern's
 reliability for a kind is the mean score of the distinct known instances of the
 kind that it meets, where each instance of another kind or form that it meets
@@ -22,13 +27,18 @@ needs ``support`` distinct known instances, seeds or accepted ones, so one
 passage that is copied often induces nothing.
 
 Defined cases: a null text counts as empty and has no spans; offsets are code
-points, ends are exclusive; each input row gives one row, repeated rows too.
+points, ends are exclusive; each input row gives one row, repeated rows too, and
+equal texts have equal spans; ids are not read, so null ids change nothing; of
+candidates that overlap the one that starts first, then the longest, counts; a
+text of any length is read whole; an empty table gives an empty result; columns
+besides doc_id and text are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,10 +49,13 @@ from pyspark.sql import functions as F
 from siltstone.llm import common
 
 KINDS = ("email", "ip", "card", "phone")
+#: Found by the method only, with the base kinds in the order of the result.
+SECRET = "secret"
+SPAN_KINDS = (*KINDS, SECRET)
 #: An identifier of no kind's form: never a span, but evidence against the patterns it stands under.
 OTHER = "other"
 ROUNDS, SUPPORT, RELIABLE, ACCEPT = 3, 3, 0.8, 0.8
-CONTEXT_WORDS, CONTEXT_CHARS = 2, 64
+CONTEXT_CHARS = 64
 
 LOCAL_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -51,6 +64,14 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 TOKEN = re.compile(r"(?<!\S)(?=[^\s0-9@]*+[0-9@])\S++")
+GROUPED = re.compile(r"(?<![\w+./-])\(?[0-9]{2,5}\)?(?:[ ./-][0-9]{2,5}){1,4}(?!\w)")
+AT = re.compile(r"\s?[(\[{<]\s?at\s?[)\]}>]\s?|\sat\s(?=[A-Za-z0-9-]{1,63}\s(?:dot|[(\[{<]))", re.IGNORECASE)
+SPELT = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?:\s?[(\[{<]\s?dot\s?[)\]}>]\s?|\sdot\s|\.)[A-Za-z0-9-]{1,63}){1,6}", re.IGNORECASE)
+IP_FORM = re.compile(r"[0-9]{1,3}(?:\[?[.:]\]?[0-9]{1,3}){3,}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7}")
+NUMBER_FORM = re.compile(r"[0-9(][0-9 ()./-]*[0-9]")
+RANDOM_FORM = re.compile(r"(?=(?:[^0-9]*[0-9]){3})(?=(?:[^A-Za-z]*[A-Za-z]){3})[A-Za-z0-9_+/=-]{16,128}")
+# Names of secrets.
+NAMED = re.compile(r"(?<![A-Za-z0-9])(?:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|password|passwd)[\"']?[ \t]{0,3}[:=][ \t]{0,3}([\"'])(?=[^\"'\s]*[0-9])(?=[^\"'\s]*[A-Za-z])([^\"'\s]{12,128})\1", re.IGNORECASE)
 EDGES = ".,;:!?\"'()[]{}<>*#$%&|"
 LUHN = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
 
@@ -95,52 +116,105 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 
 def kind_of(token: str) -> str | None:
-    """The kind that the form of an unrecognised identifier suggests."""
+    """The kind that the form of an unrecognised identifier suggests; OTHER for one of no kind's form."""
     digits = len(DIGIT.findall(token))
     if token.count("@") == 1 and token[0] != "@" and token[-1] != "@":
         return "email"
-    if digits < 6:
-        return None
-    if re.fullmatch(r"[0-9]+(?:[.:][0-9]+){3,}", token):
+    if digits >= 4 and IP_FORM.fullmatch(token):
         return "ip"
-    if re.fullmatch(r"[0-9][0-9 .-]*[0-9]", token):
-        return "card" if digits >= 12 else "phone"
-    return None
+    if digits < 6 and len(token) < 16:
+        return None
+    if NUMBER_FORM.fullmatch(token):
+        return None if digits < 6 else "card" if digits >= 12 else "phone"
+    return SECRET if RANDOM_FORM.fullmatch(token) else OTHER if digits >= 6 else None
+
+
+def general(words: list[str]) -> list[str]:
+    return [DIGIT.sub("0", w.strip(EDGES) or w).lower() for w in words]
+
+
+def patterns(text: str, start: int, end: int) -> list[str]:
+    """What stands around a mention, on its line."""
+    left = general(text[max(0, start - CONTEXT_CHARS) : start].rsplit("\n", 1)[-1].split()[-3:])
+    right = general(text[end : end + CONTEXT_CHARS].split("\n", 1)[0].lstrip(EDGES).split()[:2])
+    out = []
+    if len(left) >= 2:
+        out.append(f"{left[-2]} {left[-1]} _")
+    if len(left) >= 3:
+        out.append(f"{left[-3]} {left[-2]} * _")
+    if len(right) >= 2:
+        out.append(f"_ {right[0]} {right[1]}")
+    if left and right:
+        out.append(f"{left[-1]} _ {right[0]}")
+    return out
+
 
+def secrets(text: str) -> list[tuple[int, int]]:
+    """Quoted values behind a secret's name."""
+    return [m.span(2) for m in NAMED.finditer(text)] if '"' in text or "'" in text else []
 
-def context(text: str, start: int) -> str:
-    words = text[max(0, start - CONTEXT_CHARS) : start].rsplit("\n", 1)[-1].lower().split()[-CONTEXT_WORDS:]
-    return DIGIT.sub("0", " ".join(words)) if len(words) == CONTEXT_WORDS else ""
+
+def candidates(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of what looks like an identifier, in the order of the text; overlaps are left in."""
+    out = []
+    if DIGIT.search(text) or "@" in text:
+        for m in TOKEN.finditer(text):
+            token = m[0].strip(EDGES)
+            if 6 <= len(token) <= 128 and (kind := kind_of(token)):
+                start = m.start() + m[0].index(token)
+                out.append((kind, start, start + len(token)))
+        for m in GROUPED.finditer(text):
+            n = len(DIGIT.findall(m[0]))
+            if 7 <= n <= 19:
+                out.append(("phone" if n < 12 else "card", *m.span()))
+    for m in AT.finditer(text):
+        start = m.start() - len(tail) if (tail := _tail(text, m.start())) else None
+        host = SPELT.match(text, m.end()) if start is not None else None
+        if host:
+            out.append(("email", start, host.end()))
+    return sorted(out, key=lambda c: (c[1], -c[2]))
+
+
+def _tail(text: str, end: int) -> str:
+    """The characters of an address's local part in front of a place, 64 at most."""
+    piece = text[max(0, end - 64) : end]
+    return piece[len(piece.rstrip(LOCAL_CHARS)) :]
 
 
 def mentions(text: str, base: dict[str, list[tuple[int, int]]]) -> list[tuple]:
-    """(kind, start, end, surface, pattern, is a seed) of base spans and candidates."""
-    out = [(k, s, e, text[s:e].lower(), context(text, s), True) for k in KINDS for s, e in base[k]]
-    taken = sorted((s, e) for k in KINDS for s, e in base[k])
-    at = 0
-    for m in TOKEN.finditer(text):
-        token = m[0].strip(EDGES)
-        if not 6 <= len(token) <= 64:
-            continue
-        start = m.start() + m[0].index(token)
-        end = start + len(token)
-        while at < len(taken) and taken[at][1] <= start:
+    """(kind, start, end, surface, patterns, is a seed, is a base span) of base spans, named secrets and candidates."""
+    seeds = [(k, s, e, True) for k in KINDS for s, e in base[k]]
+    taken = sorted((s, e) for _, s, e, _ in seeds)
+    bound: list[int] = []  # the furthest end up to each taken span
+    for _, e in taken:
+        bound.append(max(e, bound[-1] if bound else 0))
+
+    def free(start: int, end: int) -> bool:
+        i = bisect_left(taken, (end, -1))  # those that start before the end
+        return not i or bound[i - 1] <= start
+
+    named = [(SECRET, s, e, False) for s, e in secrets(text) if free(s, e)]
+    out = [(k, s, e, text[s:e].lower(), patterns(text, s, e), True, own) for k, s, e, own in seeds + named]
+    done = sorted((s, e) for _, s, e, _ in named)
+    at = last = 0
+    for kind, s, e in candidates(text):
+        while at < len(done) and done[at][1] <= s:
             at += 1
-        if any(s < end and e > start for s, e in taken[at : at + 4]):
+        if s < last or not free(s, e) or (at < len(done) and done[at][0] < e):
             continue
-        kind = kind_of(token) or (OTHER if len(DIGIT.findall(token)) >= 6 else None)
-        if kind and (pattern := context(text, start)):
-            out.append((kind, start, end, token.lower(), pattern, False))
+        last = e
+        if found := patterns(text, s, e):
+            out.append((kind, s, e, text[s:e].lower(), found, False, False))
     return out
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
-    return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1], x[2])))
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (SPAN_KINDS.index(x[0]), x[1], x[2])))
 
 
-MENTION = "array<struct<kind:string,start:long,end:long,surface:string,pattern:string,seed:boolean>>"
+MENTION = "array<struct<kind:string,start:long,end:long,surface:string,patterns:array<string>,seed:boolean,base:boolean>>"
 SCAN_SCHEMA = f"row long, doc_id long, key string, n_email long, n_ip long, n_card long, n_phone long, base string, mentions {MENTION}"
-MENTION_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("surface", pa.string()), ("pattern", pa.string()), ("seed", pa.bool_())]))
+MENTION_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("surface", pa.string()), ("patterns", pa.list_(pa.string())), ("seed", pa.bool_()), ("base", pa.bool_())]))
 
 
 def text_key(text: str) -> str:
@@ -157,7 +231,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = [(k, s, e) for k in KINDS for s, e in base[k]]
             found = mentions(text, base)
             row += 1
-            for c, x in zip(cols, (row, text_key(text) if any(x[0] != OTHER for x in found) else None, *(len(base[k]) for k in KINDS), joined(spans), [dict(zip(("kind", "start", "end", "surface", "pattern", "seed"), x, strict=True)) for x in found]), strict=True):
+            for c, x in zip(cols, (row, text_key(text) if any(x[0] != OTHER for x in found) else None, *(len(base[k]) for k in KINDS), joined(spans), [dict(zip(("kind", "start", "end", "surface", "patterns", "seed", "base"), x, strict=True)) for x in found]), strict=True):
                 c.append(x)
         yield pa.RecordBatch.from_arrays(
             [pa.array(cols[0], type=pa.int64()), part.column("doc_id").cast(pa.int64()), pa.array(cols[1], type=pa.string()), *(pa.array(c, type=pa.int64()) for c in cols[2:6]), pa.array(cols[6], type=pa.string()), pa.array(cols[7], type=MENTION_TYPE)],
@@ -167,7 +241,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def bootstrap(seen: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, reliable: float = RELIABLE, accept: float = ACCEPT) -> DataFrame:
     """(kind, surface, pattern, seed) mentions to the accepted (kind, surface, score)."""
-    edges = common.stash(seen.where("pattern <> ''").groupBy("kind", "surface", "pattern").agg(F.max("seed").alias("seed")), "pii-edges")
+    edges = common.stash(seen.groupBy("kind", "surface", "pattern").agg(F.max("seed").alias("seed")), "pii-edges")
     seeds = edges.where("seed").select("kind", "surface").distinct().withColumn("score", F.lit(1.0))
     own = edges.groupBy("kind", "pattern").agg(F.count("*").alias("own"))
     every = own.groupBy("pattern").agg(F.sum("own").alias("every"))
@@ -191,14 +265,15 @@ def bootstrap(seen: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, rel
 def detect(docs: DataFrame, **limits: float) -> DataFrame:
     """One row a document: doc_id, key (of the text, null if nothing was found), counts of base spans, base and all spans as strings and the number of added spans."""
     common.prepare(docs.sparkSession)
-    scan = common.stash(docs.select("doc_id", "text").mapInArrow(_scan, SCAN_SCHEMA), "pii-scan")
+    scan = common.stash(common.pick(docs, "doc_id", "text").mapInArrow(_scan, SCAN_SCHEMA), "pii-scan")
     every = scan.where(F.size("mentions") > 0).select("row", F.explode("mentions").alias("m")).select("row", "m.*")
-    found = bootstrap(every.select("kind", "surface", "pattern", "seed"), **limits)
+    found = bootstrap(every.select("kind", "surface", F.explode("patterns").alias("pattern"), "seed"), **limits)
     added = every.where("not seed").join(found.select("kind", "surface"), ["kind", "surface"], "left_semi")
+    added = added.select("row", "kind", "start", "end").unionByName(every.where("seed and not base").select("row", "kind", "start", "end"))
     added = added.groupBy("row").agg(F.collect_list(F.concat_ws(":", "kind", "start", "end")).alias("added"))
     whole = scan.drop("mentions").join(added, "row", "left")
     # sorted by kind as listed, then start: the base spans are in that order already
-    order = F.create_map(*[F.lit(x) for p in zip(KINDS, range(len(KINDS)), strict=True) for x in p])
+    order = F.create_map(*[F.lit(x) for p in zip(SPAN_KINDS, range(len(SPAN_KINDS)), strict=True) for x in p])
     ranked = F.array_sort(F.transform(F.concat(F.filter(F.split("base", ","), lambda x: x != ""), F.col("added")), lambda x: F.struct(order[F.split(x, ":")[0]].alias("k"), F.split(x, ":")[1].cast("long").alias("s"), x.alias("x"))))
     spans = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.array_join(F.transform(ranked, lambda r: r["x"]), ","))
     return whole.select("doc_id", "key", "n_email", "n_ip", "n_card", "n_phone", "base", spans.alias("spans"), F.coalesce(F.size("added"), F.lit(0)).cast("long").alias("n_added"))
