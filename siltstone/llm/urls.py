@@ -9,16 +9,23 @@ its suffix's, a host's towards its domain's.  Each level's prior weight is
 estimated from the data by the method of moments over that level's groups, and
 is no more than the evidence that the level above has.  A
 url is blocked if the upper posterior bound of its host's good share (mean plus
-``SIGMAS`` posterior deviations) is under the threshold: hosts of which little
-is known are let pass.
+``SIGMAS`` posterior deviations) is under ``BELOW`` of the overall share: hosts that
+are clearly worse than the rest go, hosts of which little is known are let pass.
+
+A host's suffix is its last label, or its last two where the last is a country's
+(two letters) and the one before it names a registry's class (``SECOND``: co.uk,
+com.br); its registered domain is the label before the suffix with it.  Ports and
+user names are left out of that; an address in numbers is a domain of its own.
 
 An outcome of a page is the quality label (1 good, 0 bad) of the document whose
 number ends the page's path; pages without one have none.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path;
 the empty host has no outcomes and takes the overall share; without labels
-every url that no rule blocks is allowed.  Repeated rows stay; label rows for
-the same document count once (the smallest quality).
+every url that no rule blocks is allowed; no pages give no rows.  Repeated rows
+stay; label rows for the same document count once (the smallest quality); a url of
+any length is read whole; columns besides page_id, url, doc_id and quality are not
+read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,11 +37,15 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import common
 
-SIGMAS, THRESHOLD = 2.0, 0.5
+SIGMAS, BELOW = 2.0, 0.75
 #: Bounds of a prior's weight, in pages.
 LEAST_WEIGHT, MOST_WEIGHT = 1.0, 1000.0
 
 
+# Labels under which countries' registries register names.
+SECOND = ("ac", "co", "com", "edu", "gen", "go", "gob", "gouv", "gov", "govt", "gr", "ltd", "me", "mil", "ne", "net", "nhs", "nom", "or", "org", "plc", "police", "sch")
+
+
 @dataclass(frozen=True)
 class Rule:
     host: str
@@ -95,9 +106,25 @@ def shrunk(groups: DataFrame, key: str) -> DataFrame:
     return groups.select(key, "n", "good", ((F.col("good") + weight * F.col("prior_mean")) / (F.col("n") + weight)).alias("mean"), (F.col("n") + weight).alias("evidence"))
 
 
+BARE = r"^[^@]*@|:[0-9]*$"
+NUMERIC = r"^([0-9]+[.][0-9]+[.][0-9]+[.][0-9]+|\[.*\])$"
+TWO_LEVEL = rf"(^|[.])({'|'.join(SECOND)})[.][a-z][a-z]$"
+
+
+def suffix_of(host: Column) -> Column:
+    bare = F.regexp_replace(host, BARE, "")
+    return F.when(bare.rlike(NUMERIC), bare).when(bare.rlike(TWO_LEVEL), F.substring_index(bare, ".", -2)).otherwise(F.substring_index(bare, ".", -1))
+
+
+def domain_of(host: Column) -> Column:
+    bare = F.regexp_replace(host, BARE, "")
+    return F.when(bare.rlike(NUMERIC), bare).when(bare.rlike(TWO_LEVEL), F.substring_index(bare, ".", -3)).otherwise(F.substring_index(bare, ".", -2))
+
+
 def reputation(hosts: DataFrame) -> DataFrame:
-    """(host, n, good) counts of labelled outcomes to (host, mean, upper): the posterior mean and its upper bound."""
-    named = hosts.withColumn("domain", F.substring_index("host", ".", -2)).withColumn("suffix", F.substring_index("host", ".", -1))
+    """(host, n, good) counts of labelled outcomes to (host, mean, upper, overall): the posterior mean, its upper bound and the overall share."""
+    host = F.col("host")
+    named = hosts.withColumn("domain", domain_of(host)).withColumn("suffix", suffix_of(host))
     domains = named.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     every = suffixes.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
@@ -107,7 +134,7 @@ def reputation(hosts: DataFrame) -> DataFrame:
     middle = shrunk(domains.join(above(top, "suffix"), "suffix"), "domain")
     low = shrunk(named.select("host", "domain", "n", "good").join(above(middle, "domain"), "domain"), "host")
     spread = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("evidence") + 1))
-    return low.select("host", "n", "mean", (F.col("mean") + SIGMAS * spread).alias("upper"))
+    return low.select("host", "n", "mean", (F.col("mean") + SIGMAS * spread).alias("upper"), F.lit(overall).alias("overall"))
 
 
 def outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -118,19 +145,19 @@ def outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.groupBy("host").agg(F.count("quality").alias("n"), F.coalesce(F.sum(F.when(F.col("quality") > 0, 1).otherwise(0).cast("long")), F.lit(0)).alias("good"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] = RULES, threshold: float = THRESHOLD) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: tuple[Rule, ...] = RULES, below: float = BELOW) -> DataFrame:
     """One row a page: page_id, host, path, the rule that fits (else null), the verdict, and the host's posterior mean and bound."""
     url = F.col("url")
-    cut = pages.select("page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"))
-    known = reputation(common.stash(outcomes(cut, labels), "url-hosts"))
+    cut = common.pick(pages, "page_id", "url").select("page_id", "url", host_of(url).alias("host"), path_of(url).alias("path"))
+    known = reputation(common.stash(outcomes(cut, common.pick(labels, "doc_id", "quality")), "url-hosts"))
     host, path = F.col("host"), F.col("path")
     ruled = cut.withColumn("rule", first_rule(rules, host, path, "name")).withColumn("by_rule", first_rule(rules, host, path, "verdict"))
-    method = F.when(F.col("upper") < threshold, F.lit("block")).otherwise(F.lit("allow"))
+    method = F.when(F.col("upper") < F.lit(below) * F.col("overall"), F.lit("block")).otherwise(F.lit("allow"))
     joined = ruled.join(known, "host", "left")
     return joined.select("page_id", "host", "path", "rule", F.coalesce("by_rule", method).alias("verdict"), F.col("mean").alias("reputation"), "upper")
 
 
-def oracle_sql(rules: tuple[Rule, ...] = RULES, threshold: float = THRESHOLD) -> str:
+def oracle_sql(rules: tuple[Rule, ...] = RULES, below: float = BELOW) -> str:
     """page_id, host, path, rule and verdict over pages and labels, in DuckDB."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     longest_first = sorted(rules, key=lambda r: (len(r.host), len(r.path), r.name), reverse=True)
@@ -146,11 +173,15 @@ WITH cut AS (
   FROM pages
 ), named AS (
   SELECT doc_id, min(quality) AS quality FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id
+), bare AS (
+  SELECT host, path, regexp_replace(host, '{BARE}', '', 'g') AS b FROM cut
+), parts AS (
+  SELECT host, path, regexp_matches(b, '{NUMERIC}') AS numeric_, regexp_matches(b, '{TWO_LEVEL}') AS two, string_split(b, '.') AS l, b FROM bare
 ), hosts AS (
-  SELECT host, split_part(host, '.', -1) AS suffix,
-         CASE WHEN contains(host, '.') THEN split_part(host, '.', -2) || '.' || split_part(host, '.', -1) ELSE host END AS domain,
+  SELECT host, any_value(CASE WHEN numeric_ THEN b WHEN two THEN array_to_string(l[-2:], '.') ELSE l[-1] END) AS suffix,
+         any_value(CASE WHEN numeric_ THEN b WHEN two THEN array_to_string(l[-3:], '.') ELSE array_to_string(l[-2:], '.') END) AS domain,
          count(quality) AS n, CAST(count(*) FILTER (WHERE quality > 0) AS DOUBLE) AS good
-  FROM cut LEFT JOIN named ON TRY_CAST(nullif(regexp_extract(path, '([0-9]+)[^0-9/]*/?$', 1), '') AS BIGINT) = named.doc_id
+  FROM parts LEFT JOIN named ON TRY_CAST(nullif(regexp_extract(path, '([0-9]+)[^0-9/]*/?$', 1), '') AS BIGINT) = named.doc_id
   GROUP BY host
 ), domains AS (
   SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM hosts GROUP BY domain, suffix
@@ -169,6 +200,6 @@ WITH cut AS (
 ), h1 AS (SELECT host, (good + least(weight, e) * p) / (n + least(weight, e)) AS mean, n + least(weight, e) AS evidence FROM h0, hw
 )
 SELECT page_id, cut.host, path, {name} AS rule,
-       coalesce({verdict}, CASE WHEN mean + {SIGMAS} * sqrt(mean * (1 - mean) / (evidence + 1)) < {threshold} THEN 'block' ELSE 'allow' END) AS verdict
-FROM cut LEFT JOIN h1 ON cut.host = h1.host
+       coalesce({verdict}, CASE WHEN mean + {SIGMAS} * sqrt(mean * (1 - mean) / (evidence + 1)) < {below} * overall.p THEN 'block' ELSE 'allow' END) AS verdict
+FROM cut CROSS JOIN overall LEFT JOIN h1 ON cut.host = h1.host
 """.replace("cut.host, path", "cut.host AS host, path").replace("(host = ", "(cut.host = ").replace("ends_with(host,", "ends_with(cut.host,")
