@@ -13,8 +13,15 @@ The stored form of a payload is its chunks' stored frames in order; one after
 the other they are a valid zstd stream.  Payloads with equal bytes share a
 list, so equal texts have equal values.
 
+A digest that over ``HOT`` payload places name is joined apart: its frame is dealt
+to ``SALTS`` places and the payloads' references among them, so no task reads a
+third of all references because they share a chunk.
+
 Defined cases: a null text counts as empty and has a payload of 192 spaces;
-each input row gives one row; columns besides doc_id and text are not read.
+each input row gives one row, repeated rows and rows without an id too; a text of
+any length is read whole, and one payload's frames are in memory at a time; an
+empty table gives an empty result; columns besides doc_id and text are not read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -35,6 +42,7 @@ from siltstone.llm import common
 UNIT = 192
 LEAST, AVERAGE_LOG2, MOST = 2048, 13, 32768
 LEVEL = 6
+HOT, SALTS = 2000, 64
 #: The gear hash of a place depends on its last 32 bytes.
 GEAR = np.random.default_rng(11).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
@@ -167,34 +175,42 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _table([read_back(key, parts)])
 
 
-def store(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Chunk the payloads. Returns the lists (doc_id, n_bytes, payload, digests) and the chunk store (digest, frame), both written to the shared folder."""
+def store(docs: DataFrame) -> tuple[DataFrame, DataFrame, tuple[str, str]]:
+    """Chunk the payloads. Returns the lists (doc_id, n_bytes, payload, digests) and the chunk store (digest, frame), both written to the shared folder, and the name and folder of the store's table."""
     spark = docs.sparkSession
     common.prepare(spark)
     parts = common.shuffle_partitions(spark)
-    lists = common.stash(docs.select("doc_id", "text").mapInArrow(_lists, LIST_SCHEMA), "media-lists")
-    bodies = docs.select("text").mapInArrow(_bodies, "digest binary, frame binary").repartition(parts, "digest").groupBy("digest").agg(F.first("frame").alias("frame"))
+    texts = common.pick(docs, "doc_id", "text")
+    lists = common.stash(texts.mapInArrow(_lists, LIST_SCHEMA), "media-lists")
+    bodies = texts.select("text").mapInArrow(_bodies, "digest binary, frame binary").repartition(parts, "digest").groupBy("digest").agg(F.first("frame").alias("frame"))
     name = f"media_chunks_{uuid.uuid4().hex}"
     path = f"{common.shared_dir(spark)}/{name}"
     bodies.write.option("compression", "uncompressed").option("path", path).bucketBy(parts, "digest").saveAsTable(name)
-    common._written.append((spark, path))
     common.release(spark)
-    return lists, spark.table(name)
+    return lists, spark.table(name), (name, path)
 
 
-def reconstruct(lists: DataFrame, chunks_at: DataFrame) -> DataFrame:
+def reconstruct(lists: DataFrame, chunks_at: DataFrame, hot: int = HOT) -> DataFrame:
     """One row a payload, from the stored chunks."""
     wanted = lists.select("payload", "digests").dropDuplicates(["payload"])
-    refs = wanted.select("payload", F.size("digests").alias("n"), F.posexplode("digests").alias("place", "digest"))
-    single = refs.where("n = 1").join(chunks_at, "digest").select("payload", "digest", "frame").mapInArrow(_single, RESULT_SCHEMA)
-    several = refs.where("n > 1").join(chunks_at, "digest").select("payload", "place", "digest", "frame")
-    several = several.repartition(common.shuffle_partitions(lists.sparkSession), "payload").sortWithinPartitions("payload", "place").mapInArrow(_several, RESULT_SCHEMA)
+    single = wanted.where(F.size("digests") == 1).select("payload", F.col("digests")[0].alias("digest"))
+    single = single.join(chunks_at, "digest").select("payload", "digest", "frame").mapInArrow(_single, RESULT_SCHEMA)
+    refs = wanted.where(F.size("digests") > 1).select("payload", F.posexplode("digests").alias("place", "digest"))
+    often = common.stash(refs.groupBy("digest").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("digest"), "media-hot")  # a thousandth of the references at most
+    cold = refs.join(often, "digest", "left_anti").join(chunks_at, "digest").select("payload", "place", "digest", "frame")
+    salt = F.pmod(F.hash("payload", "place"), F.lit(SALTS)).alias("salt")
+    dealt = chunks_at.join(often, "digest", "left_semi").select("digest", "frame", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    warm = refs.join(often, "digest", "left_semi").select("payload", "place", "digest", salt).join(dealt, ["digest", "salt"]).select("payload", "place", "digest", "frame")
+    several = cold.unionByName(warm).repartition(common.shuffle_partitions(lists.sparkSession), "payload").sortWithinPartitions("payload", "place").mapInArrow(_several, RESULT_SCHEMA)
     return single.unionByName(several)
 
 
-def round_trip(docs: DataFrame) -> DataFrame:
-    """One row a document: doc_id, n_bytes and what was read back from the store."""
-    lists, chunks_at = store(docs)
-    found = common.stash(reconstruct(lists, chunks_at), "media-read")
+def round_trip(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """One row a document: doc_id, n_bytes and what was read back from the store. The store itself is deleted when it has been read."""
+    spark = docs.sparkSession
+    lists, chunks_at, (name, path) = store(docs)
+    found = common.stash(reconstruct(lists, chunks_at, hot), "media-read")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    common.forget(spark, path)
     # lists name every payload, and many rows can share one: the join's hot keys are split by adaptive execution
     return lists.select("doc_id", "n_bytes", "payload").join(found, "payload").drop("payload")
