@@ -22,8 +22,10 @@ bits.  Within a group a search over the group's own fingerprints emits a
 spanning forest of the links, never all pairs.
 
 Defined cases: null texts count as empty; rows with equal fingerprints are one
-node with their smallest doc_id; a null doc_id gives a null component unless
-another row shares its fingerprint; an empty table gives an empty result.
+node with their smallest doc_id, repeated rows too; a null doc_id gives a null
+component unless another row shares its fingerprint; an empty table gives an empty
+result; a text of any length is read whole; columns besides doc_id and text are
+not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -89,7 +91,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp): fp is the 64-bit fingerprint as a signed long."""
     common.prepare(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id long, fp long")
+    return common.pick(docs, "doc_id", "text").mapInArrow(_fingerprints, "doc_id long, fp long")
 
 
 def link_forest(fps: np.ndarray, must: int = 0, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:

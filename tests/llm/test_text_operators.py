@@ -116,10 +116,40 @@ def test_contamination(odd, nothing, bench, spark):
     turned = spark.createDataFrame([(1, "x " + " ".join(words[15:]) + " y z " + " ".join(words[:15])), (2, " ".join(words[:20]))], "doc_id long, text string")
     assert [(r["doc_id"], r["n_tiles"]) for r in decontaminate.contaminated(turned, bench).collect()] == [(1, 2)]
     kept = decontaminate.clean(odd, bench)
-    assert kept.columns == odd.columns and not {0, 1, 2} & {r["doc_id"] for r in kept.collect()} and kept.where("doc_id is null").count() == 2
+    # of the rows without an id the one that holds the item goes too
+    assert kept.columns == odd.columns and not {0, 1, 2} & {r["doc_id"] for r in kept.collect()} and [r["text"] for r in kept.where("doc_id is null").collect()] == [None]
     assert decontaminate.clean(odd, bench.limit(0)).count() == odd.count() and decontaminate.clean(nothing, bench).count() == 0
 
 
+def test_short_items_and_items_without_an_id(spark):
+    items = spark.createDataFrame([(1, "red green blue teal"), (None, "one two three four five six"), (None, "x"), (5, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a Red, green blue TEAL b"), (2, "red green blue"), (3, "zero one two three four five six"), (4, "blue teal red green"), (5, "y x z")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"] or 0, r["n_tiles"], r["coverage"]) for r in decontaminate.contaminated(docs, items).collect())
+    assert got == [(1, 1, 1, 1.0), (3, 0, 1, 1.0), (5, 0, 1, 1.0)]
+    assert sorted(r["doc_id"] for r in decontaminate.clean(docs, items).collect()) == [2, 4]
+
+
+def test_contamination_equals_a_plain_version_on_a_whole_table(spark):
+    """Greedy tiling of every pair that has five tokens in a row in common; others have no tile."""
+    sf = "/root/testdata/sf0.001"
+    split = lambda t: re.findall(r"[^\W_]+" if (t or "").isascii() else r"(?:[a-z0-9]|[^\x00-\x7f])+", (t or "").lower())
+    docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    runs = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    wanted = [(r["item_id"], split(r["text"])) for r in items.collect()]
+    want = {}
+    for r in docs.collect():
+        words = split(r["text"])
+        mine = runs(words)
+        for item, tokens in wanted:
+            if mine & runs(tokens):
+                tiles = plain_tiles(tokens, words, 5)
+                n = sum(t[2] for t in tiles)
+                if n >= 0.8 * len(tokens):
+                    want[r["doc_id"], item] = (len(tiles), n)
+    got = {(r["doc_id"], r["item_id"]): (r["n_tiles"], r["n_covered"]) for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == want and len(want) >= 3
+
+
 def test_licences(odd, nothing, spark):
     assert licences.scan(odd).count() == odd.count() and licences.scan(nothing).count() == 0
     texts = [
@@ -154,6 +184,29 @@ def test_media(odd, nothing):
     assert got[0][0]["media_sha256"] == got[1][0]["media_sha256"] and got[9][0]["feature"].startswith("chunks=") and not got[9][0]["feature"].startswith("chunks=1;")
 
 
+def test_media_with_hot_chunks_and_no_table_left(spark, odd):
+    head = "".join(chr(97 + (i * i // 7) % 26) for i in range(70_000))
+    rows = [(i, head + f" {i} " * 900) for i in range(12)] + [(12, "short"), (13, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cold, hot = ({r["doc_id"]: r.asDict() for r in media.round_trip(docs, hot=h).collect()} for h in (10**9, 3))
+    assert cold == hot and len(hot) == 14 and not [t.name for t in spark.catalog.listTables() if t.name.startswith("media_chunks")]
+
+
+def test_suffixes_and_domains(spark):
+    hosts = {"a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "www.x.com": ("x.com", "com"), "x.com:8080": ("x.com", "com"), "u@x.org": ("x.org", "org"), "10.0.0.1": ("10.0.0.1", "10.0.0.1"), "[::1]": ("[::1]", "[::1]"), "": ("", ""), "localhost": ("localhost", "localhost"), "a.nic.uk": ("nic.uk", "uk"), "shop.com.br": ("shop.com.br", "com.br")}
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", urls.domain_of(F.col("host")).alias("d"), urls.suffix_of(F.col("host")).alias("s")).collect()
+    assert {r["host"]: (r["d"], r["s"]) for r in rows} == hosts
+
+
+def test_a_host_is_judged_against_the_rest(spark):
+    pages = [(i, f"http://{'mixed' if i < 1000 else f'h{i % 40}'}.org/{i}") for i in range(5000)]
+    labels = [(i, int(i % 10 < 5) if i < 1000 else int(i // 40 % 10 > 0)) for i in range(5000)]
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int"))
+    assert {r["host"] for r in got.where("verdict = 'block'").select("host").distinct().collect()} == {"mixed.org"}
+
+
 def test_chunk_ends():
     r = np.random.default_rng(2)
     for n in (0, 1, 192, 2048, 2049, 50_000, 400_000):
@@ -214,7 +267,8 @@ def test_raking_meets_the_marginals():
     keys = [(s, l, t) for s in "abc" for l in "xy" for t in "12"]
     words = r.integers(1, 100, len(keys)).astype(float)
     targets = [{"a": 0.2, "b": 0.3, "c": 0.5}, {"x": 0.6, "y": 0.4}, {"1": 0.5, "2": 0.5}]
-    w = mixing.rake(keys, words, targets)
+    w, gap = mixing.rake(keys, words, targets)
+    assert gap < 1e-9
     for d, target in enumerate(targets):
         for v, want in target.items():
             assert abs(sum(x for k, x in zip(keys, w) if k[d] == v) - want) < 1e-6
@@ -233,13 +287,57 @@ def test_mixing(odd, nothing, spark):
     assert kept.columns == odd.columns and kept.count() == sum(r["sampled"] for r in got) and mixing.sample(nothing).count() == 0
 
 
-def test_both_ways_of_raking_agree(spark, monkeypatch):
-    rows = spark.createDataFrame([(i, f"{w} " * (3 + i % 7), l, s) for i, (w, l, s) in enumerate((w, l, s) for w in ("river", "mountain", "cloud") for l in ("en", "fr", None) for s in ("a", "b", "c", "d"))], "doc_id long, text string, lang string, source string")
-    weighed = mixing.weighed(rows)
-    here = {(r["source"], r["lang"], r["topic"]): r["probability"] for r in mixing.probabilities(weighed).collect()}
-    monkeypatch.setattr(mixing, "MOST_CELLS", 0)
-    there = {(r["source"], r["lang"], r["topic"]): r["probability"] for r in mixing.probabilities(weighed).collect()}
-    assert here.keys() == there.keys() and all(abs(here[k] - there[k]) < 1e-4 for k in here)
+def test_the_query_equals_a_plain_version(spark):
+    """Cells, raking and sampling of the whole table by plain loops; topics and places are taken as given."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [r.asDict() for r in mixing.weighed(docs).collect()]
+    assert len({r["topic"] for r in rows}) > 4 and len(rows) == docs.count()
+    by_text = {r["doc_id"]: len((r["text"] or "").split()) for r in docs.collect()}
+    assert all(r["n_tokens"] == by_text[r["doc_id"]] for r in rows)
+    cells = {}
+    for r in rows:
+        k = (r["source"], r["lang"], r["topic"])
+        cells[k] = cells.get(k, 0) + r["n_tokens"]
+    total = sum(cells.values())
+    want = []
+    for d in range(3):
+        sums = {}
+        for k, n in cells.items():
+            sums[k[d]] = sums.get(k[d], 0) + n
+        root = {v: n**0.5 for v, n in sums.items()}
+        want.append({v: x / sum(root.values()) for v, x in root.items()})
+    w = {k: n / total for k, n in cells.items()}
+    for _ in range(500):
+        for d in range(3):
+            now = {}
+            for k, x in w.items():
+                now[k[d]] = now.get(k[d], 0) + x
+            w = {k: x * want[d][k[d]] / now[k[d]] for k, x in w.items()}
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        f = (low + high) / 2
+        low, high = (f, high) if sum(min(n, f * w[k]) for k, n in cells.items()) < 0.5 * total else (low, f)
+    p = {k: min(1, f * w[k] / n) for k, n in cells.items()}
+    got = {r["doc_id"]: r for r in mixing.mix(docs).collect()}
+    for r in rows:
+        k = (r["source"], r["lang"], r["topic"])
+        g = got[r["doc_id"]]
+        assert (g["source"], g["lang"], g["topic"]) == k and abs(g["probability"] - p[k]) < 1e-6 and g["gap"] <= 1e-6
+        assert abs(r["place"] - p[k]) < 1e-6 or g["sampled"] == (r["place"] < p[k])
+
+
+def test_targets_that_cannot_be_met_are_told(spark):
+    rows = [(i, "word " * 9, "en" if i % 2 else "fr", "a" if i % 2 else "b") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    with pytest.warns(UserWarning, match="gap"):
+        got = mixing.mix(docs, targets=[{"a": 0.5, "b": 0.5}, {"en": 0.9, "fr": 0.1}, {"none": 1.0, **{f"t{k}": 1.0 for k in range(8)}}]).collect()
+    assert all(r["gap"] > 0.1 for r in got)
+
+
+def test_a_null_source_is_no_text(spark):
+    rows = [(i, "river mountain " * 5, "en", "(null)" if i % 2 else None) for i in range(40)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert len(got) == 40 and {r["source"] for r in got} == {None, "(null)"} and len({(r["source"], r["weight"]) for r in got}) == 2
 
 
 def test_language(spark):
@@ -247,7 +345,7 @@ def test_language(spark):
     fr = "le la les des et est une dans pour que qui sur avec par pas au".split()
     r = np.random.default_rng(5)
     rows = [(i, " ".join(r.choice(en if i % 2 else fr, r.integers(3, 60))), "en" if i % 2 else "fr") for i in range(400)]
-    rows += [(900, None, "en"), (901, "", None), (902, "123 !!!", "en"), (903, "the of and to in is", None), (None, "le la les des et", None)]
+    rows += [(900, None, "en"), (901, "", None), (902, "123 ½ ² ³ Ⅷ !!!", "en"), (903, "the of and to in is", None), (None, "le la les des et", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {x["doc_id"]: x for x in langid.identify(docs).collect()}
     held = [i for i in range(400) if got[i]["held_out"]]
