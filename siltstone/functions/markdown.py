@@ -150,16 +150,21 @@ def imports(code: Column) -> Column:
     return F.array_sort(F.array_distinct(F.regexp_extract_all(code, F.lit(IMPORT), F.lit(1))))
 
 
-def namespaced_imports(code: str, module: str = "nl80211", functions: tuple[str, ...] = ("request", "listener", "waitfor", "const")) -> str:
-    """An import of the reserved name ``const`` from a module becomes one of the whole module, and what it brought is called through it."""
-    pattern = re.compile(rf"import\s*\{{[^}}]*\bconst\b[^}}]*\}}\s*from\s*(['\"]){module}\1;?")
-    if not pattern.search(code):
-        return code
-    head, tail = pattern.split(code, maxsplit=1)[0], code[pattern.search(code).end() :]
-    names = [x for x in ("error", *functions) if x != "const"]
-    tail = re.sub(rf"(?<![\w.])({'|'.join(names)})(?=\()", rf"{module}.\1", tail)
-    tail = re.sub(r"(?<![\w.])const\.", f"{module}.const.", tail)
-    return f"{head}import * as {module} from '{module}';{tail}"
+_BY_NAME = re.compile(r"import\s*\{([^}]*)\}\s*from\s*(['\"])(\w+)\2;?")
+
+
+def namespaced_imports(code: str) -> str:
+    """An import of the reserved name ``const`` from a module becomes one of the whole module, and what it brought is called through it from there on."""
+    for m in _BY_NAME.finditer(code):
+        names = [n.strip() for n in m[1].split(",")]
+        if "const" not in names:
+            continue
+        called = "|".join(re.escape(n) for n in names if n and n != "const")
+        tail = re.sub(r"(?<![\w.])const(?=\.)", f"{m[3]}.const", code[m.end() :])
+        if called:
+            tail = re.sub(rf"(?<![\w.])({called})(?=\()", rf"{m[3]}.\1", tail)
+        return f"{code[: m.start()]}import * as {m[3]} from '{m[3]}';{tail}"
+    return code
 
 
 class _Table(HTMLParser):

@@ -167,14 +167,14 @@ def payload_ok(summary: Column, when_to_use: Column, related: Column) -> Column:
 
 def email(value: Column) -> Column:
     """An address with `` at `` undone and without angle brackets."""
-    return F.btrim(F.replace(F.trim(value), F.lit(" at "), F.lit("@")), F.lit("<>"))
+    return F.btrim(F.replace(strip(value), F.lit(" at "), F.lit("@")), F.lit("<>"))
 
 
 def message_ids(value: Column) -> Column:
-    """All ``<...>`` of a header, else the trimmed whole; a missing or empty header has none."""
+    """All ``<...>`` of a header, else the whole without white space around it; a missing or empty header has none."""
     found = F.regexp_extract_all(value, F.lit("<[^>]+>"), F.lit(0))
     none = F.array().cast("array<string>")
-    return F.when(F.coalesce(value, F.lit("")) == "", none).when(F.size(found) > 0, found).otherwise(F.array(F.trim(value)))
+    return F.when(F.coalesce(value, F.lit("")) == "", none).when(F.size(found) > 0, found).otherwise(F.array(strip(value)))
 
 
 def sort_date(date_iso: Column) -> Column:

@@ -2,28 +2,95 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import text
+from siltstone.lineage import cut
+
+
+def _steps(sizes: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each document as the start of a part: the start of the next part in the block (or its length), and what
+    the last part of the block holds and how many parts start from here on if this one does."""
+    n = len(sizes)
+    sums = np.concatenate(([0], np.cumsum(sizes)))
+    following = np.maximum(np.searchsorted(sums, sums[:-1] + budget, side="right") - 1, np.arange(1, n + 1))
+    following = np.minimum(following, n)
+    used, count = np.empty(n, dtype=np.int64), np.empty(n, dtype=np.int64)
+    for i in range(n - 1, -1, -1):
+        k = following[i]
+        used[i], count[i] = (used[k], count[k] + 1) if k < n else (sums[n] - sums[i], 1)
+    return following, used, count
+
+
+def _first_start(sizes: np.ndarray, used: int, budget: int) -> int:
+    """The first document of a block that starts a new part if the running one holds so much already."""
+    return int(np.searchsorted(np.cumsum(sizes), budget - used, side="right"))
+
+
+def _summary(block: pd.DataFrame, budget: int) -> pd.DataFrame:
+    """What a block does to a running part: for each document that can be the first to start one, up to which size of the
+    running part that is so, and what comes out; a document that can't be reached from any size is left out."""
+    sizes = block["n"].to_numpy()
+    sums = np.cumsum(sizes)
+    _, used, count = _steps(sizes, budget)
+    reach = np.concatenate(([True], sums[:-1] <= budget))  # every size from 0 on keeps what is before
+    at = np.flatnonzero(reach)
+    return pd.DataFrame({"block": [block["block"].iloc[0]], "total": [int(sums[-1])], "sums": [sums[at].tolist()], "used": [used[at].tolist()], "parts": [count[at].tolist()]})
+
+
+def _chained(blocks: pd.DataFrame, budget: int) -> pd.DataFrame:
+    """The size and number of the running part in front of each block of a group, by walking over the blocks' summaries."""
+    out, used, part = [], None, 0
+    for r in blocks.sort_values("block").itertuples():
+        out.append((r.block, used if used is not None else budget + 1, part))
+        i = 0 if used is None else int(np.searchsorted(np.asarray(r.sums), budget - used, side="right"))
+        if i < len(r.sums):
+            used, part = int(r.used[i]), part + int(r.parts[i])
+        else:
+            used += int(r.total)
+    return pd.DataFrame(out, columns=["block", "before", "part"])
+
+
+def _numbered(block: pd.DataFrame, budget: int) -> np.ndarray:
+    """The part of each document of a block, from the size and number of the part that runs in front of it."""
+    sizes = block["n"].to_numpy()
+    following, _, _ = _steps(sizes, budget)
+    starts, i = np.zeros(len(sizes), dtype=np.int64), _first_start(sizes, int(block["before"].iloc[0]), budget)
+    while i < len(sizes):
+        starts[i] = 1
+        i = int(following[i])
+    return int(block["first_part"].iloc[0]) + np.cumsum(starts)
 
 
 def shards(documents: DataFrame, budget: int, group: str = "module", order: str = "file", size: str = "token_count") -> DataFrame:
     """(group, order, size, part): greedy parts in order; a document starts a new part if it would take the running one over the budget.
 
-    A part's sum restarts where the last one ended, so this is no window sum: the
-    fold runs over (order, size) pairs of a group, never over texts.
+    A part's sum restarts where the last one ended, so this is no window sum.  The
+    pairs (order, size) are sorted by range into blocks, so a group may span many.
+    Each block tells what it does to a part that runs into it (a few numbers for
+    each document that such a part can reach), the blocks of a group are chained
+    over those, and then every block numbers its documents by itself.  The time is
+    linear in the documents, and no task holds more than a block.
     """
-    pairs = documents.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("n")))).alias("docs"))
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.lit(0).alias("part"), F.array().cast("array<int>").alias("parts"))
+    key = documents.schema[group].dataType.simpleString()
+    place = documents.schema[order].dataType.simpleString()
+    pairs = documents.select(F.col(group).alias("g"), F.col(order).alias("o"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("n"))
+    sorted_pairs = pairs.repartitionByRange("g", "o").sortWithinPartitions("g", "o", "n")
+    blocks = cut(sorted_pairs.select(F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("at"), "g", "o", "n"), "shard-blocks")
+    summary = blocks.groupBy("g", "block").applyInPandas(lambda k, d: _summary(d.sort_values("at"), budget).assign(g=[k[0]]), f"block int, total long, sums array<long>, used array<long>, parts array<long>, g {key}")
+    running = cut(summary.groupBy("g").applyInPandas(lambda k, d: _chained(d, budget).assign(g=k[0]), f"block int, before long, part long, g {key}"), "shard-running")
+    running = running.select(F.col("g").alias("rg"), F.col("block").alias("rb"), "before", F.col("part").alias("first_part"))
+    joined = blocks.join(running, F.col("g").eqNullSafe(F.col("rg")) & (F.col("block") == F.col("rb")))
 
-    def step(acc, doc):
-        fresh = (acc["part"] == 0) | (acc["used"] + doc["n"] > budget)
-        part = F.when(fresh, acc["part"] + 1).otherwise(acc["part"])
-        return F.struct(F.when(fresh, doc["n"]).otherwise(acc["used"] + doc["n"]).alias("used"), part.alias("part"), F.concat(acc["parts"], F.array(part)).alias("parts"))
+    def number(_, d: pd.DataFrame) -> pd.DataFrame:
+        d = d.sort_values("at")
+        return pd.DataFrame({"g": d["g"], "o": d["o"], "n": d["n"], "part": _numbered(d, budget).astype(np.int32)})
 
-    folded = pairs.select(group, F.explode(F.arrays_zip("docs", F.aggregate("docs", start, step)["parts"].alias("parts"))).alias("x"))
-    return folded.select(group, F.col("x.docs.o").alias(order), F.col("x.docs.n").alias(size), F.col("x.parts").alias("part"))
+    out = joined.groupBy("g", "block").applyInPandas(number, f"g {key}, o {place}, n long, part int")
+    return out.select(F.col("g").alias(group), F.col("o").alias(order), F.col("n").alias(size), "part")
 
 
 def part_totals(sharded: DataFrame, group: str = "module", size: str = "token_count") -> DataFrame:
@@ -47,9 +114,9 @@ def module_drift(current: DataFrame, baseline: DataFrame | None) -> DataFrame:
 
 def missing_on_rerun(existing: DataFrame, incoming: DataFrame, key: str = "module") -> DataFrame:
     """What a partial rerun would lose: existing without incoming, but only if the incoming are a strict subset."""
-    new = incoming.join(existing, key, "left_anti").select(F.lit(True).alias("x")).limit(1)
+    fresh = incoming.join(existing, key, "left_anti").agg(F.count("*").alias("fresh"))  # one row
     lost = existing.join(incoming, key, "left_anti").select(key).distinct()
-    return lost.limit(0) if not new.isEmpty() else lost
+    return lost.join(F.broadcast(fresh), F.col("fresh") == 0).select(key)
 
 
 LINK = r"\[[^\]]*\]\(([^)\s]+)\)"
@@ -106,6 +173,36 @@ def content_mismatches(a: DataFrame, b: DataFrame) -> DataFrame:
 #: Files that a release tree has, at its root and in every module.
 ROOT_FILES = ("llms.txt", "llms-full.txt", "README.md", "AGENTS.md", "index.html")
 MODULE_FILES = ("llms.txt", "map.md", "bundled-reference.md")
+#: Fields that the header of a page no longer has, and what a page says that is an error and no page.
+STALE_FIELDS = r"(?m)\A---\n(?:[^\n]*\n)*?(?:original_url|upstream_path|language):"
+ERROR_PAGE = r"(?i)\A\s*(?:<!doctype html>\s*)?(?:<html[^>]*>\s*)?(?:<head>\s*)?(?:<title>)?\s*(?:404|403|500|502|503)\b|this topic does not exist yet"
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    every = frames[0]
+    for d in frames[1:]:
+        every = every.unionByName(d)
+    return every
+
+
+def page_problems(tree: DataFrame) -> DataFrame:
+    """(check, subject) of what the index, the router and the pages of a release tree (path, content) have wrong: an index that does not mirror the tree, a router without its parts, stale header fields, pages that are no Markdown or an error."""
+    parts = tree.select("path", "content", F.split("path", "/").alias("p"))
+    problem = lambda d, check, subject: d.select(F.lit(check).alias("check"), subject.alias("subject"))
+    text_page = F.col("path").rlike("[.](md|html|txt)$")
+    hrefs = parts.where(F.col("path") == "index.html").select("path", F.explode(F.array_distinct(F.regexp_extract_all("content", F.lit("href=[\"']([^\"'#?]+)"), F.lit(1)))).alias("target")).where(~F.col("target").rlike("^[A-Za-z][A-Za-z0-9+.-]*:"))
+    listed = hrefs.select(F.regexp_replace("target", r"^\./", "").alias("path"))
+    entries = tree.where(F.col("path").endswith("/llms.txt")).select("path")
+    router = tree.where(F.col("path") == "llms.txt")
+    out = [
+        problem(listed.join(tree.select("path"), "path", "left_anti"), "index names a file that is not there", F.col("path")),
+        problem(entries.join(listed, "path", "left_anti"), "index lacks a module", F.col("path")),
+        problem(router.where(~F.col("content").rlike("(?m)^# ") | ~F.col("content").rlike(r"(?m)^- \[[^\]]+\]\(")), "router without a title or entries", F.col("path")),
+        problem(tree.where(F.col("path").endswith(".md") & F.col("content").rlike(STALE_FIELDS)), "stale field", F.col("path")),
+        problem(parts.where((F.size("p") > 2) & (F.col("p")[1] == "chunked-reference") & ~F.col("path").endswith(".md")), "not Markdown", F.col("path")),
+        problem(tree.where(text_page & F.col("content").rlike(ERROR_PAGE)), "error page", F.col("path")),
+    ]
+    return _all(out)
 
 
 def tree_problems(tree: DataFrame, modules: DataFrame, least_modules: int = 4, router_bytes: int = 512, most_bytes: int = 2_000_000) -> DataFrame:
@@ -131,10 +228,7 @@ def tree_problems(tree: DataFrame, modules: DataFrame, least_modules: int = 4, r
         problem(tree.where(F.col("path").endswith(".html") & F.col("content").rlike("href=[\"']\\.\\./")), "link out of the tree", F.col("path")),
         problem(dead_links(tree, tree), "dead link", F.concat_ws(" -> ", "path", "resolved")),
     ]
-    every = out[0]
-    for d in out[1:]:
-        every = every.unionByName(d)
-    return every
+    return _all(out)
 
 
 def incomplete_catalogue(files: DataFrame, listed: DataFrame) -> DataFrame:

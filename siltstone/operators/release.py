@@ -59,6 +59,30 @@ def banner(commits: dict[str, str]) -> str:
     return ", ".join(f"{name}@{commit}" for name, commit in commits.items())
 
 
+def missing_names(environment: dict[str, str | None]) -> list[str]:
+    """The names of a version banner that have no value, in their order."""
+    return [name for name, value in environment.items() if not (value or "").strip()]
+
+
+def inject_summary(docs: DataFrame) -> DataFrame:
+    """Pages (frontmatter, body, ai_summary, ai_when_to_use, ai_related_topics) as ``content`` with the three fields in their header.
+
+    The header's lines stay in their order: a field that is there is replaced in
+    its place, others come at the end.  Values are written as JSON, which YAML
+    reads.  A page without a summary stays as it is.
+    """
+    values = {"ai_summary": F.to_json(F.array("ai_summary")), "ai_when_to_use": F.to_json(F.array("ai_when_to_use"))}
+    new = {k: F.concat(F.lit(f"{k}: "), F.substring(v, 2, 1 << 30).substr(F.lit(1), F.length(v) - 2)) for k, v in values.items()}
+    new["ai_related_topics"] = F.concat(F.lit("ai_related_topics: "), F.to_json("ai_related_topics"))
+    header = F.col("frontmatter")
+    for key, line in new.items():
+        there = header.rlike(rf"(?m)^{key}:")
+        quoted = F.replace(F.replace(line, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
+        header = F.when(there, F.regexp_replace(header, F.lit(rf"(?m)^{key}:[^\n]*(?:\n[ \t-][^\n]*)*"), quoted)).otherwise(F.concat_ws("\n", header, line))
+    whole = lambda h: F.concat(F.lit("---\n"), h, F.lit("\n---\n"), "body")
+    return docs.withColumn("content", F.when(F.coalesce(F.trim("ai_summary"), F.lit("")) != "", whole(header)).otherwise(whole(F.col("frontmatter"))))
+
+
 def with_commit(docs: DataFrame, owners: dict[str, str], commits: dict[str, str]) -> DataFrame:
     """The commit of the repository that owns each document's module; null where none does."""
     known = {m: commits[r] for m, r in owners.items() if r in commits}

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions import fixed, text
+from siltstone.lineage import cut
 
 KEY = ["module", "slug"]
 FIELDS = ("title", "content_hash", "ai_summary", "ai_when_to_use", "ai_related_topics", "generated_at", "saved_at", "model", "pipeline_version")
@@ -157,6 +158,31 @@ def save(old: DataFrame, new: DataFrame, now: str) -> DataFrame:
     return upsert(old, stamped)
 
 
+def promote(target: DataFrame, source: DataFrame) -> tuple[DataFrame, int]:
+    """Records of a target layer with all of a source layer put over them, none taken away, and how many those are; a source without records is an error."""
+    n = source.count()
+    if not n:
+        raise ValueError("there are no records to promote")
+    return upsert(target, source), n
+
+
+def scratch(documents: DataFrame, base: DataFrame, override: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Written copies of the documents and both layers, apart from the originals, for a dry run; they go when the program ends."""
+    return cut(documents, "scratch-documents"), cut(base, "scratch-base"), cut(override, "scratch-override")
+
+
+def preflight(records: DataFrame, documents: DataFrame, base: DataFrame, override: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is looked at before any summary is made: the issues of the records, with all that refers to documents as warnings, and the audit's counts."""
+    return issues(records, documents, warn=("orphan", "title", "hash")), audit_counts(audit(documents, base, override))
+
+
+def capped(decided: DataFrame, most: int, *order: str) -> DataFrame:
+    """Documents with their decision, where only the first so many to be generated are and the others wait. (A cap on paid calls: the limit is the feature.)"""
+    wanted = decided.where("decision = 'generate'").orderBy(*order).limit(most).select(*order, F.lit(True).alias("within"))
+    rest = F.when((F.col("decision") == "generate") & F.col("within").isNull(), "waiting").otherwise(F.col("decision"))
+    return decided.join(wanted, list(order), "left").withColumn("decision", rest).drop("within")
+
+
 def repaired(documents: DataFrame, base: DataFrame, override: DataFrame, now: str) -> DataFrame:
     """Base records whose title or date is to be set right: current or pinned, without an override, and with another title than the document or no date."""
     current = base.where("readable").join(documents.select(*KEY, F.col("title").alias("doc_title"), "body_hash"), KEY).join(override, KEY, "left_anti")

@@ -266,9 +266,14 @@ def commit_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.commits(F.col("text")), " ").alias("commits"))
 
 
-@query()
+#: A sentence's end gets a mark, so that no look-around is needed: the capital or digit behind the white space is put back.
+WHITE = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+SENTENCES_SQL = r"list_filter(list_transform(string_split(regexp_replace(regexp_replace(replace({c}, chr(13), ''), '\n{{2,}}', '.' || chr(10), 'g'), '([.!?])\s+([A-Z0-9])', '\1' || chr(31) || '\2', 'g'), chr(31)), lambda x: trim(x, " + WHITE + r")), lambda x: x <> '')"
+
+
+@query(f"WITH s AS (SELECT doc_id, {SENTENCES_SQL.format(c='text')} AS s FROM documents) SELECT doc_id, CAST(len(s) AS INTEGER) AS n_sentences, s[1] AS first FROM s")
 def sentence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentences end before white space and a capital or digit, by look-around; the oracle's regular expressions have none."""
+    """Sentences end before white space and a capital or digit."""
     s = text.sentences(F.col("text"))
     return table(spark, sf_dir, "documents").select("doc_id", F.size(s).alias("n_sentences"), F.try_element_at(s, F.lit(1)).alias("first"))
 
@@ -292,7 +297,7 @@ THREADS_SQL = f"""
 turns AS (SELECT *, split_part(text, chr(10), 1) AS subject FROM conversations),
 rolled AS (
   SELECT CAST(conv_id AS VARCHAR) AS thread_id, arg_min(subject, turn) AS subject, count(*) AS message_count, count(DISTINCT role) FILTER (WHERE role <> '') AS author_count,
-    bool_or({_re(fixed.PROBLEM)}) AS problem, bool_or({_re(fixed.CORRECTION)}) AS correction, bool_or({_word("NACK?")}) AS nack,
+    {_re(fixed.PROBLEM, "string_agg(text, chr(10) ORDER BY turn)")} AS problem, {_re(fixed.CORRECTION, "string_agg(text, chr(10) ORDER BY turn)")} AS correction, {_word("NACK?", "string_agg(text, chr(10) ORDER BY turn)")} AS nack,
     bool_or({_re(fixed.FILE_REFERENCE)}) OR bool_or(len(list_filter(string_split_regex(lower(text), '[^a-z0-9_À-ɏ]+'), lambda x: regexp_full_match(x, '[a-f0-9]{{7,12}}'))) > 0) AS refs,
     bool_or({_re(fixed.SIGNALS["has_compiler_error"])}) AS compiler_error, bool_or({_re(fixed.SIGNALS["has_stack_trace"])}) AS stack_trace, bool_or({_re(fixed.SIGNALS["has_build_error"])}) AS build_error,
     bool_or(regexp_matches(text, {lit(fixed.SIGNALS["has_code_block"])})) AS code_block, bool_or({_re(fixed.SIGNALS["has_reference_urls"])}) AS urls, bool_or({_re(fixed.SIGNALS["has_patch_revision"])}) AS revision
@@ -328,20 +333,60 @@ def thread_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return threads.roots(as_messages(spark, sf_dir).select("id", "parent", "ordinal"))
 
 
-@query()
+LESSONS_SQL = f"""{THREADS_SQL}, kept AS (SELECT * FROM scored WHERE score_cents >= {LOW}),
+numbers AS (SELECT thread_id, printf('lesson-%04d', row_number() OVER (ORDER BY score_cents DESC, lower(subject), thread_id)) AS lesson_id FROM kept),
+cut AS (SELECT CAST(conv_id AS VARCHAR) AS thread_id, turn, role, text, {SENTENCES_SQL.format(c="text")} AS s FROM conversations WHERE CAST(conv_id AS VARCHAR) IN (SELECT thread_id FROM kept)),
+hits AS (SELECT *, list_position(list_transform(s, lambda x: {_re(fixed.PROBLEM, "x")}), true) AS p, list_position(list_transform(s, lambda x: {_re(fixed.CORRECTION, "x")}), true) AS f FROM cut),
+shown AS (SELECT *, CASE WHEN p > 0 THEN array_to_string(s[greatest(1, p - 1) : CASE WHEN p = 1 THEN 3 ELSE p + 2 END], ' ') END AS problem, CASE WHEN f > 0 THEN array_to_string(s[greatest(1, f - 1) : CASE WHEN f = 1 THEN 3 ELSE f + 2 END], ' ') END AS fix FROM hits),
+first_problem AS (SELECT thread_id, arg_min(problem, turn) AS problem, arg_min(role, turn) AS author FROM shown WHERE problem IS NOT NULL GROUP BY thread_id),
+others AS (SELECT s.* FROM shown s LEFT JOIN first_problem a USING (thread_id) WHERE coalesce(author, '') = '' OR role <> author),
+asked AS (SELECT * FROM others UNION ALL SELECT s.* FROM shown s WHERE thread_id NOT IN (SELECT thread_id FROM others)),
+first_fix AS (SELECT thread_id, arg_min(fix, turn) AS fix FROM asked WHERE fix IS NOT NULL GROUP BY thread_id),
+gathered AS (SELECT CAST(conv_id AS VARCHAR) AS thread_id, bool_or({_re(fixed.FILE_REFERENCE)}) AS files, flatten(list(CASE WHEN len({CATEGORIES_SQL}) > 0 THEN {CATEGORIES_SQL} ELSE ['uncategorized'] END ORDER BY turn)) AS every FROM conversations GROUP BY conv_id),
+marks AS (SELECT thread_id, files, list_filter(every, lambda x, i: list_position(every, x) = i) AS categories FROM gathered),
+lessons AS (SELECT lesson_id, k.thread_id, score_cents, score_cents / 100.0 AS score, problem, fix, coalesce(files, false) AS files, categories, regexp_replace(subject, '^(?:Re:\\s*)*(?:\\[[^\\]]+\\]\\s*)+', '') AS bare
+  FROM kept k JOIN numbers USING (thread_id) LEFT JOIN first_problem USING (thread_id) LEFT JOIN first_fix USING (thread_id) LEFT JOIN marks USING (thread_id)),
+titled AS (SELECT *, CASE WHEN problem IS NOT NULL AND fix IS NOT NULL THEN trim(bare) || ': mistake and correction' WHEN problem IS NOT NULL THEN trim(bare) || ': recurring problem pattern' WHEN trim(bare) <> '' THEN trim(bare) ELSE thread_id END AS title,
+  CASE WHEN problem IS NOT NULL AND fix IS NOT NULL THEN 'complete' WHEN problem IS NOT NULL AND files THEN 'searchable' WHEN problem IS NOT NULL THEN 'problem-only' ELSE 'fragmentary' END AS level FROM lessons)
+"""
+
+
+@query(f"WITH {LESSONS_SQL} SELECT lesson_id, thread_id, title, score, array_to_string(categories, ' ') AS categories, problem, fix, level FROM titled")
 def lesson_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snippets need sentences by look-around: no oracle; tested against a plain version."""
     m = as_messages(spark, sf_dir)
     found = threads.lessons(m, threads.passing(threads.rollup(m), LOW))
     return found.select("lesson_id", "thread_id", "title", "score", F.array_join("categories", " ").alias("categories"), F.col("problem.snippet").alias("problem"), F.col("fix.snippet").alias("fix"), F.col("completeness.level").alias("level"))
 
 
-@query()
+@query(
+    f"""WITH {LESSONS_SQL}, each AS (SELECT categories[1] AS category, score_cents, title, lesson_id, list_concat(categories, list_filter(regexp_extract_all(lower(coalesce(problem, '')), '[A-Za-z][A-Za-z0-9_.:-]{{2,}}'), lambda x: x NOT IN ({", ".join(map(lit, fixed.STOP_WORDS))}))) AS s FROM titled),
+flat AS (SELECT category, score_cents, lower(title) AS low, lesson_id, unnest(s) AS signal, generate_subscripts(s, 1) AS at_ FROM each),
+counted AS (SELECT category, signal, count(*) AS n, min((-score_cents, low, lesson_id, at_)) AS seen FROM flat GROUP BY category, signal),
+ranked AS (SELECT category, signal, n, CAST(row_number() OVER (PARTITION BY category ORDER BY n DESC, seen) AS INTEGER) AS rank FROM counted)
+SELECT * FROM ranked WHERE rank <= 12"""
+)
 def common_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = as_messages(spark, sf_dir)
     return threads.common_signals(threads.lessons(m, threads.passing(threads.rollup(m), LOW)))
 
 
+@query(f"WITH {LESSONS_SQL} SELECT DISTINCT unnest(categories) AS category FROM titled")
+def lesson_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = as_messages(spark, sf_dir)
+    return threads.distinct_categories(threads.passing(threads.rollup(m), LOW))
+
+
+@query(f"WITH {LESSONS_SQL} SELECT level, count(*) AS n FROM titled GROUP BY level")
+def lesson_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = as_messages(spark, sf_dir)
+    return threads.completeness_counts(threads.lessons(m, threads.passing(threads.rollup(m), LOW)))
+
+
+@query(f"WITH {THREADS_SQL} SELECT CAST(least(score_cents, 99) // 10 * 10 AS INTEGER) AS low, count(*) AS n FROM scored GROUP BY 1")
+def score_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threads.score_bands(threads.rollup(as_messages(spark, sf_dir)))
+
+
 @query(
     """WITH t AS (SELECT d.source, unnest(regexp_extract_all(lower(text), '[A-Za-z][A-Za-z0-9_.:-]{2,}')) AS token FROM documents d),
 c AS (SELECT source, token, count(*) AS n FROM t WHERE token NOT IN ("""
@@ -359,13 +404,17 @@ def top_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("rank", rank).where(F.col("rank") <= 12)
 
 
-@query()
+@query(
+    f"""WITH t AS (SELECT *, conv_id || '-' || turn AS id, trim(text, {WHITE}) AS body FROM conversations), k AS (SELECT *, len({KEYWORDS_SQL.replace("(text,", "(chr(10) || body,")}) AS n FROM t)
+SELECT '<' || id || '@x>' AS message_id, CASE WHEN turn > 0 THEN '<' || conv_id || '-' || (turn - 1) || '@x>' END AS in_reply_to, role || '@example.com' AS from_addr, '2026-03-09T10:00:00+01:00' AS date_iso, sha256(body) AS body, CAST(n AS INTEGER) AS n_keywords,
+  CASE WHEN turn = 0 AND (length(regexp_replace(body, '[^A-Za-z]', '', 'g')) < 20 OR (n = 0 AND length(body) < 40)) THEN 'dropped' ELSE 'primary' END AS disposition FROM k"""
+)
 def mail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns written as mail messages and parsed again; headers and bodies take a MIME parser."""
+    """Turns written as mail messages and parsed again."""
     m = as_messages(spark, sf_dir)
-    raw = F.concat_ws("\n", F.concat(F.lit("Message-ID: <"), "id", F.lit("@x>")), F.concat(F.lit("In-Reply-To: <"), "parent", F.lit("@x>")), F.concat(F.lit("From: "), "sender", F.lit(" at example.com ("), "sender", F.lit(")")), F.lit("Date: Mon, 09 Mar 2026 10:00:00 +0100"), F.lit("Content-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: 8bit"), F.lit("\nSubject: none\n"), F.col("body"))
+    raw = F.concat_ws("\n", F.concat(F.lit("Message-ID: <"), "id", F.lit("@x>")), F.concat(F.lit("In-Reply-To: <"), "parent", F.lit("@x>")), F.concat(F.lit("From: "), "sender", F.lit(" at example.com ("), "sender", F.lit(")")), F.lit("Date: Mon, 09 Mar 2026 10:00:00 +0100"), F.lit("Content-Type: text/plain; charset=utf-8\nContent-Transfer-Encoding: 8bit"), F.lit("Subject:\n"), F.col("body"))
     found = mail.records(m.select("source_file", "byte_offset", F.lit("From x").alias("from_line"), raw.cast("binary").alias("message")))
-    return found.select("message_id", "in_reply_to", "from_addr", "date_iso", F.length("body_for_scoring").alias("n_body"), F.size("keyword_matches").alias("n_keywords"), "disposition")
+    return found.select("message_id", "in_reply_to", "from_addr", "date_iso", F.sha2("body_for_scoring", 256).alias("body"), F.size("keyword_matches").alias("n_keywords"), "disposition")
 
 
 # --- packing, drift, links, plans --------------------------------------------------------------------------------------
@@ -464,7 +513,7 @@ def artifact_census(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cleaned_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables, footnotes and marks of whole pages as Markdown; takes an HTML parser."""
     p = table(spark, sf_dir, "pages")
-    return p.select("page_id", F.length("html").alias("n_before"), F.length(markdown.cleaned("url", "html")).alias("n_after"))
+    return p.select("page_id", markdown.cleaned("url", "html").alias("content"))
 
 
 @query(
@@ -543,7 +592,7 @@ def linked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links into texts need their positions and the code around them: a function over whole texts."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"))
     registry = _symbols(spark, sf_dir).select("symbol", F.concat(F.lit("symbols/"), "symbol").alias("target"))
-    return release.link(docs, registry).select("path", F.regexp_count("content", F.lit(r"\]\(symbols/")).alias("n_links"), F.length("content").alias("n_chars"))
+    return release.link(docs, registry).select("path", "content")
 
 
 @query(

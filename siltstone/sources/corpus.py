@@ -7,8 +7,11 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from siltstone.functions import markdown, mail, text
 
@@ -131,7 +134,74 @@ def scenarios(markdown_text: DataFrame, metadata: DataFrame) -> DataFrame:
     return rows.join(metadata, "id", "left")
 
 
+_DECODER = json.JSONDecoder()
+
+
+def split_objects(line: str) -> list[str]:
+    """The JSON values that follow one another in a line, with or without white space or commas between; what can't be read ends the list."""
+    out, at = [], 0
+    while at < len(line):
+        if line[at] in " \t\r\n,":
+            at += 1
+            continue
+        try:
+            _, end = _DECODER.raw_decode(line, at)
+        except ValueError:
+            break
+        out.append(line[at:end])
+        at = end
+    return out
+
+
+@pandas_udf(T.ArrayType(T.StringType()))
+def _objects(lines: pd.Series) -> pd.Series:
+    return pd.Series([split_objects(x or "") for x in lines], dtype=object)
+
+
 def concatenated_json(lines: DataFrame, schema: str, column: str = "value") -> DataFrame:
-    """Rows of objects that were written one after the other without a break, ``}{``, or one a line."""
-    whole = F.concat(F.lit("["), F.regexp_replace(F.trim(column), r"\}\s*\{", "},{"), F.lit("]"))
-    return lines.where(F.trim(column) != "").select(F.explode(F.from_json(whole, f"array<struct<{schema}>>")).alias("r")).select("r.*")
+    """Rows of objects that were written one after the other without a break, ``}{``, or one a line; braces inside strings are left alone."""
+    each = lines.select(F.explode(_objects(F.col(column))).alias("one"))
+    return each.select(F.from_json("one", f"struct<{schema}>").alias("r")).where("r is not null").select("r.*")
+
+
+def relative(path: Column, root: str) -> Column:
+    """A file's path below a root, with forward slashes; a path outside it stays as it is."""
+    clean = F.regexp_replace(F.replace(path, F.lit("\\"), F.lit("/")), "^file:/*", "/")
+    base = root.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
+    return F.when(clean.startswith(base), F.substring(clean, len(base) + 1, 1 << 30)).otherwise(clean)
+
+
+C_COMMENT = r"(?s)/\*\*(.*?)\*/\s*([^\n{;]*)"
+
+
+def documented(files: DataFrame) -> DataFrame:
+    """(path, content) of sources to (path, ordinal, comment, declares): each ``/** */`` block without its stars, and the line that it stands before."""
+    found = files.select("path", F.posexplode(F.regexp_extract_all("content", F.lit(C_COMMENT), F.lit(0))).alias("ordinal", "block"))
+    comment = F.regexp_replace(F.regexp_extract("block", C_COMMENT, 1), r"(?m)^[ \t]*\*[ \t]?", "")
+    return found.select("path", "ordinal", text.strip(comment).alias("comment"), F.trim(F.regexp_extract("block", C_COMMENT, 2)).alias("declares"))
+
+
+def makefile_metadata(files: DataFrame) -> DataFrame:
+    """(path, content) of package makefiles to (path, key, value) of their ``PKG_`` lines, the last of a key."""
+    lines = files.select("path", F.posexplode(F.split("content", "\n")).alias("at", "line")).where(F.col("line").rlike(r"^PKG_[A-Z_]+\s*[:?]?="))
+    pairs = lines.select("path", "at", F.regexp_extract("line", r"^(PKG_[A-Z_]+)", 1).alias("key"), F.trim(F.regexp_extract("line", r"=(.*)$", 1)).alias("value"))
+    return pairs.groupBy("path", "key").agg(F.max_by("value", "at").alias("value"))
+
+
+def cookbook(spark: SparkSession, root: str) -> DataFrame:
+    """Authored pages as documents: the slug is the file's name, the header's fields are their metadata; pages without a header are authored too."""
+    module, slug = parts(F.col("path"), ".md")
+    files = whole_files(spark, root, "*.md").select("path", module.alias("module"), slug.alias("slug"), "content")
+    read = files.select("module", "slug", F.coalesce(markdown.body(F.col("content")), F.col("content")).alias("content"), markdown.header(markdown.frontmatter(F.col("content"))).alias("h"))
+    return read.select("module", F.lit("authored").alias("origin_type"), "slug", "content", F.coalesce(F.from_json("h.header", "map<string,string>"), F.create_map().cast("map<string,string>")).alias("metadata"))
+
+
+# What a challenge page of a bot guard says instead of the page.
+CHALLENGE = r"(?i)checking your browser|enable javascript and cookies|just a moment\.\.\.|verify you are human|captcha"
+
+
+def fetched_verdict(url: Column, final_url: Column, html: Column, site: str) -> Column:
+    """Why a fetched page is not taken: off-site (its address is of another host), redirected (it was led to another host), challenge (a bot guard's page); else kept."""
+    host = lambda u: F.lower(F.regexp_extract(u, r"^[A-Za-z]+://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    own = lambda h: (h == site) | h.endswith("." + site)
+    return F.when(~own(host(url)), "off-site").when(final_url.isNotNull() & ~own(host(final_url)), "redirected").when(F.coalesce(html, F.lit("")).rlike(CHALLENGE), "challenge").otherwise("kept")
