@@ -75,6 +75,11 @@ def forget(spark: SparkSession, path: str) -> None:
     lineage.remove(spark, path)
 
 
+def keep_until_exit(spark: SparkSession, path: str) -> None:
+    """Delete a folder when the program ends."""
+    lineage._written.append((spark, path))
+
+
 def drop_stash(df: DataFrame) -> None:
     """Delete the files of a stash that nothing reads any more."""
     spark = df.sparkSession
