@@ -59,4 +59,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The statements of the queries that SQL can express over whole tables."""
-    return {"op4_licences": licences.oracle_sql(), "op7_urls": urls.oracle_sql()}
+    return {"op2_substring_dedup": substrings.oracle_sql(), "op4_licences": licences.oracle_sql(), "op7_urls": urls.oracle_sql(), "op8_suffix_dedup": suffixes.oracle_sql()}

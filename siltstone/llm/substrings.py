@@ -226,3 +226,18 @@ def remove_repeated(docs: DataFrame, width: int = WORDS, digest: bool = False) -
     schema = DIGEST_SCHEMA if digest else RESULT_SCHEMA
     alone = docs.where(F.col("doc_id").isNull()).select("text").mapInArrow(lambda b: _alone(b, digest), schema)
     return joined.mapInArrow(lambda b: _apply(b, width, labels, digest), schema).unionByName(alone)
+
+
+def oracle_sql() -> str:
+    """The digest rows of the documents table, in DuckDB: every window as its words."""
+    return r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+places AS (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM t),
+windows AS (SELECT r, doc_id, i, array_to_string(w[i:i + 49], ' ') AS k FROM places),
+least_ AS (SELECT k, min(doc_id) AS m FROM windows GROUP BY k),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS j FROM windows JOIN least_ USING (k) WHERE m < doc_id),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM t),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY j) AS body FROM words ANTI JOIN gone USING (r, j) GROUP BY r),
+runs AS (SELECT r, count(*) AS n, count(*) FILTER (WHERE before IS NULL OR j - before > 1) AS spans FROM (SELECT r, j, lag(j) OVER (PARTITION BY r ORDER BY j) AS before FROM gone) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(coalesce(body, '')) AS kept_sha256 FROM t LEFT JOIN kept USING (r) LEFT JOIN runs USING (r)
+"""

@@ -323,3 +323,18 @@ def remove_repeated(docs: DataFrame, width: int = BYTES, anchor: int = ANCHOR, d
     done = packed.join(shared.join(compared, "block_id", "left"), "block_id", "left").mapInArrow(lambda b: _apply(b, width, anchor, labels, digest), schema)
     alone = docs.where(F.col("doc_id").isNull()).select("text").mapInArrow(lambda b: _alone(b, digest), schema)
     return done.unionByName(alone)
+
+
+def oracle_sql() -> str:
+    """The digest rows of the documents table, in DuckDB: every window as its bytes."""
+    return """
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+places AS (SELECT r, doc_id, b, unnest(range(1, octet_length(b) - 48)) AS i FROM t),
+windows AS (SELECT r, doc_id, i, b[i:i + 49] AS k FROM places),
+least_ AS (SELECT k, min(doc_id) AS m FROM windows GROUP BY k),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS j FROM windows JOIN least_ USING (k) WHERE m < doc_id),
+bytes AS (SELECT r, unnest(l) AS x, generate_subscripts(l, 1) AS j FROM (SELECT r, regexp_extract_all(hex(b), '..') AS l FROM t)),
+kept AS (SELECT r, string_agg(x, '' ORDER BY j) AS body FROM bytes ANTI JOIN gone USING (r, j) GROUP BY r),
+runs AS (SELECT r, count(*) AS n, count(*) FILTER (WHERE before IS NULL OR j - before > 1) AS spans FROM (SELECT r, j, lag(j) OVER (PARTITION BY r ORDER BY j) AS before FROM gone) GROUP BY r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, coalesce(n, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(body, ''))) AS kept_sha256 FROM t LEFT JOIN kept USING (r) LEFT JOIN runs USING (r)
+"""
