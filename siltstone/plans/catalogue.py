@@ -587,9 +587,14 @@ def deprecated_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warned.select(F.col("path").alias("doc_id"), (listed != "").alias("warned"), listed.alias("deprecated")).where("warned")
 
 
-@query()
+#: Of each document the known words, each linked where it first stands.
+LINKED_SQL = f"""WITH {SYMBOLS_SQL}, w AS (SELECT doc_id, text, {WORDS_SQL} AS symbol FROM documents), known AS (SELECT doc_id, list(symbol ORDER BY symbol) AS symbols FROM w JOIN sym USING (symbol) GROUP BY doc_id)
+SELECT CAST(d.doc_id AS VARCHAR) AS path, CASE WHEN symbols IS NULL THEN text ELSE list_reduce(symbols, lambda acc, s: regexp_replace(acc, '(^|[^0-9A-Za-z_.À-ɏ])' || s || '($|[^0-9A-Za-z_À-ɏ])', '\\1[' || s || '](symbols/' || s || ')\\2'), text) END AS content FROM documents d LEFT JOIN known k ON d.doc_id = k.doc_id"""
+
+
+@query(LINKED_SQL)
 def linked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links into texts need their positions and the code around them: a function over whole texts."""
+    """Whole texts with links (the tables have no code, tags or links in which a word would be left alone)."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"))
     registry = _symbols(spark, sf_dir).select("symbol", F.concat(F.lit("symbols/"), "symbol").alias("target"))
     return release.link(docs, registry).select("path", "content")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from siltstone import lineage
 from siltstone.functions import fixed, mail, markdown, text
 from siltstone.operators import layout, release, store, threads
-from siltstone.plans.catalogue import KEYWORDS_SQL, STORE_SQL, as_messages, lit, query, semantic, table
+from siltstone.plans.catalogue import KEYWORDS_SQL, LESSONS_SQL, LOW, STORE_SQL, as_messages, layers, lit, query, semantic, table
 from siltstone.sources import corpus, runs, sinks
 
 _trees: dict[tuple[str, str, str], str] = {}
@@ -602,8 +602,6 @@ def cyclic_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def cross_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base records against their documents' hashes."""
-    from siltstone.plans.catalogue import layers
-
     found = store.lookup(semantic(spark, sf_dir), layers(spark, sf_dir)[0], layers(spark, sf_dir)[0].limit(0))
     return found.where("record is not null").select("slug", (F.col("status") == "stale").alias("stale"))
 
@@ -617,3 +615,90 @@ def thread_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("WITH t AS (SELECT conv_id, count(DISTINCT role) AS f, count(*) AS n FROM conversations GROUP BY conv_id) SELECT count(*) AS threads_created, count(*) FILTER (WHERE f > 1) AS cross_month_threads, CAST(sum(n) AS BIGINT) AS messages_threaded FROM t")
 def thread_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return threads.thread_totals(threads.rollup(as_messages(spark, sf_dir).withColumn("source_file", F.col("sender"))))
+
+
+# --- sources of code, links, reports -----------------------------------------------------------------------------------
+
+
+@query("SELECT 'f' || item_id || '.c' AS path, CAST(0 AS INTEGER) AS ordinal, 'About ' || item_id || '.' || chr(10) || trim(text) AS comment, 'int f' || item_id || '(void)' AS declares FROM benchmark UNION ALL SELECT 'f' || item_id || '.c', 1, 'Second.', 'void g' FROM benchmark")
+def documented_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items as the comments of C sources."""
+    n = number("item_id")
+    content = F.concat(F.lit("#include <x.h>\n/**\n * About "), n, F.lit(".\n * "), F.trim("text"), F.lit("\n */\nint f"), n, F.lit("(void)\n{\n}\n/* plain */\n/** Second. */ void g;\n"))
+    root = tree(spark, sf_dir, "sources", lambda: table(spark, sf_dir, "benchmark").select(F.concat(F.lit("f"), n, F.lit(".c")).alias("path"), content.alias("content")))
+    files = corpus.whole_files(spark, root, "*.c")
+    return corpus.documented(files.select(corpus.relative(F.col("path"), root).alias("path"), "content"))
+
+
+@query("SELECT 'p' || item_id || '/Makefile' AS path, unnest(['PKG_NAME', 'PKG_VERSION']) AS key, unnest(['p' || item_id, '2.' || item_id]) AS value FROM benchmark")
+def package_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items as package makefiles; the second version counts."""
+    n = number("item_id")
+    content = F.concat(F.lit("include x.mk\nPKG_NAME:=p"), n, F.lit("\nPKG_VERSION:=1."), n, F.lit("\nPKG_VERSION := 2."), n, F.lit("\nOTHER:=PKG_NAME\n"))
+    root = tree(spark, sf_dir, "packages", lambda: table(spark, sf_dir, "benchmark").select(F.concat(F.lit("p"), n, F.lit("/Makefile")).alias("path"), content.alias("content")))
+    files = corpus.whole_files(spark, root, "Makefile")
+    return corpus.makefile_metadata(files.select(corpus.relative(F.col("path"), root).alias("path"), "content"))
+
+
+@query("SELECT 'cook' AS module, 'authored' AS origin_type, 'page-' || item_id AS slug, sha256(text) AS content, CASE WHEN item_id % 3 > 0 THEN 'Page ' || item_id END AS title FROM benchmark")
+def cookbook_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items as authored pages; every third has no header."""
+    n = number("item_id")
+    header = F.when(F.col("item_id") % 3 > 0, F.concat(F.lit("---\ntitle: Page "), n, F.lit("\nlevel: easy\n---\n"))).otherwise("")
+    root = tree(spark, sf_dir, "cookbook", lambda: table(spark, sf_dir, "benchmark").select(F.concat(F.lit("cook/page-"), n, F.lit(".md")).alias("path"), F.concat(header, "text").alias("content")))
+    return corpus.cookbook(spark, root).select("module", "origin_type", "slug", F.sha2("content", 256).alias("content"), F.try_element_at("metadata", F.lit("title")).alias("title"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'fs mod' || doc_id % 10 ELSE 'mod' || doc_id % 10 END AS imports, CASE doc_id % 3 WHEN 0 THEN 'bash' WHEN 1 THEN 'json' ELSE 'ucode' END AS lang, 'import * as mod' || doc_id % 10 || ' from ''mod' || doc_id % 10 || ''';' || chr(10) || 'mod' || doc_id % 10 || '.run(mod' || doc_id % 10 || '.const.X);' AS fixed FROM documents")
+def script_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code made from the documents' numbers: what it imports, the language of its fence, an import of a reserved name put right."""
+    from pyspark.sql.functions import pandas_udf
+
+    own = F.concat(F.lit("mod"), (F.col("doc_id") % 10).cast("string"))
+    code = F.concat(F.lit("import { run, const } from '"), own, F.lit("';\nrun(const.X);"))
+    imports = F.concat(code, F.when(F.col("doc_id") % 2 == 0, "\nimport 'fs';").otherwise(""))
+    fence = F.element_at(F.array(F.lit("$ ls -l"), F.lit('{"a": 1}'), F.lit("let x = 1;")), (F.col("doc_id") % 3 + 1).cast("int"))
+    named = pandas_udf(lambda s: s.map(lambda x: markdown.code_blocks(markdown.normalise_fences(f"```\n{x}\n```\n", "ucode"))[0][0]), "string")
+    right = pandas_udf(lambda s: s.map(markdown.namespaced_imports), "string")
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(markdown.imports(imports), " ").alias("imports"), named(fence).alias("lang"), right(code).alias("fixed"))
+
+
+HINTS_SQL = "MAP {" + ", ".join(f"{lit(k)}: [{', '.join(map(lit, v))}]" for k, v in fixed.SEARCH_HINTS.items()) + "}"
+
+
+@query(f"WITH c AS (SELECT doc_id, [{lit('networking')}, CASE WHEN doc_id % 2 = 0 THEN {lit('build-system')} ELSE 'uncategorized' END] AS cats FROM documents) SELECT doc_id, array_to_string(list_concat(flatten(list_transform(cats, lambda k: coalesce({HINTS_SQL}[k], []))), CASE WHEN doc_id % 3 = 0 THEN ['grep -R \"a.c\" .', 'grep -R \"b.h\" .'] ELSE [] END), chr(10)) AS hints FROM c")
+def search_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.array(F.lit("networking"), F.when(F.col("doc_id") % 2 == 0, "build-system").otherwise("uncategorized"))
+    named = F.when(F.col("doc_id") % 3 == 0, F.array(F.lit("x/a.c"), F.lit("b.h"), F.lit("y/a.c"))).otherwise(F.array().cast("array<string>"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(text.search_hints(found, named), "\n").alias("hints"))
+
+
+@query(
+    """WITH m AS (SELECT conv_id, turn, text || ' see package/p' || conv_id % 3 || '/t' || turn || '.mk and c0ffee' || turn || ' again' AS body FROM conversations)
+SELECT CAST(conv_id AS VARCHAR) AS thread_id, array_to_string(list_sort(list_distinct(list('package/p' || conv_id % 3 || '/t' || turn || '.mk'))), ' ') AS files, array_to_string(list_sort(list_distinct(list('c0ffee' || turn))), ' ') AS commits, array_to_string(list(turn ORDER BY turn DESC), ' ') AS refs,
+  min(turn) AS first_turn, max(turn) AS last_turn FROM m GROUP BY conv_id"""
+)
+def thread_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a thread gathers from its messages: files, commits, references in the order of their dates (here the turns backwards), the first and last date."""
+    m = as_messages(spark, sf_dir)
+    body = F.concat("body", F.lit(" see package/p"), (F.col("root").cast("long") % 3).cast("string"), F.lit("/t"), number("byte_offset"), F.lit(".mk and c0ffee"), number("byte_offset"), F.lit(" again"))
+    only = F.lit(" see ")
+    dated = m.withColumn("body", body).withColumn("tail", F.concat(only, F.element_at(F.split("body", " see "), -1)))
+    dated = dated.withColumn("files", text.file_references(F.col("tail"))).withColumn("commits", text.commits(F.col("tail"))).withColumn("date_iso", F.format_string("2026-01-%02dT00:00:00", 28 - F.col("byte_offset").cast("int")))
+    t = threads.rollup(dated)
+    turn = lambda d: F.lit(28) - F.substring(d, 9, 2).cast("long")
+    return t.select("thread_id", F.array_join("files", " ").alias("files"), F.array_join("commits", " ").alias("commits"), F.array_join(F.transform("source_refs", lambda x: x["byte_offset"].cast("string")), " ").alias("refs"), turn(F.col("last_date")).alias("first_turn"), turn(F.col("first_date")).alias("last_turn"))
+
+
+def _lessons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = as_messages(spark, sf_dir)
+    return threads.lessons(m, threads.passing(threads.rollup(m), LOW))
+
+
+@query(
+    f"""WITH {LESSONS_SQL} SELECT categories[1] AS category, concat_ws(chr(10), '### ' || title, '', '- Score: ' || format('{{}}', score), '- Completeness: ' || level, '- Source: conversations', '- Archive: ', '- Root message: ' || thread_id || '-0',
+  chr(10) || 'Problem:' || chr(10) || '> ' || problem, chr(10) || 'Correction:' || chr(10) || '> ' || coalesce(fix, 'None in the archive; look for the right way in the code.'), chr(10) || '---' || chr(10)) AS entry FROM titled"""
+)
+def lesson_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries of the lesson index."""
+    return sinks.lesson_entries(_lessons(spark, sf_dir)).select("category", "entry")
