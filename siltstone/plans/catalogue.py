@@ -509,11 +509,18 @@ def artifact_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markdown.artifact_census(table(spark, sf_dir, "pages"), "html")
 
 
-@query()
+@query(
+    """SELECT doc_id, '# Page ' || doc_id || chr(10) || chr(10) || CASE WHEN doc_id % 2 = 0 THEN '' ELSE '## Other' || chr(10) || chr(10) END || trim(text) || chr(10) || chr(10) || '| Key | Value |' || chr(10) || '| --- | --- |' || chr(10) || '| lang | ' || lang || '; ' || source || ' |' || chr(10)
+  || '| size | `' || n_chars || '` |' || chr(10) || chr(10) || 'It is **' || doc_id || '**[^1].' || chr(10) || chr(10) || '[^1]: Note ' || doc_id || '.' || chr(10) AS content FROM documents"""
+)
 def cleaned_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables, footnotes and marks of whole pages as Markdown; takes an HTML parser."""
-    p = table(spark, sf_dir, "pages")
-    return p.select("page_id", markdown.cleaned("url", "html").alias("content"))
+    """Documents as raw wiki pages: marks around their text, a title said again in every second one, a table, a footnote."""
+    n = F.col("doc_id").cast("string")
+    again = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("## PAGE "), n)).otherwise("## Other")
+    cells = F.concat(F.lit("<table><tr><th>Key</th><th>Value</th></tr><tr><td>lang</td><td>"), "lang", F.lit("<br />"), "source", F.lit("</td></tr><tr><td>size</td><td><code>"), F.col("n_chars").cast("string"), F.lit("</code></td></tr></table>"))
+    note = F.concat(F.lit('It is <u>'), n, F.lit('</u><a href="#fn1" class="footnote-ref" id="fnref1"><sup>1</sup></a>.\n\n<aside id="footnotes" class="footnotes"><ol><li id="fn1">Note '), n, F.lit('. <a class="footnote-back" href="#fnref1">x</a></li></ol></aside>\n'))
+    raw = F.concat(F.lit("# Page "), n, F.lit("\n\n"), again, F.lit("\n\n\\<WRAP round tip\\>"), "text", F.lit("\\</WRAP\\>\n\n"), cells, F.lit("\n\n"), note)
+    return table(spark, sf_dir, "documents").select("doc_id", markdown.cleaned(F.concat(F.lit("Page "), n), raw).alias("content"))
 
 
 @query(
