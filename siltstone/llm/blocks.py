@@ -140,10 +140,11 @@ def sent_batch(block_id: int, out: list[tuple[int, int, bytes]]) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([pa.array([block_id] * len(out), type=pa.int64()), *(pa.array(c, type=k) for c, k in zip(cols, (pa.int32(), pa.int32(), pa.binary()), strict=True))], names=["block_id", "bucket", "n", "frame"])
 
 
-def short_frames(block_id: int, hashes: np.ndarray, labels: np.ndarray) -> pa.RecordBatch:
-    """The low halves of the hashes by bucket."""
+def short_frames(block_id: int, hashes: np.ndarray, labels: np.ndarray, counts: np.ndarray | None = None) -> pa.RecordBatch:
+    """The low halves of the hashes by bucket, and behind them a count of each if there is one (up to 65535)."""
     low = hashes.astype(np.uint32)
-    return sent_batch(block_id, [(b, len(x), low[x].tobytes()) for b, x in deal(hashes, labels)])
+    much = None if counts is None else np.minimum(counts, 65535).astype(np.uint16)
+    return sent_batch(block_id, [(b, len(x), low[x].tobytes() + (much[x].tobytes() if much is not None else b"")) for b, x in deal(hashes, labels)])
 
 
 def digest_frames(block_id: int, digests: np.ndarray, docs: np.ndarray, labels: np.ndarray) -> pa.RecordBatch:
@@ -166,6 +167,22 @@ def shared_elsewhere(frames: list[tuple[int, bytes]]) -> Iterator[np.ndarray]:
     return iter(np.split(found, np.cumsum([n for n, _ in frames])[:-1]))
 
 
+def shared_and_hot(frames: list[tuple[int, bytes]], hot: int) -> Iterator[np.ndarray]:
+    """For each frame whether another block sent the hash, of all its hashes, and then whether the counts of a hash are over ``hot`` together, of all its hashes."""
+    h = np.concatenate([np.frombuffer(f, dtype=np.uint32, count=n) for n, f in frames])
+    much = np.concatenate([np.frombuffer(f, dtype=np.uint16, count=n, offset=4 * n) for n, f in frames])
+    order = np.argsort(h, kind="stable")
+    new = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1]))
+    size = np.diff(np.append(new, len(h)))
+    total = np.add.reduceat(much[order].astype(np.int64), new)
+    shared, over = np.empty(len(h), dtype=bool), np.empty(len(h), dtype=bool)
+    shared[order], over[order] = np.repeat(size > 1, size), np.repeat(total > hot, size)
+    at = 0
+    for n, _ in frames:
+        yield np.concatenate((shared[at : at + n], over[at : at + n]))
+        at += n
+
+
 def smaller_elsewhere(frames: list[tuple[int, bytes]]) -> Iterator[np.ndarray]:
     """Whether another block sent the digest with a smaller document, for each digest of each frame."""
     unpack = zstandard.ZstdDecompressor()
@@ -206,12 +223,17 @@ def exchange(sent: DataFrame, labels: np.ndarray, ask: Callable, name: str) -> D
     return replies.groupBy("block_id").agg(F.collect_list(F.struct("bucket", "bits")).alias(name))
 
 
-def bits_of(block: Block, name: str, dealt: list[tuple[int, np.ndarray]], n: int) -> np.ndarray:
-    """The replies of a block as flags of its n hashes; a block that sent none has none."""
-    out = np.zeros(n, dtype=bool)
+def planes_of(block: Block, name: str, dealt: list[tuple[int, np.ndarray]], n: int, planes: int) -> np.ndarray:
+    """The replies of a block as so many rows of flags of its n hashes; a block that sent none has none."""
+    out = np.zeros((planes, n), dtype=bool)
     replies = block.row[name].as_py() if block.row.get(name) is not None else None
     by = {x["bucket"]: x["bits"] for x in replies or ()}
     for bucket, at in dealt:
         if bucket in by:
-            out[at] = np.unpackbits(np.frombuffer(by[bucket], dtype=np.uint8), count=len(at)).view(bool)
+            out[:, at] = np.unpackbits(np.frombuffer(by[bucket], dtype=np.uint8), count=planes * len(at)).view(bool).reshape(planes, -1)
     return out
+
+
+def bits_of(block: Block, name: str, dealt: list[tuple[int, np.ndarray]], n: int) -> np.ndarray:
+    """The replies of a block as flags of its n hashes."""
+    return planes_of(block, name, dealt, n, 1)[0]

@@ -18,6 +18,10 @@ Places whose common prefixes reach 50 bytes form the classes of equal windows;
 the smallest document of each class is its first, and every block gets a bit for
 each window of its segments back.
 
+An anchor that very many distinct segments have (a common phrase, ``HOT``) would
+fill one bucket; the exchange of anchors counts them, and the segments of such an
+anchor are cut into single windows, each in the bucket of its own hash.
+
 Hashes choose anchors and buckets only; that windows are equal is always read
 off the transform of their bytes.  Long texts are cut into overlapping pieces.
 
@@ -32,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +51,8 @@ RESULT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, spans
 DIGEST_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 #: Symbols of one collection, about. Smaller ones stay in a core's cache; a group of equal anchors is never split.
 COLLECTION = 1 << 17
+#: Distinct segments of one anchor, over all blocks, beyond which its windows are dealt one by one.
+HOT = 100_000
 _PLACE = np.uint64((1 << 32) - 1)
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -103,24 +110,45 @@ class Segments:
         none = np.zeros(0, np.int64)
         self.first, self.windows, self.text, self.key, self.whole = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (none, none, none, none.astype(np.uint64), none.astype(np.uint64))
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct anchor hashes, which of them several texts of the block have, and each segment's place in them."""
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct anchor hashes, which of them several texts of the block have, each segment's place in them, and how many distinct segments each has."""
         distinct, at, back = np.unique(self.key, return_index=True, return_inverse=True)
         several = np.zeros(len(distinct), dtype=bool)
         several[back[self.text != self.text[at][back]]] = True
-        return distinct, several, back
+        counts = np.bincount(back[np.unique(self.whole, return_index=True)[1]], minlength=len(distinct))
+        return distinct, several, back, counts
+
+    def kept(self, at: np.ndarray, alone: np.ndarray, width: int) -> Segments:
+        """The segments at these places; those marked alone as windows of their own hashes."""
+        split = at[alone]
+        count = self.windows[split]
+        first = np.repeat(self.first[split], count) + kernels.ragged_arange(count)
+        hashes = [np.zeros(0, np.uint64)]
+        for i in range(0, len(first), 1 << 14):
+            part = kernels.BYTE_VALUES[self.data[first[i : i + (1 << 14), None] + np.arange(width)]]
+            hashes.append(kernels.mix((part * kernels.powers(kernels.BASE, width)).sum(axis=1, dtype=np.uint64)))
+        own = np.concatenate(hashes)
+        cold = at[~alone]
+        out = copy(self)
+        out.first = np.concatenate((self.first[cold], first))
+        order = np.argsort(out.first, kind="stable")  # in the order of the text again
+        out.first = out.first[order]
+        out.windows = np.concatenate((self.windows[cold], np.ones(len(first), np.int64)))[order]
+        out.text = np.concatenate((self.text[cold], np.repeat(self.text[split], count)))[order]
+        out.key, out.whole = (np.concatenate((x[cold], own))[order] for x in (self.key, self.whole))
+        return out
 
     def bytes_of(self, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of these segments, one after the other, and their lengths."""
         n = self.windows[at] + width - 1
         return self.data[np.repeat(self.first[at], n) + kernels.ragged_arange(n)], n
 
-    def distinct(self, keep: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of the kept segments: places of the distinct ones (the first text's) in the order of the text, the kept places, and the distinct one of each.
+    def distinct(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the distinct segments (the first text's) in the order of the text, and the distinct one of each segment.
 
         Segments of one hash are compared with the first of them; should their bytes differ, all are told apart by their bytes.
         """
-        at = np.flatnonzero(keep)
+        at = np.arange(len(self.first))
         _, first, back = np.unique(self.whole[at], return_index=True, return_inverse=True)
         again = np.flatnonzero(first[back] != np.arange(len(at)))
         for i in range(0, len(again), 1 << 16):
@@ -137,29 +165,31 @@ class Segments:
         order = np.argsort(first)
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
-        return at[first[order]], at, rank[back]
+        return first[order], rank[back]
 
 
 def _send_anchors(batches: Iterator[pa.RecordBatch], width: int, anchor: int, labels: np.ndarray) -> Iterator[pa.RecordBatch]:
     for block in blocks.block_rows(batches):
-        distinct = np.unique(Segments(block, width, anchor).key)
+        distinct, _, _, counts = Segments(block, width, anchor).anchors()
         if len(distinct):
-            yield blocks.short_frames(block.id, distinct, labels)
+            yield blocks.short_frames(block.id, distinct, labels, counts)
 
 
-def _candidates(block: blocks.Block, width: int, anchor: int, labels: np.ndarray):
-    """A block's segments and, of those whose anchor another text has, the distinct ones, dealt by anchor."""
+def _candidates(block: blocks.Block, width: int, anchor: int, labels: np.ndarray) -> tuple[Segments, np.ndarray, np.ndarray, list]:
+    """A block's segments whose anchor another text has, the distinct ones among them, the distinct one of each, and the distinct ones dealt by anchor."""
     seg = Segments(block, width, anchor)
-    anchors, several, back = seg.anchors()
-    shared = several | blocks.bits_of(block, "shared", blocks.deal(anchors, labels), len(anchors))
-    distinct, at, of = seg.distinct(shared[back] if len(back) else np.zeros(0, bool), width)
-    return seg, distinct, at, of, blocks.deal(seg.key[distinct], labels)
+    anchors, several, back, _ = seg.anchors()
+    elsewhere, hot = blocks.planes_of(block, "shared", blocks.deal(anchors, labels), len(anchors), 2)
+    at = np.flatnonzero((several | elsewhere)[back])
+    seg = seg.kept(at, hot[back[at]], width)
+    distinct, of = seg.distinct(width)
+    return seg, distinct, of, blocks.deal(seg.key[distinct], labels)
 
 
 def _send_segments(batches: Iterator[pa.RecordBatch], width: int, anchor: int, labels: np.ndarray) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=3)
     for block in blocks.block_rows(batches):
-        seg, distinct, _, _, dealt = _candidates(block, width, anchor, labels)
+        seg, distinct, _, dealt = _candidates(block, width, anchor, labels)
         owner = seg.owner[seg.text[distinct]]
         out = []
         for bucket, x in dealt:
@@ -258,7 +288,7 @@ def _compare(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Recor
 
 def _apply(batches: Iterator[pa.RecordBatch], width: int, anchor: int, labels: np.ndarray, digest: bool) -> Iterator[pa.RecordBatch]:
     for block in blocks.block_rows(batches):
-        seg, distinct, at, of, dealt = _candidates(block, width, anchor, labels)
+        seg, distinct, of, dealt = _candidates(block, width, anchor, labels)
         n = len(seg.data)
         flags = np.zeros(n, dtype=bool)
         if len(distinct):
@@ -271,9 +301,9 @@ def _apply(batches: Iterator[pa.RecordBatch], width: int, anchor: int, labels: n
                 found[np.repeat(offsets[x], k) + kernels.ragged_arange(k)] = np.unpackbits(np.frombuffer(replies[bucket], dtype=np.uint8), count=int(k.sum())).view(bool)
             k = count[of]
             inner = kernels.ragged_arange(k)
-            later = block.owner[seg.text[at]] > block.owner[seg.text[distinct]][of]
+            later = block.owner[seg.text] > block.owner[seg.text[distinct]][of]
             gone = found[np.repeat(offsets[of], k) + inner] | np.repeat(later, k)
-            flags = kernels.covered((np.repeat(seg.first[at], k) + inner)[gone], width, n)
+            flags = kernels.covered((np.repeat(seg.first, k) + inner)[gone], width, n)
         out, size = [], 0
         for doc, t in zip(block.ids.tolist(), block.texts.tolist(), strict=True):
             s, e = int(seg.offsets[t]), int(seg.offsets[t + 1])
@@ -308,14 +338,14 @@ def _alone(batches: Iterator[pa.RecordBatch], digest: bool) -> Iterator[pa.Recor
         yield _batch([_row(None, np.frombuffer((t or "").encode(), dtype=np.uint8), np.zeros(len((t or "").encode()), dtype=bool), digest) for t in b.column("text").to_pylist()], digest)
 
 
-def remove_repeated(docs: DataFrame, width: int = BYTES, anchor: int = ANCHOR, digest: bool = False) -> DataFrame:
+def remove_repeated(docs: DataFrame, width: int = BYTES, anchor: int = ANCHOR, digest: bool = False, hot: int = HOT) -> DataFrame:
     """One row a document: its bytes, removed bytes and maximal removed runs, the runs and the kept bytes; with digest, the SHA-256 of the kept bytes in place of the last two."""
     spark = docs.sparkSession
     docs = common.pick(docs, "doc_id", "text")
     packed = blocks.pack(docs, "suffix-blocks")
     labels = blocks.buckets(spark, packed)
     sent = packed.mapInArrow(lambda b: _send_anchors(b, width, anchor, labels), blocks.SENT_SCHEMA)
-    shared = common.stash(blocks.exchange(sent, labels, blocks.shared_elsewhere, "shared"), "suffix-anchors")
+    shared = common.stash(blocks.exchange(sent, labels, lambda frames: blocks.shared_and_hot(frames, hot), "shared"), "suffix-anchors")
     segments = packed.join(shared, "block_id", "left").mapInArrow(lambda b: _send_segments(b, width, anchor, labels), blocks.SENT_SCHEMA)
     compared = segments.repartition(len(labels), "bucket").mapInArrow(lambda b: _compare(b, width), blocks.REPLY_SCHEMA)
     compared = common.stash(compared.groupBy("block_id").agg(F.collect_list(F.struct("bucket", "bits")).alias("compared")), "suffix-compared")

@@ -192,9 +192,9 @@ def test_segments_of_one_hash_are_compared():
     block = type("B", (), {"data": data, "offsets": offsets, "owner": np.arange(len(rows))})()
     seg = suffixes.Segments(block, 12, 5)
     seg.whole = seg.whole & kernels.U64(7)  # all but all hashes collide
-    distinct, at, of = seg.distinct(np.ones(len(seg.first), bool), 12)
+    distinct, of = seg.distinct(12)
     body = lambda i: bytes(data[seg.first[i] : seg.first[i] + seg.windows[i] + 11])
-    assert all(body(a) == body(distinct[k]) for a, k in zip(at, of)) and len({body(i) for i in distinct}) == len(distinct)
+    assert all(body(a) == body(distinct[k]) for a, k in enumerate(of)) and len({body(i) for i in distinct}) == len(distinct)
 
 
 def test_repetitions_long_texts_and_repeated_ids(spark):
@@ -214,3 +214,12 @@ def test_both_equal_plain_versions_on_a_whole_table(spark):
     assert sorted([(r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got], key=repr) == plain_substrings(texts_of(docs), 50)
     got = suffixes.remove_repeated(docs, digest=True).collect()
     assert sorted([(x["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got], key=repr) == plain_bytes(texts_of(docs), 50)
+
+
+@pytest.mark.parametrize("hot", [0, 3, 40])
+def test_common_anchors_are_dealt_by_windows(spark, hot):
+    r = random.Random(hot)
+    rows = [(i, "".join(r.choice("ab") for _ in range(r.randint(0, 200)))) for i in range(60)] + [(60, "ab" * 90), (61, "b" + "ab" * 80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = suffixes.remove_repeated(df, width=12, anchor=5, digest=True, hot=hot).collect()
+    assert sorted([(x["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got], key=repr) == plain_bytes(rows, 12)
