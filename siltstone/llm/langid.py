@@ -59,18 +59,37 @@ def has_letter(text: str) -> bool:
     return LATIN.search(text) is not None or any(map(str.isalpha, text))
 
 
-def subwords(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all subwords, and the text of each."""
-    joined = b" ".join([b"", *texts, b""])
+def _trigrams(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the trigrams whose middle byte is a letter, and the places of those bytes."""
     data = _FOLD[np.frombuffer(joined, dtype=np.uint8)]
-    ends = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
     v = kernels.BYTE_VALUES[data]
     h = (v[:-2] * np.uint64(0x9E3779B97F4A7C15)) ^ (v[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(7)) ^ (v[2:] * np.uint64(0x165667B19E3779F9) << np.uint64(3))
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xD6E8FEB86659FD93)
-    bucket = (h >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64)
-    middle = np.flatnonzero(data[1:-1] != 32)  # the middle byte is a letter: no subword crosses texts
-    return bucket[middle], np.searchsorted(ends, middle + 1, side="right")
+    middle = np.flatnonzero(data[1:-1] != 32)
+    return (h[middle] >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64), middle + 1
+
+
+def subwords(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all subwords, and the text of each. No subword crosses texts, because spaces part them."""
+    ends = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
+    bucket, at = _trigrams(b" ".join([b"", *texts, b""]))
+    return bucket, np.searchsorted(ends, at, side="right")
+
+
+#: Bytes of a long text that are looked at together.
+PIECE = 1 << 20
+
+
+def _counted(text: bytes) -> np.ndarray:
+    """How often each bucket is in a text, piece by piece; the bytes on both sides of a piece's border are seen by both."""
+    seen = np.zeros(1 << BUCKETS_LOG2, dtype=np.int64)
+    whole = memoryview(text)
+    for i in range(0, len(text), PIECE):
+        end = min(len(text), i + PIECE)
+        before, after = bytes(whole[i - 1 : i]) if i else b" ", bytes(whole[end : end + 1]) or b" "
+        seen += np.bincount(_trigrams(before + bytes(whole[i:end]) + after)[0], minlength=len(seen))
+    return seen
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -126,10 +145,14 @@ def train(texts: list[str], langs: list[str]) -> Model:
 def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """A language and a score for each text."""
     raw = [(t or "").encode() for t in texts]
-    bucket, owner = subwords(raw)
     n = len(raw)
-    total = np.maximum(np.bincount(owner, minlength=n), 1)
-    logits = np.stack([np.bincount(owner, weights=model.scores[bucket, j], minlength=n) / total for j in range(len(model.langs))], axis=1) + model.bias
+    if n == 1 and len(raw[0]) > PIECE:
+        seen = _counted(raw[0])
+        logits = (seen @ model.scores.astype(np.float64) / max(1, seen.sum()))[None, :] + model.bias
+    else:
+        bucket, owner = subwords(raw)
+        total = np.maximum(np.bincount(owner, minlength=n), 1)
+        logits = np.stack([np.bincount(owner, weights=model.scores[bucket, j], minlength=n) / total for j in range(len(model.langs))], axis=1) + model.bias
     p = softmax(logits / model.temperature)
     lettered = np.fromiter((t is not None and has_letter(t) for t in texts), dtype=bool, count=n)
     best = p.argmax(axis=1)

@@ -62,30 +62,54 @@ def shingle_hashes(text: bytes, size: int = SHINGLE) -> list[int]:
     return [h(joined[s:e], 42) for s, e in zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist(), strict=True)]
 
 
-def majority(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """A fingerprint for each of n owners: bit i is set if over half of its hashes have it."""
-    total = np.bincount(owner, minlength=n)
-    out = np.zeros(n, dtype=np.uint64)
+def votes(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """(n, 64): for each of n owners how many of its hashes have each bit."""
+    out = np.empty((n, 64), dtype=np.int64)
     lanes = hashes.view(np.uint8).reshape(-1, 8)
     for lane in range(8):
         seen = np.bincount(owner * 256 + lanes[:, lane], minlength=n * 256).reshape(n, 256)
-        votes = seen @ _BIT_TABLE
-        byte = ((votes * 2 > total[:, None]).astype(np.uint64) << np.arange(8, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-        out |= byte << np.uint64(8 * lane)
+        out[:, 8 * lane : 8 * lane + 8] = seen @ _BIT_TABLE
     return out
 
 
+def majority(count: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Fingerprints: a bit is set if over half of the hashes have it."""
+    return ((count * 2 > total[:, None]).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+
+
+#: Bytes of a long text whose shingles are hashed together.
+PIECE = 1 << 20
+
+
+def _pieces(text: bytes, size: int = SHINGLE) -> Iterator[bytes]:
+    """A long text in parts that end between words, each with the size - 1 words before it, so that every shingle is in one."""
+    at, before = 0, b""
+    while at < len(text):
+        end = at + PIECE
+        while end < len(text) and not text[end : end + 1].isspace():
+            end += 1
+        part = before + b" " + text[at:end]
+        words = part.split()
+        if len(words) >= size:
+            yield part
+            words = words[1 - size :]
+        before, at = b" ".join(words), end
+    if not len(text.split(None, size - 1)) >= size:
+        yield text
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in common.slices(batches):
-        hashes: list[int] = []
-        count = []
-        for t in part.column("text").cast(pa.binary()).to_pylist():
-            h = shingle_hashes(t or b"")
-            hashes += h
-            count.append(len(h))
-        owner = np.repeat(np.arange(len(count)), count)
-        fp = majority(np.array(hashes, dtype=np.uint64), owner, len(count))
-        yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+        texts = [t or b"" for t in part.column("text").cast(pa.binary()).to_pylist()]
+        n = len(texts)
+        count, total = np.zeros((n, 64), dtype=np.int64), np.zeros(n, dtype=np.int64)
+        for some in ([x] for x in _pieces(texts[0])) if n == 1 and len(texts[0]) > PIECE else [texts]:
+            hashes = [shingle_hashes(t) for t in some]
+            sizes = np.fromiter(map(len, hashes), dtype=np.int64, count=n)
+            flat = np.fromiter((h for x in hashes for h in x), dtype=np.uint64, count=int(sizes.sum()))
+            count += votes(flat, np.repeat(np.arange(n), sizes), n)
+            total += sizes
+        yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(majority(count, total).view(np.int64))], names=["doc_id", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -373,3 +373,44 @@ def test_language_without_labels(nothing, odd):
     got = langid.identify(odd.where("lang is null")).collect()
     assert all(r["lang_pred"] == "und" for r in got)
     assert langid.identify(odd).count() == odd.count() and langid.accepted(odd).columns == odd.columns
+
+
+def test_long_texts_in_pieces(spark, monkeypatch):
+    """Fingerprints and languages of long texts are the same, whatever the pieces."""
+    from siltstone.llm import simhash
+
+    r = np.random.default_rng(9)
+    words = ["".join(r.choice(list("abcdéf"), r.integers(1, 9))) for _ in range(300)]
+    texts = [" ".join(r.choice(words, 4000)), "  \n".join(r.choice(words, 500)) + "\t", "x" * 9000, "one " + "y" * 5000, " " * 9000 + "one two", "a b c" + " " * 7000]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    whole = [simhash.majority(simhash.votes(np.array(h, dtype=np.uint64), np.zeros(len(h), np.int64), 1), np.array([len(h)]))[0] for h in (simhash.shingle_hashes(t.encode()) for t in texts)]
+    monkeypatch.setattr(simhash, "PIECE", 700)
+    for t, want in zip(texts, whole):
+        import pyarrow as pa
+
+        (out,) = simhash._fingerprints(iter([pa.RecordBatch.from_pydict({"doc_id": [1], "text": [t]})]))
+        assert out.column("fp")[0].as_py() % (1 << 64) == int(want), t[:30]
+    model = langid.train([" ".join(r.choice(words[:150], 50)) for _ in range(40)] + [" ".join(r.choice(words[150:], 50)) for _ in range(40)], ["a"] * 40 + ["b"] * 40)
+    want = [langid.predict(model, [t]) for t in texts]
+    monkeypatch.setattr(langid, "PIECE", 700)
+    got = [langid.predict(model, [t]) for t in texts]
+    assert [g[0] for g in got] == [w[0] for w in want] and np.allclose([g[1][0] for g in got], [w[1][0] for w in want])
+    assert docs.count() == len(texts)
+
+
+def test_columns_that_clash(spark, odd):
+    """Names with dots and names that differ in case only, through every operator."""
+    from siltstone.llm import near_copies, simhash, substrings, suffixes
+
+    clash = odd.select("doc_id", "text", "lang", "source", "n_chars").selectExpr("*", "1 as `meta.x`", "'t' as `Text`", "2 as `Doc_ID`", "'z' as `LANG`")
+    bench = spark.createDataFrame([(0, odd.where("doc_id = 0").first()["text"], "x", 1)], "item_id long, text string, Text string, `a.b` long")
+    n = clash.count()
+    for run in (simhash.report, substrings.remove_repeated, suffixes.remove_repeated, licences.scan, media.round_trip, pii.report, mixing.mix, langid.identify):
+        assert run(clash).count() == n
+    assert decontaminate.contaminated(clash, bench).count() > 0
+    for run in (simhash.keep_first, near_copies.keep_one, pii.redact, mixing.sample, langid.accepted, lambda d: decontaminate.clean(d, bench)):
+        out = run(clash)
+        assert out.columns == clash.columns and 0 < out.count() <= n
+    pages = spark.createDataFrame([(1, "http://a.org/1", "x", 3)], "page_id long, url string, URL string, `p.q` long")
+    labels = spark.createDataFrame([(1, 1, 2)], "doc_id long, quality int, Quality int")
+    assert urls.judge(pages, labels).count() == 1
