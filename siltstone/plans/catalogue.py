@@ -318,6 +318,12 @@ def thread_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return threads.rollup(as_messages(spark, sf_dir)).select("thread_id", "subject", "message_count", "author_count", "score_cents", "score")
 
 
+@query(f"WITH {THREADS_SQL} SELECT thread_id, score_cents FROM scored WHERE score_cents >= {fixed.PASSING}")
+def passing_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threads at or over the threshold that lessons are made from."""
+    return threads.passing(threads.rollup(as_messages(spark, sf_dir))).select("thread_id", "score_cents")
+
+
 @query(f"WITH {THREADS_SQL} SELECT printf('lesson-%04d', row_number() OVER (ORDER BY score_cents DESC, lower(subject), thread_id)) AS lesson_id, thread_id, score_cents FROM scored WHERE score_cents >= {LOW}")
 def lesson_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = threads.passing(threads.rollup(as_messages(spark, sf_dir)), LOW)

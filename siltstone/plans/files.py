@@ -702,3 +702,87 @@ def _lessons(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lesson_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entries of the lesson index."""
     return sinks.lesson_entries(_lessons(spark, sf_dir)).select("category", "entry")
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items as lessons of three categories with hints and snippets made from their numbers."""
+    k, n = F.col("item_id"), number("item_id")
+    category = F.concat(F.lit("c"), (k % 3).cast("string"))
+    hints = F.array(F.concat(F.lit("h"), (k % 5).cast("string")), F.concat(F.lit("g"), (k % 2).cast("string")))
+    snippet = F.struct(F.concat(F.lit("word"), (k % 4).cast("string"), F.lit(" the common word")).alias("snippet"))
+    return table(spark, sf_dir, "benchmark").select(
+        F.format_string("lesson-%04d", k).alias("lesson_id"), F.concat(F.lit("Title "), n).alias("title"), (k * 7 % 50).cast("int").alias("score_cents"), (k * 7 % 50 / 100.0).alias("score"),
+        F.array(category).alias("categories"), hints.alias("codebase_search_hints"), snippet.alias("problem"),
+    )
+
+
+def _lines(spark: SparkSession, name: str, write) -> DataFrame:
+    """(n, line) of a report that ``write(path)`` puts into a file."""
+    path = f"{lineage.shared_dir(spark)}/{name}-{uuid.uuid4().hex}.md"
+    lineage._written.append((spark, path))
+    write(path)
+    return spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("n", "line"))
+
+
+SCORED_SQL = "l AS (SELECT item_id, 'lesson-' || printf('%04d', item_id) AS lesson_id, 'Title ' || item_id AS title, CAST(item_id * 7 % 50 AS INTEGER) AS cents, 'c' || item_id % 3 AS category FROM benchmark)"
+
+
+@query(
+    f"""WITH {SCORED_SQL}, h AS (SELECT category, unnest(['h' || item_id % 5, 'g' || item_id % 2]) AS hint, unnest([0, 1]) AS place, cents, title, lesson_id FROM l),
+f AS (SELECT category, hint, min((-cents, lower(title), lesson_id, place)) AS seen FROM h GROUP BY category, hint),
+s AS (SELECT string_agg('## ' || category || chr(10) || chr(10) || '```bash' || chr(10) || hints || chr(10) || '```' || chr(10), chr(10) ORDER BY category) AS body FROM (SELECT category, string_agg(hint, chr(10) ORDER BY seen) AS hints FROM f GROUP BY category)),
+t AS (SELECT string_split('# Codebase search guide' || chr(10) || chr(10) || body, chr(10)) AS lines FROM s)
+SELECT CAST(unnest(range(0, len(lines))) AS INTEGER) AS n, unnest(lines) AS line FROM t"""
+)
+def search_guide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the written guide: every category's hints in the order in which its lessons bring them."""
+    return _lines(spark, "guide", lambda path: sinks.search_guide(_scored(spark, sf_dir), path))
+
+
+@query(
+    f"""WITH {SCORED_SQL}, tokens AS (SELECT category, unnest([category, 'word' || item_id % 4, 'common', 'word']) AS signal, unnest([0, 1, 2, 3]) AS place, cents, title, lesson_id FROM l),
+counted AS (SELECT category, signal, count(*) AS n, min((-cents, lower(title), lesson_id, place)) AS seen FROM tokens GROUP BY category, signal),
+signals AS (SELECT category, string_agg(signal, ', ' ORDER BY n DESC, seen) AS s FROM counted GROUP BY category),
+best AS (SELECT category, title, cents / 100.0 AS score, row_number() OVER (PARTITION BY category ORDER BY cents DESC, lower(title), lesson_id) AS rank, count(*) OVER (PARTITION BY category) AS n FROM l),
+parts AS (SELECT category, any_value(n) AS n, string_agg('- ' || title || ' (' || format('{{}}', score) || ')', chr(10) ORDER BY rank) AS top FROM best WHERE rank <= 5 GROUP BY category),
+body AS (SELECT string_agg('## ' || category || chr(10) || chr(10) || '- Lesson candidates: ' || n || chr(10) || '- Common signals: ' || s || chr(10) || chr(10) || top || chr(10), chr(10) ORDER BY category) AS b, sum(n) AS total, count(*) AS c FROM parts JOIN signals USING (category)),
+t AS (SELECT string_split('# Common problems' || chr(10) || chr(10) || '- Lesson candidates: ' || CAST(total AS BIGINT) || chr(10) || '- Categories: ' || c || chr(10) || chr(10) || b, chr(10)) AS lines FROM body)
+SELECT CAST(unnest(range(0, len(lines))) AS INTEGER) AS n, unnest(lines) AS line FROM t"""
+)
+def problem_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the written report: counts, signals and the five best lessons of each category. (A top-k report.)"""
+    lessons = _scored(spark, sf_dir)
+    return _lines(spark, "problems", lambda path: sinks.problem_report(threads.common_signals(lessons), lessons, path))
+
+
+@query(
+    """WITH s AS (SELECT 'run-' || printf('%02d', n_nationkey % 7) || CASE WHEN n_nationkey >= 7 THEN chr(CAST(97 + n_nationkey // 7 AS INTEGER)) ELSE '' END || '-' || lower(n_name) AS stage, n_nationkey FROM nation WHERE NOT contains(n_name, ' '))
+SELECT '03' AS wanted, stage FROM s WHERE stage LIKE 'run-03-%' UNION ALL SELECT '02b', stage FROM s WHERE stage LIKE 'run-02b-%'
+UNION ALL SELECT '99', 'none' UNION ALL SELECT 'all', stage FROM s"""
+)
+def selected_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as stages: by an exact id, by one with a letter, by one that none has, and all."""
+    rows = table(spark, sf_dir, "nation").where(~F.col("n_name").contains(" ")).orderBy("n_nationkey").collect()  # a reference table of 25 rows
+    stages = [f"run-{r['n_nationkey'] % 7:02}{chr(97 + r['n_nationkey'] // 7) if r['n_nationkey'] >= 7 else ''}-{r['n_name'].lower()}" for r in rows]
+    out = [("all", s) for s in runs.select_stages(stages, None)]
+    for wanted in ("03", "02b", "99"):
+        try:
+            out += [(wanted, s) for s in runs.select_stages(stages, wanted)]
+        except ValueError:
+            out.append((wanted, "none"))
+    return spark.createDataFrame(out, "wanted string, stage string")
+
+
+@query("SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'refused' WHEN 1 THEN 'refused' WHEN 2 THEN 'refused' WHEN 3 THEN 'refused' ELSE 'safe' END AS verdict FROM pages")
+def guarded_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of trees: equal, one inside the other, the other inside the one, a blank path, and two apart."""
+    out = []
+    for r in table(spark, sf_dir, "pages").select("page_id").toLocalIterator():
+        a = f"/data/{r['page_id']}"
+        b = (a, f"{a}/deeper/tree", "/data", "  ", f"/other/{r['page_id']}")[r["page_id"] % 5]
+        try:
+            runs.check_trees(a, b)
+            out.append((r["page_id"], "safe"))
+        except ValueError:
+            out.append((r["page_id"], "refused"))
+    return spark.createDataFrame(out, "page_id long, verdict string")
