@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.llm import common, decontaminate, langid, licences, media, mixing, pii, simhash, substrings, suffixes, urls
+from siltstone.llm import common, decontaminate, langid, licences, media, mixing, pii, simhash, simhash_sql, substrings, suffixes, urls
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,4 +59,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The statements of the queries that SQL can express over whole tables."""
-    return {"op2_substring_dedup": substrings.oracle_sql(), "op4_licences": licences.oracle_sql(), "op7_urls": urls.oracle_sql(), "op8_suffix_dedup": suffixes.oracle_sql()}
+    return {"op2_substring_dedup": substrings.oracle_sql(), "op3_simhash": simhash_sql.statement(), "op4_licences": licences.oracle_sql(), "op7_urls": urls.oracle_sql(), "op8_suffix_dedup": suffixes.oracle_sql()}

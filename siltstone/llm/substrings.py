@@ -107,7 +107,7 @@ def _byte_pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, i
 
 def _send(batches: Iterator[pa.RecordBatch], width: int, labels: np.ndarray) -> Iterator[pa.RecordBatch]:
     for block in blocks.block_rows(batches):
-        rolled = np.unique(Words(block.data, block.offsets).windows(width)[2])
+        rolled = kernels.distinct(Words(block.data, block.offsets).windows(width)[2])
         if len(rolled):
             yield blocks.short_frames(block.id, rolled, labels)
 

@@ -223,3 +223,17 @@ def test_common_anchors_are_dealt_by_windows(spark, hot):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     got = suffixes.remove_repeated(df, width=12, anchor=5, digest=True, hot=hot).collect()
     assert sorted([(x["doc_id"], x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in got], key=repr) == plain_bytes(rows, 12)
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_components_of_chains_and_stars(spark, kind):
+    from siltstone.llm.graph import connected_components
+
+    r = random.Random(5)
+    ident = (lambda i: i) if kind == "long" else (lambda i: f"{i:05}")
+    pairs = [(i, i + 1) for i in range(0, 400)] + [(1000, 1000 + i) for i in range(1, 200)] + [(3000, 3000), (2000, 2001)]
+    r.shuffle(pairs)
+    df = spark.createDataFrame([(ident(a), ident(b)) for a, b in pairs], f"a {kind}, b {kind}").repartition(7)
+    got = {x["node"]: x["component"] for x in connected_components(df).collect()}
+    assert got == {ident(i): ident(0) for i in range(401)} | {ident(1000 + i): ident(1000) for i in range(200)} | {ident(i): ident(2000) for i in (2000, 2001)}
+    assert connected_components(df.limit(0)).count() == 0
