@@ -19,8 +19,9 @@ Texts are cut before every space that follows a character other than white space
 No token of either vocabulary crosses such a place (``cuts_are_safe`` tests that
 when a vocabulary is loaded; with another one, whole texts are taken), so a
 segment has the same tokens wherever it stands, both tokenizers end with it, and
-each task encodes and aligns a segment once and keeps the result, up to
-``CACHED`` segments.  A segment whose tokens do not spell it sends its text to
+each task encodes and aligns a segment once and keeps the result; when it has
+``CACHED`` segments (the frequent ones come early) it takes others anew in each
+slice of texts.  A segment whose tokens do not spell it sends its text to
 both tokenizers whole.
 
 Defined cases: null and empty texts have no tokens, nor have texts that either
@@ -39,6 +40,7 @@ import os
 import re
 import tempfile
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +53,7 @@ from siltstone.llm import common
 #: The vocabularies; every executor must have them at these paths.
 BYTE_LEVEL, PIECES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Segments that a task keeps, and the longest that it keeps.
-CACHED, LONGEST = 1 << 17, 64
+CACHED, LONGEST = 1 << 18, 64
 SPACE = "▁"
 #: A segment starts at a space behind a character that is no white space.
 CUT = re.compile(r"(?<=\S)(?= )")
@@ -124,10 +126,22 @@ def pair_bound(a: Byte, b: Piece) -> int:
 def _flat(ids: list[list[int]], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All ids, the text of each, and where each ends in all texts put together by this tokenizer."""
     counts = np.array([len(x) for x in ids], dtype=np.int64)
-    flat = np.fromiter((i for x in ids for i in x), dtype=np.int64, count=int(counts.sum()))
+    flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(counts.sum()))
     return flat, np.repeat(np.arange(len(ids)), counts), np.cumsum(sizes[flat]) if len(flat) else np.empty(0, dtype=np.int64)
 
 
+#: Counts of A tokens, B tokens and groups in one integer, so that segments add up by one sum.
+_BITS, _MASK = 40, (1 << 40) - 1
+
+
+def _pack(a: int, b: int, groups: int) -> int:
+    return a | b << _BITS | groups << 2 * _BITS
+
+
+def _unpack(packed: int) -> tuple[int, int, int]:
+    return packed & _MASK, packed >> _BITS & _MASK, packed >> 2 * _BITS
+
+
 class Aligner:
     """Aligns texts by segments and keeps what it knows of them."""
 
@@ -140,14 +154,18 @@ class Aligner:
         self.known: dict[str, tuple] = {}
 
     def align(self, texts: list[str]) -> list[tuple | None]:
-        """(A tokens, B tokens, groups, their ids as text with an end mark, keys of the links) of each text behind a space; None where the tokens do not spell it."""
+        """(packed counts, groups as text with an end mark, keys of the links) of each text behind a space; None where the tokens do not spell it."""
         ids = (self.a.encode(texts), self.b.encode(texts))
-        spelt = [self._spells(t, x, y) for t, x, y in zip(texts, *ids, strict=True)]
-        if not all(spelt):
+        whole = [b" " + t.encode() for t in texts]
+        (ia, ta, ea), (ib, tb, eb) = flat = [_flat(x, n) for x, n in zip(ids, self.sizes, strict=True)]
+        if not all(self._spell(x, whole, *f) for x, f in zip((self.a, self.b), flat, strict=True)):
+            spelt = [all(b"".join([x.bytes[i] for i in some]) == w for x, some in zip((self.a, self.b), both, strict=True)) for w, both in zip(whole, zip(*ids, strict=True), strict=True)]
             good = iter(self.align([t for t, s in zip(texts, spelt, strict=True) if s]) if any(spelt) else [])
             return [next(good) if s else None for s in spelt]
-        (ia, ta, ea), (ib, tb, eb) = (_flat(x, n) for x, n in zip(ids, self.sizes, strict=True))
-        ends = np.intersect1d(ea, eb)
+        at = np.minimum(np.searchsorted(eb, ea), len(eb) - 1)
+        ends = ea[eb[at] == ea] if len(ea) else ea
+        if len(ends) > 1:
+            ends = ends[np.append(True, ends[1:] != ends[:-1])]
         # A token's group is that of the first common end at or behind its own end.
         ga, gb = np.searchsorted(ends, ea), np.searchsorted(ends, eb)
         last_a, last_b = np.append(ga[1:] != ga[:-1], True), np.append(gb[1:] != gb[:-1], True)
@@ -171,33 +189,40 @@ class Aligner:
         ua, ub, ug, uk = until(ta), until(tb), until(of_group), until(ta[of])
         out, was = [], (0, 0, 0, 0)
         for now in zip(ua, ub, ug, uk, strict=True):
-            out.append((now[0] - was[0], now[1] - was[1], now[2] - was[2], "".join(marks[was[0] + was[1] : now[0] + now[1]]), keys[was[3] : now[3]]))
+            out.append((_pack(now[0] - was[0], now[1] - was[1], now[2] - was[2]), "".join(marks[was[0] + was[1] : now[0] + now[1]]), keys[was[3] : now[3]]))
             was = now
         return out
 
-    def _spells(self, text: str, x: list[int], y: list[int]) -> bool:
-        whole = b" " + text.encode()
-        return b"".join([self.a.bytes[i] for i in x]) == whole and b"".join([self.b.bytes[i] for i in y]) == whole
+    @staticmethod
+    def _spell(x: Byte | Piece, whole: list[bytes], ids: np.ndarray, of: np.ndarray, ends: np.ndarray) -> bool:
+        """Whether the tokens of all texts spell them: their bytes together, and each text's end among the tokens' ends."""
+        if b"".join([x.bytes[i] for i in ids.tolist()]) != b"".join(whole):
+            return False
+        last = np.searchsorted(of, np.arange(len(whole)), side="right") - 1
+        return len(whole) == 0 or bool((last >= 0).all() and (ends[last] == np.cumsum([len(w) for w in whole])).all())
 
     def texts(self, texts: list[str | None]) -> list[tuple | None]:
         """Every text by its segments; None has no tokens."""
         cut = [None if not t or SPACE in t else CUT.split(" " + t) if self.safe else [" " + t] for t in texts]
-        if len(self.known) > CACHED:
-            self.known.clear()
-        fresh = [s for s in dict.fromkeys(s for c in cut if c for s in c) if s not in self.known]
-        here = dict(zip(fresh, self.align([s[1:] for s in fresh]), strict=True)) if fresh else {}
+        known = self.known
+        fresh = [s for s in dict.fromkeys(chain.from_iterable(c for c in cut if c)) if s not in known]
+        if fresh:
+            known.update(zip(fresh, self.align([s[1:] for s in fresh]), strict=True))
         out = []
         for text, segments in zip(texts, cut, strict=True):
             if segments is None:
                 out.append(None)
                 continue
-            found = [here[s] if s in here else self.known[s] for s in segments]
-            if any(f is None for f in found):
+            found = list(map(known.__getitem__, segments))
+            if None in found:
                 out.append(self.align([text])[0])
                 continue
-            a, b, g, shown, keys = zip(*found, strict=True)
-            out.append((sum(a), sum(b), sum(g), "".join(shown), np.concatenate(keys)))
-        self.known.update((s, f) for s, f in here.items() if len(s) <= LONGEST)
+            counts, shown, keys = zip(*found, strict=True)
+            out.append((sum(counts), "".join(shown), np.concatenate(keys)))
+        room = CACHED - len(known) + len(fresh)
+        for i, s in enumerate(fresh):
+            if i >= room or len(s) > LONGEST:
+                del known[s]
         return out
 
 
@@ -209,10 +234,10 @@ def aligned(docs: DataFrame, byte_level: str = BYTE_LEVEL, pieces: str = PIECES)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(byte_level, pieces)
         for batch in common.slices(batches, limit=1 << 20):
-            found = [f or (0, 0, 0, "", np.empty(0, dtype=np.int64)) for f in aligner.texts(batch.column("text").to_pylist())]
-            digests = [hashlib.sha256(f[3][:-1].encode()).hexdigest() if f[3] else "" for f in found]
-            keys = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(f[4]) for f in found)]), type=pa.int32()), pa.array(np.concatenate([f[4] for f in found])))
-            counts = [pa.array([f[i] for f in found], type=pa.int64()) for i in range(3)]
+            found = [f or (0, "", np.empty(0, dtype=np.int64)) for f in aligner.texts(batch.column("text").to_pylist())]
+            digests = [hashlib.sha256(f[1][:-1].encode()).hexdigest() if f[1] else "" for f in found]
+            keys = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(f[2]) for f in found)]), type=pa.int32()), pa.array(np.concatenate([f[2] for f in found])))
+            counts = [pa.array(c, type=pa.int64()) for c in zip(*(_unpack(f[0]) for f in found), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array(digests, type=pa.string()), keys], names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "keys"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, n_a long, n_b long, n_groups long, groups_sha256 string, keys array<long>")
