@@ -6,11 +6,15 @@ Java: without them ``\\w``, ``\\b`` and case folding are ASCII only.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from siltstone.functions import fixed
 
@@ -65,34 +69,98 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _found(text: Column, low: Column, pattern: str) -> Column:
-    """As matches, with the folded text at hand."""
-    words = needed(pattern)
-    found = text.rlike(BLIND + pattern)
-    if not words:
-        return found
-    hint = low.contains(words[0])
-    for w in words[1:]:
-        hint = hint | low.contains(w)
-    return hint & found
+def literal(part: str) -> str | None:
+    """The lower-case word that an alternative is found by exactly: plain characters, with an optional group behind them; else None."""
+    plain = re.sub(r"\(\?:[^()]*\)\?$", "", part)
+    bare = re.sub(r"\\(\W)", "", plain)
+    return re.sub(r"\\(\W)", r"\1", plain).lower() if plain and not re.search(r"[\\.^$*+?{}\[\]|()]", bare) else None
+
+
+class Flags:
+    """Many patterns at once: one automaton finds all words that decide or admit them, and only admitted ones are searched for.
+
+    An alternative that is a word is decided by it; for another, the words of which
+    every match holds one are looked up, and the pattern runs on the texts that
+    have one.  So a text is read once, whatever the number of patterns.
+    """
+
+    def __init__(self, patterns: dict[str, str]):
+        import ahocorasick
+
+        self.names = list(patterns)
+        words: dict[str, list[int]] = {}  # of each word the patterns that it decides and those that it admits, as bits
+        self.rest: list[tuple[int, re.Pattern]] = []
+        self.always = 0
+        for bit, pattern in enumerate(patterns.values()):
+            parts = alternatives(pattern)
+            rest = "|".join(p for p in parts if literal(p) is None)
+            for w in (x for p in parts if (x := literal(p)) is not None):
+                words.setdefault(w, [0, 0])[0] |= 1 << bit
+            if rest:
+                self.rest.append((1 << bit, re.compile(rest, re.IGNORECASE)))
+                admit = needed(rest)
+                for w in admit or ():
+                    words.setdefault(w, [0, 0])[1] |= 1 << bit
+                self.always |= 0 if admit else 1 << bit
+        self.words = sorted(words)
+        self.automaton = ahocorasick.Automaton()
+        for w, bits in words.items():
+            self.automaton.add_word(w, tuple(bits))
+        self.automaton.make_automaton()
+
+    def found(self, text: str) -> list[int]:
+        """The places of the patterns that a text has."""
+        decided, admitted = 0, self.always
+        for d, a in {bits for _, bits in self.automaton.iter(text.lower().replace("\u017f", "s").replace("\u0131", "i"))}:
+            decided |= d
+            admitted |= a
+        for bit, pattern in self.rest:
+            if admitted & bit and not decided & bit and pattern.search(text):
+                decided |= bit
+        return [i for i in range(len(self.names)) if decided >> i & 1]
+
+
+@functools.cache
+def flags_of(kind: str) -> Flags:
+    if kind == "keywords":
+        return Flags({p: p for p in fixed.KEYWORDS})
+    return Flags(fixed.CATEGORIES if kind == "categories" else {k: p for k, p in fixed.SIGNALS.items() if k != "has_code_block"})
+
+
+def _flags(kind: str) -> Callable[[Column], Column]:
+    """A column function: the names of the patterns of a kind that a text has, in declared order; null for a null text."""
+
+    @pandas_udf(T.ArrayType(T.StringType()))
+    def found(texts: pd.Series) -> pd.Series:
+        flags = flags_of(kind)
+        return pd.Series([None if t is None else [flags.names[i] for i in flags.found(t)] for t in texts], dtype=object)
+
+    return found
 
 
 def matches(text: Column, pattern: str) -> Column:
     """Whether the pattern is found, without regard to case. A plain search for words that every match holds spares most texts the pattern."""
-    if needed(pattern) is None:
+    words = needed(pattern)
+    if words is None:
         return text.rlike(BLIND + pattern)
-    return bound(folded(text), lambda low: _found(text, low, pattern))
+
+    def look(low: Column) -> Column:
+        hint = low.contains(words[0])
+        for w in words[1:]:
+            hint = hint | low.contains(w)
+        return hint & text.rlike(BLIND + pattern)
+
+    return bound(folded(text), look)
 
 
 def keywords(text: Column) -> Column:
     """The keyword patterns that the text has, sorted."""
-    return F.array_sort(F.array_compact(bound(folded(text), lambda low: F.array(*[F.when(_found(text, low, p), F.lit(p)) for p in fixed.KEYWORDS]))))
+    return F.coalesce(F.array_sort(_flags("keywords")(text)), F.array().cast("array<string>"))
 
 
 def categories(text: Column) -> Column:
     """The categories that fit, in declared order; ``uncategorized`` alone if none does."""
-    found = F.array_compact(bound(folded(text), lambda low: F.array(*[F.when(_found(text, low, p), F.lit(k)) for k, p in fixed.CATEGORIES.items()])))
-    return bound(found, lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(F.lit("uncategorized"))))
+    return bound(_flags("categories")(text), lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(F.lit("uncategorized"))))
 
 
 def primary_category(found: Column) -> Column:
@@ -101,7 +169,65 @@ def primary_category(found: Column) -> Column:
 
 def signals(text: Column) -> Column:
     """A struct of the structural flags. The code-block pattern is the only one that minds case."""
-    return F.struct(*[(text.rlike("(?U)" + p) if k == "has_code_block" else matches(text, p)).alias(k) for k, p in fixed.SIGNALS.items()])
+    block = text.rlike("(?U)" + fixed.SIGNALS["has_code_block"])
+    return bound(_flags("signals")(text), lambda found: F.struct(*[(block if k == "has_code_block" else F.array_contains(found, k)).alias(k) for k in fixed.SIGNALS]))
+
+
+def segments(pattern: str) -> list[list[str]]:
+    """The alternatives in which a line end can stand, cut at their white space.
+
+    Other alternatives can't match over a line end.  White space that is not
+    ``\\s+`` outside groups, or a class that a line end is in, is an error.
+    """
+    out = []
+    for part in alternatives(pattern):
+        cut = part.split(r"\s+")
+        if any(re.search(r"\\[sWDS]|\[\^|\(\?s|\n", x) for x in cut):
+            raise ValueError(f"a line end can stand in {part!r} in a way that is not known")
+        out += [cut] if len(cut) > 1 else []
+    return out
+
+
+def border(body: Column, pattern: str) -> Column:
+    """What a text does to a match that runs through it, when texts are joined by line ends: a map of states.
+
+    A state is how many segments of an alternative stand at the end of what was
+    read, with nothing but white space behind them.  For each alternative: ``through``
+    (from state i to j, by a text that is just these segments), ``ends`` (from i to
+    the whole match), ``opens`` (the states that the text makes by itself).
+    """
+    joined = lambda some: r"\s+".join(some)
+    test = lambda p: F.coalesce(matches(body, p), F.lit(False))
+    maps = []
+    for cut in segments(pattern):
+        k = len(cut)
+        through = F.array(*[F.array(*[F.lit(False) if not 0 < i < j < k else test(rf"\A\s*{joined(cut[i:j])}\s*\z") for j in range(k)]) for i in range(k)])
+        ends = F.array(*[F.lit(False) if not i else test(rf"\A\s*{joined(cut[i:])}") for i in range(k)])
+        opens = F.array(*[F.lit(False) if not j else test(rf"{joined(cut[:j])}\s*\z") for j in range(k)])
+        maps.append(F.struct(through.alias("through"), ends.alias("ends"), opens.alias("opens")))
+    blank = F.coalesce(~body.rlike(r"(?U)\S"), F.lit(True))
+    none = F.array().cast("array<struct<through:array<array<boolean>>,ends:array<boolean>,opens:array<boolean>>>")
+    return F.struct(blank.alias("blank"), (F.array(*maps) if maps else none).alias("maps"))
+
+
+def crosses(borders: Column, pattern: str) -> Column:
+    """Whether a match runs over line ends between texts, from the ordered array of their borders: the maps are composed from left to right."""
+    sizes = [len(cut) for cut in segments(pattern)]
+    if not sizes:
+        return F.lit(False)
+    start = F.struct(F.array(*[F.array(*[F.lit(False)] * k) for k in sizes]).alias("open"), F.lit(False).alias("hit"))
+
+    def step(state: Column, b: Column) -> Column:
+        hit, opened = state["hit"], []
+        for a, k in enumerate(sizes):
+            at, m = state["open"][a], b["maps"][a]
+            for i in range(1, k):
+                hit = hit | (at[i] & m["ends"][i])
+            into = lambda j, at=at, m=m: functools.reduce(lambda x, i: x | (at[i] & m["through"][i][j]), range(1, j), m["opens"][j] | (b["blank"] & at[j]))
+            opened.append(F.array(F.lit(False), *[into(j) for j in range(1, k)]))
+        return F.struct(F.array(*opened).alias("open"), hit.alias("hit"))
+
+    return F.aggregate(borders, start, step, lambda s: s["hit"])
 
 
 def letters(text: Column) -> Column:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +26,24 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers of a session, once for an application: what they unpickle refers to it."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root, body = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(body, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    path = Path(tempfile.mkdtemp()) / "siltstone_library.zip"
+    path.write_bytes(body.getvalue())
+    spark.sparkContext.addPyFile(str(path))
+    _shipped.add(app)
+
+
 _written: list[tuple[SparkSession, str]] = []
 
 

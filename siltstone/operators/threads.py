@@ -65,8 +65,8 @@ def score(flags: dict[str, Column]) -> Column:
     return F.greatest(F.lit(0), F.least(F.lit(100), total)).cast("int")
 
 
-#: Characters at a message's ends in which a match may run into the next one.
-SEAM = 200
+#: Patterns that are looked for in a thread's bodies joined by line ends.
+JOINED = {"is_problem": fixed.PROBLEM, "is_correction": fixed.CORRECTION, "is_nack": r"\bNACK?\b"}
 
 
 def rollup(messages: DataFrame) -> DataFrame:
@@ -76,15 +76,15 @@ def rollup(messages: DataFrame) -> DataFrame:
     byte_offset, ordinal, files, commits, categories, signals.  Whole bodies are
     not gathered: flags are found on each message and combined, and the thread
     keeps references to its messages in their order.  The problem, the correction and
-    the NACK may also run from the end of a message into the beginning of the next:
-    ``SEAM`` characters of both are read together.
+    the NACK may also run over any number of messages: of each the thread keeps
+    what it does to a match that runs through it (``text.border``, some truth
+    values), and these maps are composed in order.
     """
     place = F.struct(text.sort_date(F.col("date_iso")).alias("date"), F.col("byte_offset").alias("byte_offset"), F.col("ordinal").alias("ordinal"))
-    before = F.lag(F.right("body", F.lit(SEAM))).over(W.partitionBy("root").orderBy("place"))  # the ends of bodies alone go through the window
-    seams = messages.select("root", place.alias("place"), "body").select("root", F.concat(before, F.lit("\n"), F.left("body", F.lit(SEAM))).alias("body")).where("body is not null")
-    found = lambda c: [text.matches(c, p).alias(n) for n, p in (("is_problem", fixed.PROBLEM), ("is_correction", fixed.CORRECTION), ("is_nack", r"\bNACK?\b"))]
-    across = seams.select("root", *found(F.col("body"))).groupBy("root").agg(*[F.bool_or(n).alias(f"seam_{n}") for n in ("is_problem", "is_correction", "is_nack")])
-    flat = messages.select("*", place.alias("place"), *found(F.col("body")))
+    found = lambda c: [text.matches(c, p).alias(n) for n, p in JOINED.items()]
+    running = {n: p for n, p in JOINED.items() if text.segments(p)}
+    borders = [text.border(F.col("body"), p).alias(f"border_{n}") for n, p in running.items()]
+    flat = messages.select("*", place.alias("place"), *found(F.col("body")), *borders)
     ordered = lambda value: F.transform(F.array_sort(F.collect_list(F.struct("place", value))), lambda x: x[value])
     grouped = flat.groupBy("root").agg(
         F.min_by("subject", "place").alias("subject"),
@@ -99,11 +99,11 @@ def rollup(messages: DataFrame) -> DataFrame:
         F.bool_or("is_problem").alias("is_problem"),
         F.bool_or("is_correction").alias("is_correction"),
         F.bool_or("is_nack").alias("is_nack"),
+        *[text.crosses(ordered(f"border_{n}"), p).alias(f"across_{n}") for n, p in running.items()],
         F.countDistinct("source_file").alias("source_files"),
         F.transform(F.array_sort(F.collect_list(F.struct("place", "source_file", "archive_url", "id", "byte_offset"))), lambda x: F.struct(x["source_file"].alias("source_file"), x["archive_url"].alias("archive_url"), x["id"].alias("message_id"), x["byte_offset"].alias("byte_offset"))).alias("source_refs"),
     )
-    grouped = grouped.join(across, "root", "left")
-    either = lambda n: F.col(n) | F.coalesce(F.col(f"seam_{n}"), F.lit(False))
+    either = lambda n: F.col(n) | F.col(f"across_{n}") if n in running else F.col(n)
     two, subject = F.col("author_count") >= 2, F.col("subject")
     flags = {
         "problem": either("is_problem"),
@@ -122,7 +122,7 @@ def rollup(messages: DataFrame) -> DataFrame:
         "lone_bump": text.matches(subject, "bump to") & ~two,
     }
     scored = grouped.withColumn("score_cents", score(flags)).withColumn("score", F.col("score_cents") / 100.0)
-    return scored.withColumnRenamed("root", "thread_id").drop("is_problem", "is_correction", "is_nack", "seam_is_problem", "seam_is_correction", "seam_is_nack")
+    return scored.withColumnRenamed("root", "thread_id").drop(*JOINED, *[f"across_{n}" for n in running])
 
 
 def passing(threads: DataFrame, threshold: int = fixed.PASSING) -> DataFrame:
