@@ -53,7 +53,7 @@ from siltstone.llm import common
 #: The vocabularies; every executor must have them at these paths.
 BYTE_LEVEL, PIECES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Segments that a task keeps, and the longest that it keeps.
-CACHED, LONGEST = 1 << 18, 64
+CACHED, LONGEST = 1 << 17, 64
 SPACE = "▁"
 #: A segment starts at a space behind a character that is no white space.
 CUT = re.compile(r"(?<=\S)(?= )")
@@ -154,7 +154,7 @@ class Aligner:
         self.known: dict[str, tuple] = {}
 
     def align(self, texts: list[str]) -> list[tuple | None]:
-        """(packed counts, groups as text with an end mark, keys of the links) of each text behind a space; None where the tokens do not spell it."""
+        """(packed counts, groups as text with an end mark, bytes of the links' keys) of each text behind a space; None where the tokens do not spell it."""
         ids = (self.a.encode(texts), self.b.encode(texts))
         whole = [b" " + t.encode() for t in texts]
         (ia, ta, ea), (ib, tb, eb) = flat = [_flat(x, n) for x, n in zip(ids, self.sizes, strict=True)]
@@ -189,7 +189,7 @@ class Aligner:
         ua, ub, ug, uk = until(ta), until(tb), until(of_group), until(ta[of])
         out, was = [], (0, 0, 0, 0)
         for now in zip(ua, ub, ug, uk, strict=True):
-            out.append((_pack(now[0] - was[0], now[1] - was[1], now[2] - was[2]), "".join(marks[was[0] + was[1] : now[0] + now[1]]), keys[was[3] : now[3]]))
+            out.append((_pack(now[0] - was[0], now[1] - was[1], now[2] - was[2]), "".join(marks[was[0] + was[1] : now[0] + now[1]]), keys[was[3] : now[3]].tobytes()))  # a copy: a view would keep the whole array
             was = now
         return out
 
@@ -218,7 +218,7 @@ class Aligner:
                 out.append(self.align([text])[0])
                 continue
             counts, shown, keys = zip(*found, strict=True)
-            out.append((sum(counts), "".join(shown), np.concatenate(keys)))
+            out.append((sum(counts), "".join(shown), b"".join(keys)))
         room = CACHED - len(known) + len(fresh)
         for i, s in enumerate(fresh):
             if i >= room or len(s) > LONGEST:
@@ -234,9 +234,9 @@ def aligned(docs: DataFrame, byte_level: str = BYTE_LEVEL, pieces: str = PIECES)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(byte_level, pieces)
         for batch in common.slices(batches, limit=1 << 20):
-            found = [f or (0, "", np.empty(0, dtype=np.int64)) for f in aligner.texts(batch.column("text").to_pylist())]
+            found = [f or (0, "", b"") for f in aligner.texts(batch.column("text").to_pylist())]
             digests = [hashlib.sha256(f[1][:-1].encode()).hexdigest() if f[1] else "" for f in found]
-            keys = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(f[2]) for f in found)]), type=pa.int32()), pa.array(np.concatenate([f[2] for f in found])))
+            keys = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(f[2]) // 8 for f in found)]), type=pa.int32()), pa.array(np.frombuffer(b"".join(f[2] for f in found), dtype=np.int64)))
             counts = [pa.array(c, type=pa.int64()) for c in zip(*(_unpack(f[0]) for f in found), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array(digests, type=pa.string()), keys], names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "keys"])
 
