@@ -16,6 +16,7 @@ from siltstone.functions import fixed, mail, markdown, text
 from siltstone.operators import layout, release, store, threads
 from siltstone.plans.catalogue import KEYWORDS_SQL, LESSONS_SQL, LOW, STORE_SQL, as_messages, layers, lit, query, semantic, table
 from siltstone.sources import corpus, runs, sinks
+from siltstone.streaming import crawl
 
 _trees: dict[tuple[str, str, str], str] = {}
 
@@ -25,7 +26,7 @@ def tree(spark: SparkSession, sf_dir: str, name: str, files) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _trees:
         root = f"{lineage.shared_dir(spark)}/tree-{name}-{uuid.uuid4().hex}"
-        sinks.put_files(files(), root)
+        runs.write_tree(files(), root)
         lineage._written.append((spark, root))
         _trees[key] = root
     return _trees[key]
@@ -223,9 +224,9 @@ def _message() -> Column:
 
 
 def _archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "conversations").select("role", F.struct("conv_id", "turn", _message().alias("m")).alias("x"))
-    whole = c.groupBy("role").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["m"]), "").alias("content"))
-    return whole.select(F.concat(F.lit("devel/"), "role", F.lit(".txt")).alias("path"), "content")
+    c = table(spark, sf_dir, "conversations").select("role", F.floor(F.col("conv_id") / 50).cast("string").alias("month"), F.struct("conv_id", "turn", _message().alias("m")).alias("x"))
+    whole = c.groupBy("role", "month").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["m"]), "").alias("content"))
+    return whole.select(F.concat(F.lit("devel/"), "role", F.lit("-"), "month", F.lit(".txt")).alias("path"), "content")
 
 
 def archives(spark: SparkSession, sf_dir: str) -> str:
@@ -233,17 +234,17 @@ def archives(spark: SparkSession, sf_dir: str) -> str:
 
 
 PARSED_SQL = f"""turns AS (SELECT *, {MESSAGE_SQL} AS m FROM conversations),
-placed AS (SELECT *, CAST(coalesce(sum(octet_length(encode(m))) OVER (PARTITION BY role ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS byte_offset, trim(text, ' ' || chr(10) || chr(9)) AS body FROM turns)"""
+placed AS (SELECT *, CAST(coalesce(sum(octet_length(encode(m))) OVER (PARTITION BY role, conv_id // 50 ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS byte_offset, trim(text, ' ' || chr(10) || chr(9)) AS body FROM turns)"""
 
 
 @query(
-    f"""WITH {PARSED_SQL} SELECT 'devel/' || role || '.txt' AS source_file, 'https://lists.example.org/devel/' || role || '.txt' AS archive_url, byte_offset, '{FROM_LINE}' AS mbox_from_line, '<' || conv_id || '-' || turn || '@x>' AS message_id,
+    f"""WITH {PARSED_SQL} SELECT 'devel/' || role || '-' || (conv_id // 50) || '.txt' AS source_file, 'https://lists.example.org/devel/' || role || '-' || (conv_id // 50) || '.txt' AS archive_url, byte_offset, '{FROM_LINE}' AS mbox_from_line, '<' || conv_id || '-' || turn || '@x>' AS message_id,
   CASE WHEN turn > 0 THEN '<' || conv_id || '-' || (turn - 1) || '@x>' END AS in_reply_to, role || '@example.com' AS from_addr, '' AS from_name, '2026-03-09T10:0' || (turn % 10) || ':00+01:00' AS date_iso, 'Turn é ' || turn AS subject, sha256(body) AS body, array_to_string({KEYWORDS_SQL.replace("(text,", "(subj || chr(10) || body,")}, ' ') AS keywords
 FROM (SELECT *, 'Turn é ' || turn AS subj FROM placed)"""
 )
 def mail_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns in one archive a role, split and parsed again."""
-    found = corpus.parsed_archives(spark, archives(spark, sf_dir), {"devel/": "https://lists.example.org/devel/"})
+    """Turns in an archive for each role and fifty conversations, read by ranges of 32 KB and parsed."""
+    found = corpus.parsed_archives(spark, archives(spark, sf_dir), {"devel/": "https://lists.example.org/devel/"}, range_bytes=1 << 15)
     return found.select("source_file", "archive_url", "byte_offset", "mbox_from_line", "message_id", "in_reply_to", "from_addr", "from_name", "date_iso", "subject", F.sha2("body_for_scoring", 256).alias("body"), F.array_join("keyword_matches", " ").alias("keywords"))
 
 
@@ -339,7 +340,7 @@ def synced_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = tree(spark, sf_dir, "sync-source", lambda: b.where("item_id % 4 < 3"))
     target = f"{lineage.shared_dir(spark)}/sync-target-{uuid.uuid4().hex}"
     lineage._written.append((spark, target))
-    sinks.put_files(b.where("item_id % 4 > 1").withColumn("content", F.when(F.col("item_id") % 4 == 2, F.lit("other")).otherwise(F.col("content"))), target)
+    runs.write_tree(b.where("item_id % 4 > 1").withColumn("content", F.when(F.col("item_id") % 4 == 2, F.lit("other")).otherwise(F.col("content"))), target)
     runs.apply_plan(layout.sync_plan(runs.listing(spark, source), runs.listing(spark, target), delete_extra=True), source, target)
     return corpus.whole_files(spark, target, "*.md").select(corpus.relative(F.col("path"), target).alias("path"), F.sha2("content", 256).alias("content"))
 
@@ -501,6 +502,56 @@ def fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.cache_plan(a, c, "2020-01-01").select(F.col("url").alias("page_id"), "action")
 
 
+def _fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three crawls over the pages: texts that change, are short or are not modified, failed fetches, old pages, outputs that were lost."""
+    p = table(spark, sf_dir, "pages").where("url is not null").groupBy("url").agg(F.min("page_id").alias("k"), F.min("html").alias("html"))
+    each = p.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2).cast("long"))).alias("seq"))
+    k, seq = F.col("k"), F.col("seq")
+    raw = F.when(k % 9 == 4, "tiny").when((k % 7 == 2) & (seq == 2), F.concat("html", F.lit("new"))).otherwise(F.col("html"))
+    status = F.when((k + seq) % 6 == 5, 503).when((k % 5 == 1) & (seq > 0), 304).otherwise(200)
+    was = F.when(k % 9 == 4, "tiny").otherwise(F.col("html"))
+    stored = F.when((seq > 0) & ((k + seq) % 11 != 3), crawl.content_hash_of(was))
+    return each.select("url", "seq", status.alias("status"), F.when(status == 200, raw).alias("raw"), F.when((k % 13 == 5) & (seq == 1), "2019-01-01").alias("last_modified"), (k % 17 == 6).alias("is_error"), stored.alias("stored_hash"))
+
+
+def _crawl_sql() -> str:
+    """Three crawls one after the other, each a join with what the one before left."""
+    fetches = """p AS (SELECT url, min(page_id) AS k, min(html) AS html FROM pages WHERE url IS NOT NULL GROUP BY url), e AS (SELECT *, unnest([0, 1, 2])::BIGINT AS seq FROM p),
+s AS (SELECT url, seq, k, CASE WHEN (k + seq) % 6 = 5 THEN 503 WHEN k % 5 = 1 AND seq > 0 THEN 304 ELSE 200 END AS status, CASE WHEN k % 9 = 4 THEN 'tiny' WHEN k % 7 = 2 AND seq = 2 THEN html || 'new' ELSE html END AS text, CASE WHEN k % 9 = 4 THEN 'tiny' ELSE html END AS was FROM e),
+f AS (SELECT url, seq, status, CASE WHEN status = 200 THEN text END AS raw, CASE WHEN k % 13 = 5 AND seq = 1 THEN '2019-01-01' END AS modified, k % 17 = 6 AS is_error, CASE WHEN seq > 0 AND (k + seq) % 11 <> 3 THEN sha256('output of ' || sha256(was)) END AS stored FROM s),
+n0 AS (SELECT CAST(NULL AS VARCHAR) AS url, CAST(NULL AS VARCHAR) AS rh, CAST(NULL AS VARCHAR) AS ch, CAST(NULL AS VARCHAR) AS sr WHERE false)"""
+    steps = []
+    for i in range(3):
+        steps.append(f"""j{i} AS (SELECT f.*, sha256(raw) AS h, n.url IS NOT NULL AS was, n.rh, n.ch, n.sr, coalesce(n.ch = f.stored, false) AS whole, (status >= 400 OR is_error OR (status <> 304 AND raw IS NULL)) AS bad, (status = 304 OR coalesce(sha256(raw) = n.rh, false)) AS seen FROM f LEFT JOIN n{i} n ON n.url = f.url WHERE seq = {i}),
+o{i} AS (SELECT *, CASE WHEN modified < '2020-01-01' THEN 'expired' WHEN bad THEN CASE WHEN whole THEN 'reuse' ELSE 'fail' END WHEN seen AND was AND coalesce(sr = 'short', false) THEN 'short' WHEN seen AND whole THEN 'skip' WHEN raw IS NULL THEN 'fail' WHEN length(raw) < 100 THEN 'short' WHEN was AND ch IS NOT NULL AND NOT whole THEN 'refetch' ELSE 'convert' END AS action FROM j{i}),
+n{i + 1} AS (SELECT url, CASE WHEN action IN ('convert', 'refetch') OR (action = 'short' AND NOT (seen AND sr = 'short' AND was)) THEN h ELSE rh END AS rh, CASE WHEN action IN ('convert', 'refetch') THEN sha256('output of ' || h) WHEN action = 'short' THEN NULL ELSE ch END AS ch, CASE WHEN action = 'short' THEN 'short' WHEN action IN ('convert', 'refetch') THEN NULL ELSE sr END AS sr FROM o{i} WHERE action <> 'expired' AND (action NOT IN ('reuse', 'fail') OR (bad AND was)))""")
+    return "WITH " + ",\n".join([fetches, *steps])
+
+
+@query(_crawl_sql() + " SELECT url, seq, action FROM o0 UNION ALL SELECT url, seq, action FROM o1 UNION ALL SELECT url, seq, action FROM o2")
+def crawl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three crawls taken in as a stream, each as it has landed, in two runs over one checkpoint."""
+    root = f"{lineage.shared_dir(spark)}/crawl-{uuid.uuid4().hex}"
+    lineage._written.append((spark, root))
+    found = lineage.cut(_fetches(spark, sf_dir), "crawl-fetches")
+    for seqs in ([0, 1], [2]):
+        for i in seqs:
+            found.where(F.col("seq") == i).write.parquet(f"{root}/landed/{i}")
+        crawl.run(spark, f"{root}/landed", f"{root}/out", f"{root}/checkpoint", "2020-01-01")
+    return spark.read.schema(crawl.OUTCOME).parquet(f"{root}/out").select("url", "seq", "action")
+
+
+@query(_crawl_sql() + " SELECT url, action FROM o2")
+def crawl_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same three crawls as batch plans, each against the records that the one before left; the outcomes of the last."""
+    found, seen = _fetches(spark, sf_dir), None
+    kept = spark.createDataFrame([], "url string, raw_hash string, content_hash string, last_modified string, skip_reason string")
+    for i in range(3):
+        seen = lineage.cut(crawl.plan(found.where(F.col("seq") == i), kept, "2020-01-01"), "crawl-plan")
+        kept = crawl.records(seen)
+    return seen.select("url", "action")
+
+
 @query("SELECT page_id, CASE WHEN NOT regexp_matches(host, '(^|\\.)example\\.com$') THEN 'off-site' WHEN page_id % 7 = 0 THEN 'redirected' WHEN page_id % 7 = 1 THEN 'challenge' ELSE 'kept' END AS verdict FROM (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host FROM pages)")
 def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of the site example.com; every seventh page was led to another host, the next one is a bot guard's page."""
@@ -776,13 +827,6 @@ def selected_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'refused' WHEN 1 THEN 'refused' WHEN 2 THEN 'refused' WHEN 3 THEN 'refused' ELSE 'safe' END AS verdict FROM pages")
 def guarded_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of trees: equal, one inside the other, the other inside the one, a blank path, and two apart."""
-    out = []
-    for r in table(spark, sf_dir, "pages").select("page_id").toLocalIterator():
-        a = f"/data/{r['page_id']}"
-        b = (a, f"{a}/deeper/tree", "/data", "  ", f"/other/{r['page_id']}")[r["page_id"] % 5]
-        try:
-            runs.check_trees(a, b)
-            out.append((r["page_id"], "safe"))
-        except ValueError:
-            out.append((r["page_id"], "refused"))
-    return spark.createDataFrame(out, "page_id long, verdict string")
+    own, other = F.concat(F.lit("/data/"), number("page_id")), F.concat(F.lit("/other/"), number("page_id"))
+    target = F.element_at(F.array(own, F.concat(own, F.lit("/deeper/tree")), F.lit("/data"), F.lit("  "), other), (F.col("page_id") % 5 + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", F.when(runs.trees_apart(own, target), "safe").otherwise("refused").alias("verdict"))

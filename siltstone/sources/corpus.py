@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from siltstone.functions import markdown, mail, text
+from siltstone.sources import mbox, places
 
 try:
     import yaml
@@ -120,8 +121,13 @@ def archives(spark: SparkSession, root: str) -> DataFrame:
     return found.select(F.element_at(F.split(F.col("path"), base, 2), -1).alias("source_file"), "content")
 
 
-def parsed_archives(spark: SparkSession, root: str, prefixes: dict[str, str] | None = None) -> DataFrame:
-    return mail.records(mail.messages(archives(spark, root)), prefixes)
+def messages(spark: SparkSession, root: str, range_bytes: int = mbox.RANGE) -> DataFrame:
+    """(source_file, byte_offset, from_line, message) of all archives below root, by ranges of bytes; where only Spark's readers reach the files, by whole files."""
+    return mbox.read(spark, root, range_bytes) if places.reachable(root) else mail.messages(archives(spark, root))
+
+
+def parsed_archives(spark: SparkSession, root: str, prefixes: dict[str, str] | None = None, range_bytes: int = mbox.RANGE) -> DataFrame:
+    return mail.records(messages(spark, root, range_bytes), prefixes)
 
 
 SCENARIO = r"(?s)## Scenario (\d+)(.*?)(?=\n## Scenario \d+|\n---|\z)"

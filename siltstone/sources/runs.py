@@ -8,10 +8,10 @@ import zipfile
 from datetime import UTC, date, datetime
 from pathlib import Path, PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.sources import sinks
+from siltstone.sources import places, sinks, trees
 
 
 def write_record(spark: SparkSession, path: str, run_id: str, run_dir: str, status: str) -> dict:
@@ -38,6 +38,13 @@ def check_trees(source: str, target: str) -> None:
         raise ValueError(f"{a} and {b} are one tree, or one holds the other")
 
 
+def trees_apart(source: Column, target: Column) -> Column:
+    """Whether two trees are named, differ, and none holds the other, by their paths alone (``check_trees`` follows links, too)."""
+    clean = lambda p: F.concat(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.trim(p), "^[a-z][a-z0-9+.-]*://[^/]*", ""), r"/(?:\.?/)+", "/"), r"/\.?$", ""), F.lit("/"))
+    a, b = clean(source), clean(target)
+    return (F.trim(source) != "") & (F.trim(target) != "") & ~a.startswith(b) & ~b.startswith(a)
+
+
 def select_stages(stages: list[str], only: str | None) -> list[str]:
     """All stages; or those with exactly this id, else of this two-digit family, else of this full name. A stage is named ``…-ID-words``."""
     if only is None:
@@ -58,9 +65,18 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
     return found.select(F.element_at(F.split("path", base, 2), -1).alias("path"), F.col("length").alias("size"), F.col("modificationTime").cast("double").alias("mtime"), F.lit(False).alias("is_link"))
 
 
+def write_tree(files: DataFrame, root: str) -> int:
+    """(path, content) as files below root; the number of files. Tasks write them and commit in two phases; where only Hadoop reaches the root, the driver does."""
+    return trees.write(files, root) if places.reachable(root) else sinks.put_files(files, root)
+
+
 def apply_plan(plan: DataFrame, source: str, target: str) -> int:
-    """Carry out a sync plan (path, action) through Hadoop's file systems; the number of files copied or deleted."""
+    """Carry out a sync plan (path, action) in tasks; the number of files copied or deleted. Where only Hadoop reaches the trees, the driver copies."""
     check_trees(source, target)
+    return trees.apply(plan, source, target) if places.reachable(source) and places.reachable(target) else _apply_by_hadoop(plan, source, target)
+
+
+def _apply_by_hadoop(plan: DataFrame, source: str, target: str) -> int:
     spark = plan.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     at = lambda root, p: jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{p}")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import text
+from siltstone.lineage import cut
 
 
 def put(spark: SparkSession, path: str, content: str) -> None:
@@ -94,7 +95,7 @@ def bounded(df: DataFrame, most: int, *order: str) -> tuple[list, str]:
 
 def check_report(found: DataFrame, errors: int = 200, warnings: int = 50) -> str:
     """Issues (store, module, slug, severity, message) as lines: so many errors, so many warnings, and how many more of each."""
-    lines = []
+    lines, found = [], cut(found, "checked")  # the checks run once
     for severity, most in (("error", errors), ("warning", warnings)):
         rows, more = bounded(found.where(F.col("severity") == severity), most, "module", "slug", "message")
         lines += [f"{severity}: {r['module']}/{r['slug']}: {r['message']}" for r in rows] + ([f"{severity}: {more}"] if more else [])
@@ -116,13 +117,13 @@ def lesson_entries(lessons: DataFrame) -> DataFrame:
 
 
 def lesson_index(lessons: DataFrame, path: str, label: str) -> None:
-    """Every lesson under its primary category, best first. Written by Spark's text writer as one sorted file, whatever the number of lessons."""
+    """Every lesson under its primary category, best first: a folder of sorted parts, in the order of their names, each written by a task."""
     spark = lessons.sparkSession
     head = spark.createDataFrame([(f"# Lessons from {label}\n",)], "value string").select(F.lit("").alias("category"), F.lit(0).alias("kind"), F.lit(None).cast("struct<score:int,title:string,lesson_id:string>").alias("place"), "value")
     entries = lesson_entries(lessons)
     names = entries.select("category").distinct().select("category", F.lit(1).alias("kind"), F.lit(None).cast("struct<score:int,title:string,lesson_id:string>").alias("place"), F.concat(F.lit("## "), "category", F.lit("\n")).alias("value"))
     rows = entries.select("category", F.lit(2).alias("kind"), F.col("place").cast("struct<score:int,title:string,lesson_id:string>").alias("place"), F.col("entry").alias("value"))
-    head.unionByName(names).unionByName(rows).orderBy("category", "kind", "place").select("value").coalesce(1).write.mode("overwrite").text(path)
+    head.unionByName(names).unionByName(rows).orderBy("category", "kind", "place").select("value").write.mode("overwrite").text(path)
 
 
 def readme(spark: SparkSession, path: str, title: str, bullets: list[str]) -> None:

@@ -163,6 +163,7 @@ def apply(plan: DataFrame, source: str, target: str) -> int:
         return run
 
     lineage.ship(plan.sparkSession)
+    plan = lineage.cut(plan.select("path", "action"), "sync-plan")  # a plan is a comparison with the target, which changes under it
     done = 0
     for action in ("delete", "copy"):
         counted = plan.where(F.col("action") == action).select("path").mapInArrow(carry(action), "n long").agg(F.sum("n").alias("n")).first()
