@@ -227,27 +227,32 @@ class Aligner:
 
 
 def aligned(docs: DataFrame, byte_level: str = BYTE_LEVEL, pieces: str = PIECES) -> DataFrame:
-    """doc_id, n_a, n_b, n_groups, groups_sha256 and the keys of all links of every document, in order."""
+    """doc_id, n_a, n_b, n_groups, groups_sha256 and the keys of all links of every document, in order, as int64s in a row."""
     rows = common.pick(docs, "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(byte_level, pieces)
-        for batch in common.slices(batches, limit=1 << 20):
+        for batch in common.slices(batches, limit=1 << 19):
             found = [f or (0, "", b"") for f in aligner.texts(batch.column("text").to_pylist())]
             digests = [hashlib.sha256(f[1][:-1].encode()).hexdigest() if f[1] else "" for f in found]
-            keys = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(f[2]) // 8 for f in found)]), type=pa.int32()), pa.array(np.frombuffer(b"".join(f[2] for f in found), dtype=np.int64)))
+            keys = pa.array([f[2] for f in found], type=pa.binary())
             counts = [pa.array(c, type=pa.int64()) for c in zip(*(_unpack(f[0]) for f in found), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array(digests, type=pa.string()), keys], names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "keys"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n_a long, n_b long, n_groups long, groups_sha256 string, keys array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, n_a long, n_b long, n_groups long, groups_sha256 string, keys binary")
+
+
+def _keys(batch: pa.RecordBatch) -> np.ndarray:
+    """The keys of all rows of a batch."""
+    return np.frombuffer(b"".join(batch.column("keys").to_pylist()), dtype=np.int64)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's links as distinct keys with their counts; what is held is bounded by the vocabularies."""
     keys, counts = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     for batch in batches:
-        new, n = np.unique(batch.column("keys").flatten().to_numpy(zero_copy_only=False), return_counts=True)
+        new, n = np.unique(_keys(batch), return_counts=True)
         keys, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
         total = np.zeros(len(keys), dtype=np.int64)
         np.add.at(total, back, np.concatenate([counts, n]))
@@ -340,11 +345,10 @@ def report(docs: DataFrame, byte_level: str = BYTE_LEVEL, pieces: str = PIECES)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = _shards(names)
         for batch in batches:
-            column = batch.column("keys")
-            keys = column.flatten().to_numpy(zero_copy_only=False)
+            keys = _keys(batch)
             n = shards.look_up(keys)
             top = n == shards.best[keys >> 32]
-            size = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            size = pa.compute.binary_length(batch.column("keys")).to_numpy(zero_copy_only=False).astype(np.int64) // 8
             until = np.cumsum(size)
             of = lambda x, until=until, size=size: (s := np.append(0, np.cumsum(x)))[until] - s[until - size]
             sums = [pa.array(v, type=pa.int64()) for v in (size, of(top.astype(np.int64)), of(n))]

@@ -89,7 +89,7 @@ def test_runs_are_summed_over_batches():
 
 
 def test_counts_are_sorted_shards(spark):
-    df = spark.createDataFrame([([5, 1, 1 << 33],), ([1],), ([],)], "keys array<long>").repartition(2)
+    df = spark.createDataFrame([(np.array(k, dtype=np.int64).tobytes(),) for k in ([5, 1, 1 << 33], [1], [])], "keys binary").repartition(2)
     counts = L.pair_counts(df, 3)
     assert [tuple(r) for r in counts.collect()] == [(1, 2), (5, 1), (1 << 33, 1)]
 
