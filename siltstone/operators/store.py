@@ -12,6 +12,7 @@ from datetime import datetime
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -200,6 +201,27 @@ def capped(decided: DataFrame, most: int, *order: str) -> DataFrame:
     return decided.join(wanted, list(order), "left").withColumn("decision", rest).drop("within")
 
 
+def capped_by_success(calls: DataFrame, most: int, *order: str) -> DataFrame:
+    """Calls (the order's columns, ``outcome``: success, failure or stop) with ``state``: made, or waiting since enough calls have succeeded or one has said stop. (A cap on paid calls: the limit is the feature.)
+
+    A call is made if fewer than ``most`` calls before it succeeded and none said
+    stop.  Successes are counted in order: the calls are sorted by range, each
+    partition counts its own, and the partitions' sums are added up, so no task
+    holds more than a range.  Calls of equal order are taken as they come.
+    """
+    hit, stop = (F.col("outcome") == "success").cast("long"), (F.col("outcome") == "stop").cast("long")
+    sorted_calls = calls.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = cut(sorted_calls.select("*", F.spark_partition_id().alias("_block"), F.monotonically_increasing_id().alias("_at")), "calls")
+    sums = placed.groupBy("_block").agg(F.sum(hit).alias("hits"), F.sum(stop).alias("stops"))  # one row a partition
+    earlier = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    start = sums.select("_block", F.coalesce(F.sum("hits").over(earlier), F.lit(0)).alias("_hits"), F.coalesce(F.sum("stops").over(earlier), F.lit(0)).alias("_stops"))
+    within = W.partitionBy("_block").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+    before = lambda c, n: F.col(n) + F.coalesce(F.sum(c).over(within), F.lit(0))
+    counted = placed.join(start, "_block").select("*", before(hit, "_hits").alias("_h"), before(stop, "_stops").alias("_s"))
+    made = (F.col("_h") < most) & (F.col("_s") == 0)
+    return counted.select(*calls.columns, F.when(made, "made").otherwise("waiting").alias("state"))
+
+
 def repaired(documents: DataFrame, base: DataFrame, override: DataFrame, now: str) -> DataFrame:
     """Base records whose title or date is to be set right: current or pinned, without an override, and with another title than the document or no date."""
     current = base.where("readable").join(documents.select(*KEY, F.col("title").alias("doc_title"), "body_hash"), KEY).join(override, KEY, "left_anti")

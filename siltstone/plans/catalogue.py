@@ -451,8 +451,7 @@ def module_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def bpe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens by a public byte-pair vocabulary; SQL has none."""
-    count = tokens.bpe_count("/opt/tokenizers/byte_bpe_50k.tiktoken")
-    return table(spark, sf_dir, "documents").select(F.col("source").alias("module"), count("text").alias("n")).groupBy("module").agg(F.sum("n").alias("tokens"))
+    return tokens.totals(table(spark, sf_dir, "documents").select(F.col("source").alias("module"), "text"), "module", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 
 
 SNAPSHOT_SQL = """

@@ -398,6 +398,17 @@ def capped_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.capped(decided, 20, "doc_id")
 
 
+@query(
+    """WITH c AS (SELECT doc_id, quality, toxic, count(*) FILTER (WHERE quality = 1) OVER w AS hits, count(*) FILTER (WHERE quality = 0 AND toxic = 1 AND doc_id % 50 = 7) OVER w AS stops FROM labels WINDOW w AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT doc_id, CASE WHEN hits < 30 AND stops = 0 THEN 'made' ELSE 'waiting' END AS state FROM c"""
+)
+def successful_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels as calls: the good ones succeed, and thirty successes are paid for; a toxic one now and then says stop. (The limit is the feature.)"""
+    stop = (F.col("toxic") == 1) & (F.col("doc_id") % 50 == 7)
+    calls = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "success").when(stop, "stop").otherwise("failure").alias("outcome"))
+    return store.capped_by_success(calls, 30, "doc_id").select("doc_id", "state")
+
+
 @query("SELECT doc_id, '---' || chr(10) || 'title: T' || chr(10) || CASE WHEN quality = 1 THEN 'ai_summary: \"Good \\\\ ' || doc_id || '\"' ELSE 'ai_summary: old' END || chr(10) || 'module: m' || CASE WHEN quality = 1 THEN chr(10) || 'ai_when_to_use: \"Always.\"' || chr(10) || 'ai_related_topics: [\"a\",\"b\"]' ELSE '' END || chr(10) || '---' || chr(10) || 'Body' AS content FROM labels")
 def injected_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good labels have a summary: it takes the old one's place, the other fields come last."""

@@ -143,3 +143,18 @@ def test_cache_plan(spark):
     got = {r["url"]: r["action"] for r in layout.cache_plan(a, c, "2020-01-01").collect()}
     assert got == {"new": "convert", "eq": "skip", "nm": "skip", "old": "expired", "err": "reuse", "page": "reuse", "bad": "fail", "cor": "refetch", "gone": "orphan"}
     assert {r["url"]: r["action"] for r in layout.cache_plan(a, c, "2020-01-01", complete=False).collect()}["gone"] == "keep"
+
+
+@pytest.mark.parametrize(("most", "want"), [(0, []), (2, [0, 1, 2, 3]), (3, [0, 1, 2, 3, 4, 5]), (99, [0, 1, 2, 3, 4, 5])])
+def test_a_cap_by_successes(spark, most, want):
+    """Failures cost nothing; a call that says stop is the last one."""
+    outcomes = ["failure", "success", "failure", "success", "failure", "stop", "success", "success"]
+    df = spark.createDataFrame(list(enumerate(outcomes)), "i int, outcome string").repartition(3)
+    got = {r["i"]: r["state"] for r in store.capped_by_success(df, most, "i").collect()}
+    assert sorted(i for i, s in got.items() if s == "made") == want and len(got) == 8
+
+
+def test_a_cap_over_many_ranges(spark):
+    df = spark.range(5000).selectExpr("id", "if(id % 3 = 0, 'success', 'failure') as outcome").repartition(7)
+    got = store.capped_by_success(df, 700, "id")
+    assert got.where("state = 'made'").selectExpr("max(id) m", "count(*) n").first() == (2097, 2098)
