@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -54,6 +55,48 @@ def declarations(symbols: DataFrame) -> DataFrame:
     return lines.groupBy("module").agg(F.concat(F.lit('declare module "'), F.first("module"), F.lit('" {\n'), body, F.lit("\n}")).alias("source"))
 
 
+def typed_declarations(symbols: DataFrame, root: str) -> DataFrame:
+    """Documented symbols (kind, name, memberof, params, returns) to one row, ``source``: a TypeScript declaration of the namespace ``root``.
+
+    Namespaces inside it are named by their path, classes hold their methods and
+    members.  Symbols that belong to nothing, or to a path outside the root, stand in
+    the root under their own names; what belongs to a class that is not documented
+    makes a namespace of its name.  Order is by path and name; of a repeated symbol
+    the first by its line stays.
+    """
+    safe = lambda c: F.regexp_replace(c, r"[^\w$]", "_")
+    shown = lambda p: F.concat(F.when(p["rest"], "...").otherwise(""), safe(p["name"]), F.when(p["optional"] & ~p["rest"], "?").otherwise(""), F.lit(": "), F.when(p["rest"] & ~p["type"].endswith("[]"), "any[]").otherwise(p["type"]))
+    # TypeScript wants what is optional behind what is not
+    late = F.filter("params", lambda p: p["optional"] & ~p["rest"])
+    ordered = F.concat(F.filter("params", lambda p: ~p["optional"] & ~p["rest"]), late, F.filter("params", lambda p: p["rest"]))
+    arguments = F.concat(F.lit("("), F.array_join(F.transform(ordered, shown), ", "), F.lit("): "))
+    result = F.coalesce("returns", F.lit("any"))
+    inside = F.regexp_replace(F.coalesce("memberof", F.lit("")), "^" + root.replace(".", "[.]") + r"(?:[.]|$)", "")
+    at = F.when((F.col("kind") == "namespace") | (F.col("kind") == "class"), F.concat_ws(".", F.nullif(inside, F.lit("")), F.when((F.col("name") != root), F.col("name")))).otherwise(inside)
+    rows = symbols.where("name is not null").select("kind", F.col("name"), at.alias("at"), arguments.alias("arguments"), result.alias("result"))
+    classes = rows.where("kind = 'class'").select("at", F.first("arguments").over(W.partitionBy("at").orderBy("arguments")).alias("make")).distinct()
+    rows = rows.join(classes, "at", "left")
+    in_class = F.col("make").isNotNull()
+    line = (
+        F.when(F.col("kind").isin("namespace", "class"), F.lit(None))
+        .when(F.col("kind") == "typedef", F.when(in_class, None).otherwise(F.concat(F.lit("type "), safe(F.col("name")), F.lit(" = "), "result", F.lit(";"))))
+        .when(F.col("kind") == "function", F.concat(F.when(in_class, "").otherwise("function "), safe(F.col("name")), "arguments", "result", F.lit(";")))
+        .otherwise(F.concat(F.when(in_class, "").otherwise("const "), safe(F.col("name")), F.lit(": "), "result", F.lit(";")))
+    )
+    body = F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("name", line.alias("line")))), lambda x: F.concat(F.lit("        "), x["line"])), "\n")
+    blocks = rows.groupBy("at").agg(body.alias("body"), F.first("make").alias("make"))
+    last, path = F.element_at(F.split("at", r"[.]"), -1), F.regexp_replace("at", r"(?:^|[.])[^.]+$", "")
+    new = F.concat(F.lit("        constructor"), F.regexp_replace("make", r"\): $", ");"))
+    opened = (
+        F.when(F.col("at") == "", F.regexp_replace("body", "(?m)^        ", "    "))
+        .when(F.col("make").isNull(), F.concat(F.lit("    namespace "), "at", F.lit(" {\n"), "body", F.lit("\n    }")))
+        .when(path == "", F.concat(F.lit("    class "), last, F.lit(" {\n"), F.concat_ws("\n", new, F.nullif("body", F.lit(""))), F.lit("\n    }")))
+        .otherwise(F.concat(F.lit("    namespace "), path, F.lit(" { class "), last, F.lit(" {\n"), F.concat_ws("\n", new, F.nullif("body", F.lit(""))), F.lit("\n    } }")))
+    )
+    text_ = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", opened.alias("block")))), lambda x: x["block"]), "\n")
+    return blocks.agg(F.concat(F.lit(f"declare namespace {root} {{\n"), text_, F.lit("\n}\n")).alias("source"))
+
+
 def banner(commits: dict[str, str]) -> str:
     """``repository@commit`` of every repository, joined by commas."""
     return ", ".join(f"{name}@{commit}" for name, commit in commits.items())

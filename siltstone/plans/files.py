@@ -15,7 +15,7 @@ from siltstone import lineage
 from siltstone.functions import fixed, mail, markdown, text
 from siltstone.operators import layout, release, store, threads
 from siltstone.plans.catalogue import KEYWORDS_SQL, LESSONS_SQL, LOW, STORE_SQL, as_messages, layers, lit, query, semantic, table
-from siltstone.sources import corpus, runs, sinks
+from siltstone.sources import corpus, extractors, runs, sinks
 from siltstone.streaming import crawl
 
 _trees: dict[tuple[str, str, str], str] = {}
@@ -702,6 +702,47 @@ def package_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.makefile_metadata(files.select(corpus.relative(F.col("path"), root).alias("path"), "content"))
 
 
+def _scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items as JavaScript: a documented function each, with types by the item's number."""
+    n, k = number("item_id"), F.col("item_id")
+    kind = F.element_at(F.array(F.lit("string"), F.lit("?number"), F.lit("Array<string|number>"), F.lit("Object<string, Promise<bool>>")), (k % 4 + 1).cast("int"))
+    content = F.concat(F.lit("/**\n * "), F.regexp_replace(F.trim("text"), r"\s*[@*/].*", ""), F.lit("\n * @memberof Lib.part"), (k % 3).cast("string"), F.lit("\n * @param {"), kind, F.lit("} first - The first\n * @param {function} [last]\n * @returns {"), kind, F.lit("}\n */\nfunction run"), n, F.lit("(first, last) {\n}\n"))
+    root = tree(spark, sf_dir, "scripts", lambda: table(spark, sf_dir, "benchmark").select(F.concat(F.lit("s"), n, F.lit(".js")).alias("path"), content.alias("content")))
+    files = corpus.whole_files(spark, root, "*.js")
+    return extractors.javascript(files.select(corpus.relative(F.col("path"), root).alias("path"), "content"))
+
+
+SCRIPTS_SQL = "s AS (SELECT item_id, text, ['string', 'number | null', '(string | number)[]', 'Record<string, Promise<boolean>>'][item_id % 4 + 1] AS kind FROM benchmark)"
+
+
+@query(f"WITH {SCRIPTS_SQL} SELECT 's' || item_id || '.js' AS path, 'run' || item_id AS name, 'Lib.part' || item_id % 3 AS memberof, 'first: ' || kind || ', last?: (...args: any[]) => any' AS params, kind AS returns, sha256(trim(regexp_replace(trim(text), '\s*[@*/].*', ''), ' ' || chr(10) || chr(9) || chr(13))) AS description FROM s")
+def documented_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the comments of the scripts say, with types in TypeScript."""
+    shown = F.array_join(F.transform("params", lambda p: F.concat(p["name"], F.when(p["optional"], "?: ").otherwise(": "), p["type"])), ", ")
+    return _scripts(spark, sf_dir).select("path", "name", "memberof", shown.alias("params"), "returns", F.sha2("description", 256).alias("description"))
+
+
+@query(
+    f"""WITH {SCRIPTS_SQL}, l AS (SELECT item_id % 3 AS m, string_agg('        function run' || item_id || '(first: ' || kind || ', last?: (...args: any[]) => any): ' || kind || ';', chr(10) ORDER BY 'run' || item_id) AS body FROM s GROUP BY 1)
+SELECT 'declare namespace Lib {{' || chr(10) || string_agg('    namespace part' || m || ' {{' || chr(10) || body || chr(10) || '    }}', chr(10) ORDER BY m) || chr(10) || '}}' || chr(10) AS source FROM l"""
+)
+def typed_declarations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declarations of the scripts' functions, a namespace for each part of the library."""
+    return release.typed_declarations(_scripts(spark, sf_dir), "Lib")
+
+
+@query(
+    "SELECT 'c' || item_id || '/network' AS path, CAST(unnest([0, 0, 0, 1]) AS INTEGER) AS section, unnest(['interface', 'interface', 'interface', 'rule']) AS type, unnest(['i' || item_id, 'i' || item_id, 'i' || item_id, NULL]) AS name, unnest(['option', 'list', 'list', 'option']) AS kind, unnest(['mtu', 'dns', 'dns', 'words']) AS key, unnest(['15' || item_id, 'a b', item_id::VARCHAR, replace(left(split_part(text, chr(10), 1), 30), chr(39), '')]) AS value FROM benchmark"
+)
+def config_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items as configurations: an option that is set twice, a list, and a section without a name whose option quotes the item."""
+    n = number("item_id")
+    content = F.concat(F.lit("# c\nconfig interface 'i"), n, F.lit("'\n\toption mtu 1\n\toption mtu '15"), n, F.lit("'\n\tlist dns 'a b'\n\tlist dns "), n, F.lit("\n\nconfig rule\n\toption words '"), F.replace(F.left(F.substring_index("text", "\n", 1), F.lit(30)), F.lit("'"), F.lit("")), F.lit("'\n"))
+    root = tree(spark, sf_dir, "configs", lambda: table(spark, sf_dir, "benchmark").select(F.concat(F.lit("c"), n, F.lit("/network")).alias("path"), content.alias("content")))
+    files = corpus.whole_files(spark, root, "network")
+    return extractors.uci(files.select(corpus.relative(F.col("path"), root).alias("path"), "content")).drop("ordinal")
+
+
 @query("SELECT 'cook' AS module, 'authored' AS origin_type, 'page-' || item_id AS slug, sha256(text) AS content, CASE WHEN item_id % 3 > 0 THEN 'Page ' || item_id END AS title FROM benchmark")
 def cookbook_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items as authored pages; every third has no header."""

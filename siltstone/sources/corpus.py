@@ -177,7 +177,7 @@ def relative(path: Column, root: str) -> Column:
     return F.when(clean.startswith(base), F.substring(clean, len(base) + 1, 1 << 30)).otherwise(clean)
 
 
-C_COMMENT = r"(?s)/\*\*(.*?)\*/\s*([^\n{;]*)"
+C_COMMENT = r"(?s)/\*\*(.*?)\*/\s*((?:(?!/\*\*)[^\n{;])*)"
 
 
 def documented(files: DataFrame) -> DataFrame:
