@@ -96,6 +96,16 @@ COMMONS_VERSIONS = (("4.0 international", "4"), ("3.0 unported", "3"))
 SPDX = ("MIT", "ISC", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "BSL-1.0", "Unlicense", "CC0-1.0", *(f"CC-{c}-{v}.0" for _, c in COMMONS for _, v in COMMONS_VERSIONS), *(f"{g[3]}-{x}" for g in GNU for x in ("only", "or-later")))
 
 
+#: Sentences with a place for a name, as they are in TEXTS: what stands in front of the name, behind it, and the sentence whose identifier they have.
+SLOTS = (
+    ("neither the name of ", " nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("the name of ", " may not be used to endorse or promote products derived from this software without specific prior written permission", "the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("this software is provided by ", " as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed", "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+)
+#: The most words of a name, which may hold periods but ends no sentence.
+NAME_WORDS = 16
+
+
 def _id(name: str) -> str:
     return name.upper().replace("-", "_").replace(".", "_")
 
@@ -158,6 +168,8 @@ STEPS = (
     (r"(?<![ .])[ .]++(?=[\nSL])", ""),
 )
 PARTS = r"(?: |L?\n|L)"
+#: Inside a name an abbreviation's period ends no sentence.
+NAME_PARTS = r"(?: |L?\n|L|S)"
 
 
 def normalised(sentence: Column) -> Column:
@@ -167,7 +179,17 @@ def normalised(sentence: Column) -> Column:
 def sentence_pattern(sentences: dict[str, str] = SENTENCES) -> str:
     """Any known sentence between two boundaries of a text after STEPS, the longest first."""
     longest = sorted(sentences, key=len, reverse=True)
-    return r"(?<=[\nSL])(?:" + "|".join(PARTS.join(re.escape(w) for w in x.split(" ")) for x in longest) + r")(?=[\nSL])"
+    spaced = lambda x: PARTS.join(re.escape(w) for w in x.split(" "))
+    name = rf"{PARTS}(?:[a-z0-9.+-]+{NAME_PARTS}){{1,{NAME_WORDS}}}?"
+    slots = [spaced(a.strip()) + name + spaced(b.strip()) for a, b, _ in SLOTS]
+    return r"(?<=[\nSL])(?:" + "|".join([*(spaced(x) for x in longest), *slots]) + r")(?=[\nSL])"
+
+
+def without_name(sentence: Column) -> Column:
+    """A sentence with a name in its slot as the known sentence."""
+    for a, b, known in SLOTS:
+        sentence = F.when(sentence.startswith(a) & sentence.endswith(b), F.lit(known)).otherwise(sentence)
+    return sentence
 
 
 def known_sentences(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
@@ -177,7 +199,7 @@ def known_sentences(text: Column, sentences: dict[str, str] = SENTENCES) -> Colu
     for pattern, by in STEPS:
         marked = F.regexp_replace(marked, pattern, by)
     hits = F.regexp_extract_all(marked, F.lit(sentence_pattern(sentences)), 0)
-    looked_up = F.transform(hits, lambda s: F.element_at(names, F.regexp_replace(s, PARTS, " ")))
+    looked_up = F.transform(hits, lambda s: F.element_at(names, without_name(F.regexp_replace(s, NAME_PARTS, " "))))
     return F.when(F.lower(text).rlike(HINT), looked_up).otherwise(F.array().cast("array<string>"))
 
 
@@ -199,13 +221,16 @@ def oracle_sql() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"{quote(k)}: {quote(v)}" for k, v in SENTENCES.items())
     cases = ", ".join(f"CASE WHEN contains(seq, {quote(';' + ';'.join(ids) + ';')}) THEN {quote(name)} END" for name, ids in RULES)
+    slot = "CASE " + " ".join(f"WHEN regexp_full_match(c, {quote(re.escape(a).replace(chr(92) + ' ', ' '))} || '[a-z0-9.+-]+( [a-z0-9.+-]+){{0,{NAME_WORDS - 1}}}' || {quote(re.escape(b).replace(chr(92) + ' ', ' '))}) THEN {quote(k)}" for a, b, k in SLOTS) + " ELSE c END"
     clean = r"regexp_replace(regexp_replace(lower(s), '[^a-z0-9.+-]+', ' ', 'g'), '^[ .]+|[ .]+$', '', 'g')"
     return f"""
 WITH cut AS (
   SELECT doc_id, unnest(string_split_regex(coalesce(text, ''), '[.!?;]+[ \\t]+|[\\n\\r]+')) AS s, generate_subscripts(string_split_regex(coalesce(text, ''), '[.!?;]+[ \\t]+|[\\n\\r]+'), 1) AS place
   FROM documents
+), cleaned AS (
+  SELECT doc_id, place, {clean} AS c FROM cut
 ), named AS (
-  SELECT doc_id, place, MAP {{{known}}}[{clean}] AS id FROM cut
+  SELECT doc_id, place, MAP {{{known}}}[{slot}] AS id FROM cleaned
 ), seqs AS (
   SELECT doc_id, string_agg(id, ';' ORDER BY place) AS ids, count(id) AS n FROM named WHERE id IS NOT NULL GROUP BY doc_id
 ), ruled AS (

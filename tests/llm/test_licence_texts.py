@@ -93,3 +93,22 @@ def test_lines_that_name_a_licence(spark):
 def test_what_is_no_licence(spark):
     texts = ["MIT licensed nothing here.", "The licence of this text is unknown; permission was asked.", "Universal rights and public domain art.", "He may redistribute the cards with a warranty.", "Permission to use is hereby granted to nobody."]
     assert all(r["licence"] is None for r in licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+
+
+def test_a_named_holder_is_no_other_licence(spark):
+    """A third clause with a name in it: the name's slot, wrapped or not; without the clause it is the shorter licence."""
+    clause = lambda name: f"3. Neither the name of {name} nor the names of its\n   contributors may be used to endorse or promote products derived from this\n   software without specific prior written permission.\n"
+    rows = [("google", BSD + clause("Google Inc.")), ("long", BSD + clause("the Regents of the\n   University of California, Berkeley")), ("own", BSD + clause("the copyright holder")), ("two", BSD), ("open", BSD + clause(" ".join(["word"] * 40)))]
+    got = {r["doc_id"]: r["licence"] for r in licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {"google": "BSD-3-Clause", "long": "BSD-3-Clause", "own": "BSD-3-Clause", "two": "BSD-2-Clause", "open": "BSD-2-Clause"}
