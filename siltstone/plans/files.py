@@ -15,7 +15,7 @@ from siltstone import lineage
 from siltstone.functions import fixed, mail, markdown, text
 from siltstone.operators import layout, release, store, threads
 from siltstone.plans.catalogue import KEYWORDS_SQL, LESSONS_SQL, LOW, STORE_SQL, as_messages, layers, lit, query, semantic, table
-from siltstone.sources import corpus, extractors, runs, sinks
+from siltstone.sources import corpus, extractors, packages, runs, sinks
 from siltstone.streaming import crawl
 
 _trees: dict[tuple[str, str, str], str] = {}
@@ -345,6 +345,15 @@ def synced_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.whole_files(spark, target, "*.md").select(corpus.relative(F.col("path"), target).alias("path"), F.sha2("content", 256).alias("content"))
 
 
+@query("SELECT 'docs/' || source || '/' || doc_id || '.md' AS name, sha256(CASE WHEN doc_id % 40 = 39 THEN text WHEN doc_id % 40 = 38 THEN '---' || chr(10) || '- a' || chr(10) || '- b' || chr(10) || '---' || chr(10) || text ELSE '---' || chr(10) || 'title: Document ' || doc_id || chr(10) || 'module: ' || source || chr(10) || 'token_count: ' || n_chars || chr(10) || '---' || chr(10) || text END) AS content FROM documents")
+def packaged_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree of pages as a package that tasks have put together, unpacked again."""
+    folder = f"{lineage.shared_dir(spark)}/packages-{uuid.uuid4().hex}"
+    lineage._written.append((spark, folder))
+    path = packages.package(spark, l2(spark, sf_dir), folder, "docs", "run", hosted=True)
+    return packages.unpacked(spark, path).select("name", F.sha2("content", 256).alias("content"))
+
+
 @query("SELECT CAST(doc_id AS VARCHAR) AS path, CASE doc_id % 5 WHEN 0 THEN 'copy' WHEN 1 THEN 'copy' WHEN 2 THEN 'skip' WHEN 3 THEN 'keep' ELSE 'skip' END AS action FROM documents WHERE doc_id % 7 <> 0")
 def sync_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equal sizes: a file that is a second younger is copied, one that differs by a thousandth is not; new ones are, links and what only the target has are left."""

@@ -1,11 +1,10 @@
-"""Run records, safe trees, stage selection, tree copies and packages: driver-side steps around the plans."""
+"""Run records, safe trees, stage selection, and trees written and copied: steps around the plans."""
 
 from __future__ import annotations
 
 import json
 import re
-import zipfile
-from datetime import UTC, date, datetime
+from datetime import UTC, datetime
 from pathlib import Path, PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -94,16 +93,3 @@ def _apply_by_hadoop(plan: DataFrame, source: str, target: str) -> int:
             jvm.org.apache.hadoop.fs.FileUtil.copy(fro.getFileSystem(conf), fro, fs, to, False, conf)
         done += 1
     return done
-
-
-def package(release_tree: str, packages_dir: str, name: str, run_dir: str, hosted: bool, today: date | None = None) -> Path:
-    """One dated zip of a release tree on this machine, everything below a folder of its name; local runs add the run's last word to the file's name."""
-    root, out = Path(release_tree), Path(packages_dir)
-    suffix = "" if hosted else "-" + run_dir.rstrip("/").rsplit("-", 1)[-1]
-    out.mkdir(parents=True, exist_ok=True)
-    path = out / f"{name}-{(today or date.today()).isoformat()}{suffix}.zip"
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for p in sorted(root.rglob("*")):
-            if p.is_file():
-                z.write(p, f"{name}/{p.relative_to(root).as_posix()}")
-    return path

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.operators import layout, release, store
-from siltstone.sources import runs
+from siltstone.sources import packages, runs
 
 
 @pytest.fixture()
@@ -80,12 +80,12 @@ def test_sync_of_trees(spark, tmp_path):
             runs.check_trees(s, t)
 
 
-def test_package(tmp_path):
+def test_package(spark, tmp_path):
     (tmp_path / "tree/m").mkdir(parents=True)
     (tmp_path / "tree/m/llms.txt").write_text("x")
-    local = runs.package(str(tmp_path / "tree"), str(tmp_path / "p"), "docs", "tmp/pipeline-20260328-7f3c", False, date(2026, 3, 28))
-    assert local.name == "docs-2026-03-28-7f3c.zip" and zipfile.ZipFile(local).namelist() == ["docs/m/llms.txt"]
-    assert runs.package(str(tmp_path / "tree"), str(tmp_path / "p"), "docs", "tmp/x", True, date(2026, 3, 28)).name == "docs-2026-03-28.zip"
+    local = packages.package(spark, str(tmp_path / "tree"), str(tmp_path / "p"), "docs", "tmp/pipeline-20260328-7f3c", False, date(2026, 3, 28))
+    assert local.endswith("/docs-2026-03-28-7f3c.zip") and zipfile.ZipFile(local).namelist() == ["docs/m/llms.txt"]
+    assert packages.package(spark, str(tmp_path / "tree"), str(tmp_path / "p"), "docs", "tmp/x", True, date(2026, 3, 28)).endswith("/docs-2026-03-28.zip")
 
 
 def test_provenance_goes_in_front(spark):
