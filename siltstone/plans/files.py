@@ -724,7 +724,7 @@ def _scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SCRIPTS_SQL = "s AS (SELECT item_id, text, ['string', 'number | null', '(string | number)[]', 'Record<string, Promise<boolean>>'][item_id % 4 + 1] AS kind FROM benchmark)"
 
 
-@query(f"WITH {SCRIPTS_SQL} SELECT 's' || item_id || '.js' AS path, 'run' || item_id AS name, 'Lib.part' || item_id % 3 AS memberof, 'first: ' || kind || ', last?: (...args: any[]) => any' AS params, kind AS returns, sha256(trim(regexp_replace(trim(text), '\s*[@*/].*', ''), ' ' || chr(10) || chr(9) || chr(13))) AS description FROM s")
+@query(f"WITH {SCRIPTS_SQL} SELECT 's' || item_id || '.js' AS path, 'run' || item_id AS name, 'Lib.part' || item_id % 3 AS memberof, 'first: ' || kind || ', last?: (...args: any[]) => any' AS params, kind AS returns, sha256(trim(regexp_replace(trim(text), '\\s*[@*/].*', ''), ' ' || chr(10) || chr(9) || chr(13))) AS description FROM s")
 def documented_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the comments of the scripts say, with types in TypeScript."""
     shown = F.array_join(F.transform("params", lambda p: F.concat(p["name"], F.when(p["optional"], "?: ").otherwise(": "), p["type"])), ", ")

@@ -1 +1 @@
-"""Streams: none. The pipelines are batch; what they do incrementally is a join of state and arrivals (operators.layout.cache_plan)."""
+"""Streams with keyed state: the incremental crawl."""
