@@ -41,16 +41,46 @@ def _summary(block: pd.DataFrame, budget: int) -> pd.DataFrame:
     return pd.DataFrame({"block": [block["block"].iloc[0]], "total": [int(sums[-1])], "sums": [sums[at].tolist()], "used": [used[at].tolist()], "parts": [count[at].tolist()]})
 
 
-def _chained(blocks: pd.DataFrame, budget: int) -> pd.DataFrame:
-    """The size and number of the running part in front of each block of a group, by walking over the blocks' summaries."""
-    out, used, part = [], None, 0
+def _composed(first: tuple, second: tuple, budget: int) -> tuple:
+    """What two neighbouring runs of blocks, as (total, sums, used, parts), do one after the other; as long as what a part can reach."""
+    total, sums, used, parts = first
+    t2, s2, u2, p2 = second
+    if len(s2):
+        at = np.searchsorted(s2, budget - used, side="right")  # where the second run starts a part if it is entered so
+        there = at < len(s2)
+        i = np.minimum(at, len(s2) - 1)
+        used, parts = np.where(there, u2[i], used + t2), parts + np.where(there, p2[i], 0)
+        reach = np.concatenate(([total <= budget or not len(sums)], total + s2[:-1] <= budget))  # from a running part of any size
+        sums, used, parts = np.concatenate((sums, total + s2[reach])), np.concatenate((used, u2[reach])), np.concatenate((parts, p2[reach]))
+    else:
+        used = used + t2
+    return total + t2, sums, used, parts
+
+
+def _arrays(r) -> tuple:
+    return int(r.total), *(np.asarray(x, dtype=np.int64) for x in (r.sums, r.used, r.parts))
+
+
+def _folded(blocks: pd.DataFrame, budget: int) -> pd.DataFrame:
+    """The summaries of a run of blocks as one."""
+    out = None
     for r in blocks.sort_values("block").itertuples():
-        out.append((r.block, used if used is not None else budget + 1, part))
-        i = 0 if used is None else int(np.searchsorted(np.asarray(r.sums), budget - used, side="right"))
-        if i < len(r.sums):
-            used, part = int(r.used[i]), part + int(r.parts[i])
+        out = _arrays(r) if out is None else _composed(out, _arrays(r), budget)
+    return pd.DataFrame({"total": [out[0]], "sums": [out[1].tolist()], "used": [out[2].tolist()], "parts": [out[3].tolist()]})
+
+
+def _chained(blocks: pd.DataFrame, budget: int) -> pd.DataFrame:
+    """The size and number of the running part in front of each block of a run, from those in front of the run (``before``, ``first_part``; a size below 0: nothing is there yet)."""
+    blocks = blocks.sort_values("block")
+    out, used, part = [], int(blocks["before"].iloc[0]), int(blocks["first_part"].iloc[0])
+    for r in blocks.itertuples():
+        out.append((r.block, used if used >= 0 else budget + 1, part))
+        total, sums, last, parts = _arrays(r)
+        i = 0 if used < 0 else int(np.searchsorted(sums, budget - used, side="right"))
+        if i < len(sums):
+            used, part = int(last[i]), part + int(parts[i])
         else:
-            used += int(r.total)
+            used += total
     return pd.DataFrame(out, columns=["block", "before", "part"])
 
 
@@ -65,27 +95,55 @@ def _numbered(block: pd.DataFrame, budget: int) -> np.ndarray:
     return int(block["first_part"].iloc[0]) + np.cumsum(starts)
 
 
-def shards(documents: DataFrame, budget: int, group: str = "module", order: str = "file", size: str = "token_count") -> DataFrame:
+#: Summaries of blocks that one task puts together.
+FAN = 64
+
+
+def shards(documents: DataFrame, budget: int, group: str = "module", order: str = "file", size: str = "token_count", fan: int = FAN) -> DataFrame:
     """(group, order, size, part): greedy parts in order; a document starts a new part if it would take the running one over the budget.
 
     A part's sum restarts where the last one ended, so this is no window sum.  The
     pairs (order, size) are sorted by range into blocks, so a group may span many.
     Each block tells what it does to a part that runs into it (a few numbers for
-    each document that such a part can reach), the blocks of a group are chained
-    over those, and then every block numbers its documents by itself.  The time is
-    linear in the documents, and no task holds more than a block.
+    each document that such a part can reach).  These summaries are put together in
+    runs of ``FAN`` blocks, the runs in runs of their own, until one is left, and
+    the running parts in front of each are handed down again; then every block
+    numbers its documents by itself.  The time is linear in the documents, and no
+    task holds more than a block, or ``FAN`` summaries of what one part can reach.
     """
     key = documents.schema[group].dataType.simpleString()
     place = documents.schema[order].dataType.simpleString()
     pairs = documents.select(F.col(group).alias("g"), F.col(order).alias("o"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("n"))
     sorted_pairs = pairs.repartitionByRange("g", "o").sortWithinPartitions("g", "o", "n")
     blocks = cut(sorted_pairs.select(F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("at"), "g", "o", "n"), "shard-blocks")
-    summary = blocks.groupBy("g", "block").applyInPandas(lambda k, d: _summary(d.sort_values("at"), budget).assign(g=[k[0]]), f"block int, total long, sums array<long>, used array<long>, parts array<long>, g {key}")
-    running = cut(summary.groupBy("g").applyInPandas(lambda k, d: _chained(d, budget).assign(g=k[0]), f"block int, before long, part long, g {key}"), "shard-running")
+    kinds = "total long, sums array<long>, used array<long>, parts array<long>"
+    own = lambda d: None if pd.isna(d["g"].iloc[0]) else d["g"].iloc[0]
+
+    def summed(d: pd.DataFrame) -> pd.DataFrame:
+        return _summary(d.sort_values("at"), budget).assign(g=[own(d)])
+
+    def folded(d: pd.DataFrame) -> pd.DataFrame:
+        return _folded(d, budget).assign(block=[int(d["block"].iloc[0]) // fan], g=[own(d)])
+
+    def chained(d: pd.DataFrame) -> pd.DataFrame:
+        return _chained(d, budget).assign(g=own(d))
+
+    levels = [cut(blocks.groupBy("g", "block").applyInPandas(summed, f"block int, {kinds}, g {key}"), "shard-summary")]
+    last = blocks.agg(F.max("block")).first()[0] or 0
+    while last:  # a level for each power of fan
+        last //= fan
+        levels.append(cut(levels[-1].groupBy("g", F.floor(F.col("block") / fan)).applyInPandas(folded, f"block int, {kinds}, g {key}"), "shard-level"))
+    running = levels[-1].select("g", "block", F.lit(-1).cast("long").alias("before"), F.lit(0).cast("long").alias("part"))
+    for level in reversed(levels[:-1]):
+        above = running.select(F.col("g").alias("ag"), F.col("block").alias("ab"), "before", F.col("part").alias("first_part"))
+        entered = level.join(above, F.col("g").eqNullSafe(F.col("ag")) & (F.floor(F.col("block") / fan) == F.col("ab")))
+        running = cut(entered.groupBy("g", "ab").applyInPandas(chained, f"block int, before long, part long, g {key}"), "shard-running")
+    if len(levels) == 1:  # a single block
+        running = running.withColumn("before", F.lit(budget + 1).cast("long"))
     running = running.select(F.col("g").alias("rg"), F.col("block").alias("rb"), "before", F.col("part").alias("first_part"))
     joined = blocks.join(running, F.col("g").eqNullSafe(F.col("rg")) & (F.col("block") == F.col("rb")))
 
-    def number(_, d: pd.DataFrame) -> pd.DataFrame:
+    def number(d: pd.DataFrame) -> pd.DataFrame:
         d = d.sort_values("at")
         return pd.DataFrame({"g": d["g"], "o": d["o"], "n": d["n"], "part": _numbered(d, budget).astype(np.int32)})
 

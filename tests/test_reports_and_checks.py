@@ -38,6 +38,39 @@ def test_shards_equal_a_plain_fold(spark, budget, parts):
     assert layout.shards(df.limit(0), budget).count() == 0
 
 
+@pytest.mark.parametrize("budget", [0, 7, 40, 400])
+def test_runs_of_runs_of_blocks(spark, budget):
+    """Many blocks of one module, two summaries a task."""
+    r = random.Random(budget)
+    rows = [("a" if i < 900 else "b", i, r.choice([0, 1, 3, 8, 45])) for i in range(1000)]
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        got = {x["file"]: x["part"] for x in layout.shards(spark.createDataFrame(rows, "module string, file int, token_count int").repartition(9), budget, fan=2).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for m in "ab":
+        assert [got[i] for g, i, _ in rows if g == m] == greedy([n for g, _, n in rows if g == m], budget)
+
+
+def test_composed_summaries_do_what_the_blocks_do():
+    import numpy as np
+    import pandas as pd
+
+    r = random.Random(2)
+    for _ in range(300):
+        budget = r.choice([0, 5, 20])
+        blocks = [[r.choice([0, 1, 4, 9]) for _ in range(r.randint(1, 6))] for _ in range(r.randint(1, 5))]
+        rows = pd.concat([layout._summary(pd.DataFrame({"block": b, "n": n}), budget) for b, n in enumerate(blocks)])
+        total, sums, used, parts = layout._arrays(next(layout._folded(rows, budget).itertuples()))
+        sizes = [x for b in blocks for x in b]
+        for u in range(budget + 2):
+            held, started = u, 0
+            for n in sizes:
+                held, started = (n, started + 1) if held + n > budget else (held + n, started)
+            i = int(np.searchsorted(sums, budget - u, side="right"))
+            assert ((int(used[i]), int(parts[i])) if i < len(sums) else (u + total, 0)) == (held, started)
+
+
 def test_shards_of_one_module_take_linear_time(spark):
     took = []
     for n in (20_000, 80_000):
