@@ -43,6 +43,8 @@ UNIT = 192
 LEAST, AVERAGE_LOG2, MOST = 2048, 13, 32768
 LEVEL = 6
 HOT, SALTS = 2000, 64
+#: Bytes of payloads for each bucket of the chunk store, if that gives more buckets than there are shuffle partitions.
+BUCKET_BYTES = 64 << 20
 #: The gear hash of a place depends on its last 32 bytes.
 GEAR = np.random.default_rng(11).integers(0, 1 << 32, 256, dtype=np.uint64).astype(np.uint32)
 
@@ -175,23 +177,24 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _table([read_back(key, parts)])
 
 
-def store(docs: DataFrame) -> tuple[DataFrame, DataFrame, tuple[str, str]]:
-    """Chunk the payloads. Returns the lists (doc_id, n_bytes, payload, digests) and the chunk store (digest, frame), both written to the shared folder, and the name and folder of the store's table."""
+def store(docs: DataFrame) -> tuple[DataFrame, DataFrame, tuple[str, str], int]:
+    """Chunk the payloads. Returns the lists (doc_id, n_bytes, payload, digests) and the chunk store (digest, frame), both written to the shared folder, the name and folder of the store's table, and its buckets."""
     spark = docs.sparkSession
     common.prepare(spark)
-    parts = common.shuffle_partitions(spark)
     texts = common.pick(docs, "doc_id", "text")
     lists = common.stash(texts.mapInArrow(_lists, LIST_SCHEMA), "media-lists")
+    total = lists.agg(F.sum("n_bytes")).first()[0] or 0
+    parts = max(common.shuffle_partitions(spark), -(-total // BUCKET_BYTES))  # a bucket of the store does not grow with the input
     bodies = texts.select("text").mapInArrow(_bodies, "digest binary, frame binary").repartition(parts, "digest").groupBy("digest").agg(F.first("frame").alias("frame"))
     name = f"media_chunks_{uuid.uuid4().hex}"
     path = f"{common.shared_dir(spark)}/{name}"
     bodies.write.option("compression", "uncompressed").option("path", path).bucketBy(parts, "digest").saveAsTable(name)
     common.release(spark)
-    return lists, spark.table(name), (name, path)
+    return lists, spark.table(name), (name, path), parts
 
 
-def reconstruct(lists: DataFrame, chunks_at: DataFrame, hot: int = HOT) -> DataFrame:
-    """One row a payload, from the stored chunks."""
+def reconstruct(lists: DataFrame, chunks_at: DataFrame, hot: int = HOT, parts: int | None = None) -> DataFrame:
+    """One row a payload, from the stored chunks; payloads of several are dealt to so many partitions."""
     wanted = lists.select("payload", "digests").dropDuplicates(["payload"])
     single = wanted.where(F.size("digests") == 1).select("payload", F.col("digests")[0].alias("digest"))
     single = single.join(chunks_at, "digest").select("payload", "digest", "frame").mapInArrow(_single, RESULT_SCHEMA)
@@ -201,15 +204,15 @@ def reconstruct(lists: DataFrame, chunks_at: DataFrame, hot: int = HOT) -> DataF
     salt = F.pmod(F.hash("payload", "place"), F.lit(SALTS)).alias("salt")
     dealt = chunks_at.join(often, "digest", "left_semi").select("digest", "frame", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     warm = refs.join(often, "digest", "left_semi").select("payload", "place", "digest", salt).join(dealt, ["digest", "salt"]).select("payload", "place", "digest", "frame")
-    several = cold.unionByName(warm).repartition(common.shuffle_partitions(lists.sparkSession), "payload").sortWithinPartitions("payload", "place").mapInArrow(_several, RESULT_SCHEMA)
+    several = cold.unionByName(warm).repartition(parts or common.shuffle_partitions(lists.sparkSession), "payload").sortWithinPartitions("payload", "place").mapInArrow(_several, RESULT_SCHEMA)
     return single.unionByName(several)
 
 
 def round_trip(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """One row a document: doc_id, n_bytes and what was read back from the store. The store itself is deleted when it has been read."""
     spark = docs.sparkSession
-    lists, chunks_at, (name, path) = store(docs)
-    found = common.stash(reconstruct(lists, chunks_at, hot), "media-read")
+    lists, chunks_at, (name, path), parts = store(docs)
+    found = common.stash(reconstruct(lists, chunks_at, hot, parts), "media-read")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     common.forget(spark, path)
     # lists name every payload, and many rows can share one: the join's hot keys are split by adaptive execution
