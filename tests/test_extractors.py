@@ -11,9 +11,9 @@ from siltstone.sources import extractors
     ("documented", "want"),
     [
         ("string", "string"), ("*", "any"), ("?", "any"), (None, "any"), ("?string", "string | null"), ("!Node", "Node"), ("string|number", "string | number"), ("(string|null)[]", "(string | null)[]"),
-        ("Array<string>", "string[]"), ("Array.<string|number>", "(string | number)[]"), ("Array", "any[]"), ("Object<string, number>", "Record<string, number>"), ("Object<string, Array<LuCI.form.Value>>", "Record<string, LuCI.form.Value[]>"),
+        ("Array<string>", "string[]"), ("Array.<string|number>", "(string | number)[]"), ("Array", "any[]"), ("Object<string, number>", "Record<string, number>"), ("Object<string, Array<Lib.form.Value>>", "Record<string, Lib.form.Value[]>"),
         ("Promise<Array<string>>", "Promise<string[]>"), ("function(string, number=): boolean", "(a0: string, a1: number | undefined) => boolean"), ("function", "(...args: any[]) => any"), ("function|null", "((...args: any[]) => any) | null"),
-        ("{a: number, b?: Array<string>, c}", "{ a: number; b?: string[]; c: any }"), ("{}", "{}"), ("...string", "string[]"), ("number=", "number | undefined"), ("'on'|'off'", "'on' | 'off'"), ("LuCI.dom", "LuCI.dom"),
+        ("{a: number, b?: Array<string>, c}", "{ a: number; b?: string[]; c: any }"), ("{}", "{}"), ("...string", "string[]"), ("number=", "number | undefined"), ("'on'|'off'", "'on' | 'off'"), ("Lib.dom", "Lib.dom"),
         ("module:x~y", "any"), ("Array<", "any"), ("string string", "any"), ("*|string", "any"), ("string[][]", "string[][]"), ("{a: {b: number}}", "{ a: { b: number } }"), ("(" * 3000, "any"),
     ],
 )
@@ -24,20 +24,20 @@ def test_types(documented, want):
 SOURCE = """
 /**
  * The form.
- * @namespace LuCI.form
+ * @namespace Lib.form
  */
 var form = {};
 /**
  * A value.
  * @class Value
- * @memberof LuCI.form
+ * @memberof Lib.form
  * @param {Map} map - The map
  * @param {string} [title='a [b]'] Its title
  */
 var Value = Class.extend({
     /**
      * Loads it.
-     * @memberof LuCI.form.Value
+     * @memberof Lib.form.Value
      * @param {{id: string, on?: boolean}} opts
      * @param {string} opts.id inner
      * @param {...number} more
@@ -47,30 +47,30 @@ var Value = Class.extend({
     load: function(opts, more) {},
 });
 /**
- * @memberof LuCI
+ * @memberof Lib
  * @param {string} a
  */
 function ping(a) {}
 /**
  * @typedef {Object<string, number>} Sizes
- * @memberof LuCI
+ * @memberof Lib
  */
-/** @memberof LuCI */
+/** @memberof Lib */
 const version = 1;
 """
 
 
 def test_javascript(spark):
     found = {r["name"]: r for r in extractors.javascript(spark.createDataFrame([("f.js", SOURCE), ("g.js", None)], "path string, content string")).collect()}
-    assert {n: (r["kind"], r["memberof"], r["returns"]) for n, r in found.items()} == {"form": ("namespace", "LuCI", None), "Value": ("class", "LuCI.form", None), "load": ("function", "LuCI.form.Value", "Promise<string[]>"), "ping": ("function", "LuCI", None), "Sizes": ("typedef", "LuCI", "Record<string, number>"), "version": ("member", "LuCI", None)}
+    assert {n: (r["kind"], r["memberof"], r["returns"]) for n, r in found.items()} == {"form": ("namespace", "Lib", None), "Value": ("class", "Lib.form", None), "load": ("function", "Lib.form.Value", "Promise<string[]>"), "ping": ("function", "Lib", None), "Sizes": ("typedef", "Lib", "Record<string, number>"), "version": ("member", "Lib", None)}
     assert found["load"]["deprecated"] and [(p["name"], p["type"], p["rest"]) for p in found["load"]["params"]] == [("opts", "{ id: string; on?: boolean }", False), ("more", "number[]", True)]
     assert [(p["name"], p["optional"], p["default"], p["description"]) for p in found["Value"]["params"]] == [("map", False, None, "The map"), ("title", True, "'a [b]'", "Its title")]
 
 
 def test_declarations_with_types(spark):
     symbols = extractors.javascript(spark.createDataFrame([("f.js", SOURCE)], "path string, content string"))
-    assert release.typed_declarations(symbols, "LuCI").first()["source"] == (
-        "declare namespace LuCI {\n"
+    assert release.typed_declarations(symbols, "Lib").first()["source"] == (
+        "declare namespace Lib {\n"
         "    type Sizes = Record<string, number>;\n"
         "    function ping(a: string): any;\n"
         "    const version: any;\n"
@@ -91,9 +91,9 @@ def test_uci(spark):
 
 
 def test_shell_functions(spark):
-    content = "#!/bin/sh\n\n# procd_open_instance([name])\n#   opens an instance\nprocd_open_instance() {\n  :\n}\n\nplain() {\n}\n# says nothing of arguments\nother() {\n}\n"
-    rows = extractors.shell_functions(spark.createDataFrame([("procd.sh", content)], "path string, content string")).orderBy("ordinal").collect()
-    assert [(r["name"], r["arguments"], r["description"]) for r in rows] == [("procd_open_instance", "[name]", "opens an instance"), ("other", "", "says nothing of arguments")]
+    content = "#!/bin/sh\n\n# open_instance([name])\n#   opens an instance\nopen_instance() {\n  :\n}\n\nplain() {\n}\n# says nothing of arguments\nother() {\n}\n"
+    rows = extractors.shell_functions(spark.createDataFrame([("helpers.sh", content)], "path string, content string")).orderBy("ordinal").collect()
+    assert [(r["name"], r["arguments"], r["description"]) for r in rows] == [("open_instance", "[name]", "opens an instance"), ("other", "", "says nothing of arguments")]
 
 
 def test_hotplug(spark):
