@@ -65,14 +65,22 @@ class TreeWriter(DataSourceArrowWriter):
         where, root = places.reach(self.staging)
         name = f"attempt-{uuid.uuid4().hex}"
         folder, n = f"{root}/{name}", 0
-        where.create_dir(folder, recursive=True)
+        where.create_dir(folder, recursive=False)  # an attempt that outlives its job can't bring the staging folder back
+        made: set[str] = set()
         try:
             for batch in iterator:
                 for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                    places.put(where, f"{folder}/{safe(path)}", content or b"")
+                    clean = safe(path)
+                    for i, c in enumerate(clean):
+                        if c == "/" and (above := clean[:i]) not in made:
+                            where.create_dir(f"{folder}/{above}", recursive=False)
+                            made.add(above)
+                    with where.open_output_stream(f"{folder}/{clean}") as out:
+                        out.write(content or b"")
                     n += 1
         except BaseException:
-            where.delete_dir(folder)
+            if where.get_file_info(folder).type != pafs.FileType.NotFound:
+                where.delete_dir(folder)
             raise
         return Attempt(name, n)
 
@@ -122,7 +130,13 @@ def write(files: DataFrame, root: str) -> int:
     staging = f"{target}.staging-{uuid.uuid4().hex}"
     where, stage = places.reach(staging)
     there = places.reach(target)[1]
-    files.select("path", F.col("content").cast("binary").alias("content")).write.format("tree").mode("append").save(staging)
+    where.create_dir(stage, recursive=True)
+    try:
+        files.select("path", F.col("content").cast("binary").alias("content")).write.format("tree").mode("append").save(staging)
+    except Exception:
+        if where.get_file_info(stage).type != pafs.FileType.NotFound:
+            where.delete_dir(stage)
+        raise
     with where.open_input_stream(f"{stage}/{COMMITTED}") as f:
         attempts = json.loads(f.read())
     fresh = where.get_file_info(there).type == pafs.FileType.NotFound

@@ -72,6 +72,9 @@ def test_attempts_that_do_not_count_are_not_published(spark, tmp_path):
 
     batch = pa.RecordBatch.from_pydict({"path": ["a", "b/c"], "content": [b"1", None]})
     w = trees.TreeWriter(options)
+    with pytest.raises(OSError):
+        w.write(iter([batch]))  # the job is over, or has not begun
+    (tmp_path / "s").mkdir()
     lost, kept = w.write(iter([batch])), w.write(iter([batch]))
     w.commit([kept, None])
     assert lost.folder != kept.folder and kept.files == 2
