@@ -204,8 +204,7 @@ def _second_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(nodes: DataFrame, group: int = GROUP) -> DataFrame:
     """(fp, node) with distinct fp to links (a, b) between nodes, enough to connect whatever is connected."""
     keyed = nodes.mapInArrow(_variants, "key long, fp long, node long")
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    met = common.stash(keyed.join(shared, "key"), "simhash-met")
+    met = common.stash(common.shared_keys(keyed, F.count("*").alias("n")), "simhash-met")
     tag = (F.shiftrightunsigned("key", 32)).cast("int")
     bit = tag % 64
     must = F.when(bit == 32, F.lit(0).cast("long")).otherwise(F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 32) % 64 + 32 * floor(shiftrightunsigned(key, 32) / 64) as int))"))

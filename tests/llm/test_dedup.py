@@ -237,3 +237,23 @@ def test_components_of_chains_and_stars(spark, kind):
     got = {x["node"]: x["component"] for x in connected_components(df).collect()}
     assert got == {ident(i): ident(0) for i in range(401)} | {ident(1000 + i): ident(1000) for i in range(200)} | {ident(i): ident(2000) for i in (2000, 2001)}
     assert connected_components(df.limit(0)).count() == 0
+
+
+def test_keys_are_never_broadcast(spark):
+    """A node has 66 keys, of which Spark's estimates know nothing: keys of a small table would go through the driver."""
+    from siltstone.llm import common, simhash
+
+    nodes = spark.range(2000).selectExpr("xxhash64(id div 2) ^ (id % 2) as fp", "id as node")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold") if spark.conf.get(k, None) is not None}
+    try:
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.set(k, "1g")
+        plans, write = [], common.stash
+        common.stash = lambda df, *a: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df, *a))[1]
+        found = simhash.links(nodes).collect()
+    finally:
+        common.stash = write
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.set(k, kept[k]) if k in kept else spark.conf.unset(k)
+    assert {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in found} >= {(2 * i, 2 * i + 1) for i in range(1000)}
+    assert plans and not any("Broadcast" in p for p in plans)
