@@ -73,3 +73,26 @@ def test_far_offsets_and_many_members():
 
     z = zipfile.ZipFile(Sparse())
     assert z.namelist() == ["x"] and z.getinfo("x").header_offset == far and z.read("x") == b"hello"
+
+
+def test_members_are_read_by_ranges(spark, tmp_path, monkeypatch):
+    """Of every kind of packing, with bytes in front and a comment behind, names that look like records, and ranges of few records."""
+    from siltstone.sources import packages
+
+    monkeypatch.setattr(packages, "DIRECTORY_RANGE", 100)
+    fake = packages.record(b"no", 1, 2, 3, 4).decode("latin-1").replace("\x00", "\x01")
+    want = {f"d/{i}{fake if i % 3 == 0 else ''}": (f"text {i} " * (i % 50)).encode() for i in range(400)} | {"d/": b"", "dé": b"x"}
+    path = str(tmp_path / "p.zip")
+    with open(path, "wb") as f:
+        f.write(b"in front of it")
+        with zipfile.ZipFile(f, "a") as z:
+            for i, (name, content) in enumerate(want.items()):
+                z.writestr(name, content, compress_type=(zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA)[i % 4])
+            z.comment = b"a comment"
+    with zipfile.ZipFile(path) as z:
+        theirs = {n: z.read(n) for n in z.namelist()}
+    rows = packages.unpacked(spark, path).select("name", "content", F.spark_partition_id().alias("task")).collect()
+    assert {r["name"]: bytes(r["content"]) for r in rows} == theirs and len(rows) == len(want)
+    monkeypatch.setattr(packages, "MEMBERS_RANGE", 4000)
+    rows = packages.unpacked(spark, path).select("name", "content", F.spark_partition_id().alias("task")).collect()
+    assert {r["name"]: bytes(r["content"]) for r in rows} == theirs and len({r["task"] for r in rows}) > 3
