@@ -98,3 +98,23 @@ def test_trees_apart(spark):
     cases = [("/a/b", "/a/b", False), ("/a/b", "/a/b/c", False), ("/a/b/c", "/a/b", False), ("/a/b", "/a/bc", True), ("", "/a", False), ("/a", "  ", False), ("/a//b/./c", "/a/b/c", False), ("/a/b/", "/a/b", False), ("hdfs://h/a", "/a/x", False)]
     df = spark.createDataFrame(cases, "a string, b string, w boolean")
     assert [r["g"] for r in df.select(runs.trees_apart(F.col("a"), F.col("b")).alias("g")).collect()] == [c[2] for c in cases]
+
+
+def test_small_ranges_share_tasks():
+    """Ranges of 32 KB are no task each, and ranges that follow one another are read as one; all bytes are read once."""
+    files = [("a", 40 << 20), ("b", 10), ("c", 3 << 20)]
+    parts = mbox.planned(files, 1 << 15)
+    got = mbox.dealt(parts, mbox.TASK)
+    assert len(parts) > 1000 and 6 <= len(got) <= 8
+    assert all(sum(hi - lo for _, lo, hi in p.ranges) <= mbox.TASK for p in got)
+    flat = [r for p in got for r in p.ranges]
+    assert len(flat) < 12 and all(sum(hi - lo for n, lo, hi in flat if n == name) == size for name, size in files)
+
+
+def test_batches_of_messages_are_bounded(spark):
+    from siltstone.functions import mail
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    raw = spark.createDataFrame([("f", 0, "From x", b"Subject: a\n\nb")], "source_file string, byte_offset long, from_line string, message binary")
+    assert mail.records(raw).count() == 1
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000 and int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
