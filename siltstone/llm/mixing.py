@@ -10,9 +10,10 @@ and each document is sampled by its cell's probability and a hash of its id.
 Topics are a parameter: any column may be given.  By default they are clusters of
 the texts: spherical k-means in numpy over hashed words of four or more bytes,
 weighted by their rarity and centred by language, so that a topic is no language
-in disguise.  It is fitted on a bounded sample (about ``TOPIC_ROWS`` rows and
-``TOPIC_BYTES`` bytes, whole texts, by a hash of the text), and every document
-gets the nearest cluster.
+in disguise.  They are fitted on all distinct texts with such words: each becomes a row of counted
+buckets, and a round of k-means is a pass of tasks whose sums Spark adds up, so
+the driver has buckets times topics and buckets times languages, however many
+texts there are.  Every document gets the nearest cluster.
 
 By default a marginal's target is its share of the words to the power
 ``TEMPER``, made to sum to one: large sources and languages give way to small ones.
@@ -39,6 +40,7 @@ besides doc_id, text, source and lang are not read, whatever their names.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import warnings
 from collections.abc import Iterator
@@ -54,8 +56,8 @@ from siltstone.llm import common, kernels
 
 TOPICS, TEMPER, KEEP_SHARE, SEED = 8, 0.5, 0.5, "mix"
 DRIVER_CELLS, ROUNDS, CLOSE = 2_000_000, 2000, 1e-9
-#: Rows and bytes of the sample on which topics are fitted, both about; buckets of words; rounds of k-means.
-TOPIC_ROWS, TOPIC_BYTES, BUCKETS_LOG2, MEANS_ROUNDS = 2000, 16 << 20, 12, 12
+#: Buckets of words; rounds of k-means.
+BUCKETS_LOG2, MEANS_ROUNDS = 12, 12
 DIMS = ("source", "lang", "topic")
 
 
@@ -76,45 +78,159 @@ def word_buckets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (h >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64), text[long], np.diff(words)
 
 
-def fit_topics(texts: list[str], langs: list[str | None], topics: int = TOPICS) -> Topics:
-    n, size = len(texts), 1 << BUCKETS_LOG2
-    x = np.zeros((n, size), dtype=np.float32)
-    for i in range(0, n, 64):  # bounded memory for long texts
-        bucket, owner, _ = word_buckets(pa.array(texts[i : i + 64], type=pa.large_string()))
-        k = min(64, n - i)
-        x[i : i + k] = np.bincount(owner * size + bucket, minlength=k * size).reshape(k, size)
-    rarity = np.log((1 + n) / (1 + (x > 0).sum(axis=0))).astype(np.float32)
-    x *= rarity / np.maximum(x.sum(axis=1, keepdims=True), 1)
-    means = {}
-    for lang in sorted(set(langs), key=lambda v: (v is not None, v or "")):
-        mine = np.array([v == lang for v in langs])
-        means[lang] = x[mine].mean(axis=0)
-        x[mine] -= means[lang]
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    rng = np.random.default_rng(7)
-    centres = x[rng.integers(0, n, 1)]
-    while len(centres) < topics:  # far from the ones taken so far, with odds by the square of the distance
-        gap = np.maximum(1 - (x @ centres.T).max(axis=1), 0) ** 2
-        centres = np.vstack((centres, x[rng.choice(n, p=gap / gap.sum())] if gap.sum() > 0 else x[0]))
+VECTOR = "digest string, lang string, bucket array<int>, n array<int>"
+
+
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets and their counts of the texts that have any."""
+    for part in common.slices(batches, "text"):
+        bucket, owner, _ = word_buckets(part.column("text"))
+        cell, n = np.unique((owner << BUCKETS_LOG2) + bucket, return_counts=True)
+        ends = np.searchsorted(cell >> BUCKETS_LOG2, np.arange(part.num_rows + 1))
+        lists = [pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(x, type=pa.int32())) for x in (cell & ((1 << BUCKETS_LOG2) - 1), n)]
+        yield pa.RecordBatch.from_arrays([part.column("digest"), part.column("lang"), *lists], names=["digest", "lang", "bucket", "n"]).filter(pa.array(np.diff(ends) > 0))
+
+
+def _sparse(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, bucket and share of the words of every entry of the batch's vectors."""
+    sizes = np.diff(batch.column("bucket").offsets.to_numpy())
+    owner = np.repeat(np.arange(batch.num_rows), sizes)
+    n = batch.column("n").flatten().to_numpy().astype(np.float64)
+    return owner, batch.column("bucket").flatten().to_numpy(), n / np.bincount(owner, weights=n, minlength=batch.num_rows)[owner]
+
+
+#: Sums are of whole numbers, this many a unit, so they are the same however the rows lie.
+UNIT = float(1 << 30)
+
+
+def _summed(vectors: DataFrame, part_of) -> dict[int, np.ndarray]:
+    """The sums by key of what part_of(batch) gives (key, array of a value a bucket): tasks add their own up, Spark those of the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for key, values in part_of(batch):
+                total[key] = total[key] + values if key in total else values
+        for key, values in total.items():
+            at = np.flatnonzero(values)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), key), type=pa.int32()), pa.array(at, type=pa.int32()), pa.array(values[at], type=pa.int64())], names=["key", "at", "v"])
+
+    out: dict[int, np.ndarray] = {}
+    for r in vectors.mapInArrow(run, "key int, at int, v long").groupBy("key", "at").agg(F.sum("v").alias("v")).toLocalIterator():
+        out.setdefault(r["key"], np.zeros((1 << BUCKETS_LOG2) + 1, dtype=np.int64))[r["at"]] = r["v"]
+    return out
+
+
+def _whole(owner: np.ndarray, bucket: np.ndarray, values: np.ndarray, keep: np.ndarray) -> np.ndarray:
+    """Sums by bucket, in units, of the entries whose owner is kept; the last place counts the owners."""
+    some = keep[owner]
+    out = np.zeros((1 << BUCKETS_LOG2) + 1, dtype=np.int64)
+    np.add.at(out, bucket[some], np.rint(values[some] * UNIT).astype(np.int64))
+    out[-1] = keep.sum()
+    return out
+
+
+def fit_topics(vectors: DataFrame, topics: int = TOPICS) -> Topics | None:
+    """Spherical k-means over all vectors; a round is a pass of the tasks, and the driver has buckets times topics and languages."""
+    size = 1 << BUCKETS_LOG2
+    named = sorted((r[0] for r in vectors.select("lang").distinct().collect()), key=lambda v: (v is not None, v or ""))
+    if not named:
+        return None
+    code = {v: i for i, v in enumerate(named)}
+
+    def counted(batch: pa.RecordBatch):
+        owner, bucket, share = _sparse(batch)
+        lang = np.array([code[v] for v in batch.column("lang").to_pylist()])
+        for i in np.unique(lang):
+            yield int(i), _whole(owner, bucket, share, lang == i)
+        yield -1, _whole(owner, bucket, np.full(len(bucket), 1 / UNIT), np.ones(batch.num_rows, dtype=bool))
+
+    sums = _summed(vectors, counted)
+    seen = sums.pop(-1)
+    rarity = np.log((1 + seen[-1]) / (1 + seen[:size]))
+    means = np.stack([rarity * (sums[i][:size] / UNIT) / sums[i][size] for i in range(len(named))])
+    square = (means**2).sum(axis=1)
+
+    def unit(batch: pa.RecordBatch):
+        """Entries scaled so that the vectors, less their language's mean, have length one; language and scale of each."""
+        owner, bucket, share = _sparse(batch)
+        lang = np.array([code[v] for v in batch.column("lang").to_pylist()], dtype=np.int64)
+        x = share * rarity[bucket]
+        n = batch.num_rows
+        length = np.bincount(owner, weights=x * x - 2 * x * means[lang[owner], bucket], minlength=n) + square[lang]
+        scale = 1 / np.sqrt(np.maximum(length, 1e-24))
+        return owner, bucket, x * scale[owner], lang, scale
+
+    def near(batch: pa.RecordBatch, centres: np.ndarray):
+        owner, bucket, x, lang, scale = unit(batch)
+        mean = means @ centres.T
+        return owner, bucket, x, lang, scale, np.stack([np.bincount(owner, weights=x * c[bucket], minlength=batch.num_rows) for c in centres], axis=1) - mean[lang] * scale[:, None]
+
+    def drawn(centres: np.ndarray | None) -> np.ndarray | None:
+        """A vector far from the centres, with odds by the square of the distance: the least of exponential times, which follow from the digests."""
+        turn = 0 if centres is None else len(centres)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                gap = np.ones(batch.num_rows) if centres is None else np.maximum(1 - near(batch, centres)[5].max(axis=1), 0).round(9) ** 2
+                u = np.array([(int(hashlib.md5(f"{turn}:{d}".encode()).hexdigest()[:13], 16) + 1) / float((1 << 52) + 1) for d in batch.column("digest").to_pylist()])
+                time = np.divide(-np.log(u), gap, out=np.full(len(gap), np.inf), where=gap > 0)
+                i = int(time.argmin())
+                if np.isfinite(time[i]):
+                    yield pa.RecordBatch.from_arrays([pa.array([time[i]]), *(batch.column(c).slice(i, 1) for c in ("digest", "lang", "bucket", "n"))], names=["time", "digest", "lang", "bucket", "n"])
+
+        r = vectors.mapInArrow(run, f"time double, {VECTOR}").agg(F.min(F.struct("time", "digest", F.coalesce("lang", F.lit("")).alias("l"), "lang", "bucket", "n")).alias("r")).first()["r"]
+        if r is None:
+            return None
+        one = pa.RecordBatch.from_arrays([pa.array([r["lang"]], type=pa.string()), pa.array([r["bucket"]], type=pa.list_(pa.int32())), pa.array([r["n"]], type=pa.list_(pa.int32()))], names=["lang", "bucket", "n"])
+        _, bucket, x, lang, scale = unit(one)
+        v = -means[lang[0]] * scale[0]
+        v[bucket] += x
+        return v
+
+    centres = drawn(None)[None]
+    while len(centres) < topics:
+        more = drawn(centres)
+        centres = np.vstack((centres, centres[0] if more is None else more))
+
     for _ in range(MEANS_ROUNDS):
-        of = (x @ centres.T).argmax(axis=1)
+
+        def added(batch: pa.RecordBatch, centres=centres):
+            if not batch.num_rows:
+                return
+            owner, bucket, x, lang, scale, by = near(batch, centres)
+            of = by.round(9).argmax(axis=1)
+            for k in np.unique(of):
+                yield int(k), _whole(owner, bucket, x, of == k)
+                own = np.zeros(size + 1, dtype=np.int64)  # of each language the sum of the scales, at its place
+                for i in np.unique(lang[of == k]):
+                    yield topics + int(k) * len(named) + int(i), np.concatenate(([np.rint(scale[(of == k) & (lang == i)] * UNIT / 1024).astype(np.int64).sum()], own[1:]))
+
+        sums, last = _summed(vectors, added), centres.copy()
+        centres = centres.copy()
         for k in range(topics):
-            total = x[of == k].sum(axis=0)
-            if np.linalg.norm(total) > 0:
-                centres[k] = total / np.linalg.norm(total)
-    offsets = {lang: centres @ m for lang, m in means.items()}
-    return Topics((centres * rarity).T.astype(np.float64), offsets, np.zeros(topics))
-
-
-def topic_model(docs: DataFrame, rows: int = TOPIC_ROWS, size: int = TOPIC_BYTES) -> Topics | None:
-    """Clusters of a sample of the distinct texts, by a hash of the text; a single text over the bytes is not learned from."""
-    named = common.pick(docs, "text", "lang").select("text", F.col("lang").cast("string").alias("lang"), F.octet_length("text").alias("size")).where(F.col("text").isNotNull() & (F.col("size") <= size))
-    n, total = named.agg(F.count("*"), F.sum("size")).first()
-    rate = min(1.0, rows / n, size / max(1, total)) if n else 0.0
-    place = F.pmod(F.xxhash64(F.col("text"), F.lit("topics")), F.lit(1 << 30)) / float(1 << 30)
-    found = named.where(place < rate).select("text", "lang").distinct().collect()
-    found.sort(key=lambda r: (r["text"], r["lang"] is not None, r["lang"] or ""))
-    return fit_topics([r["text"] for r in found], [r["lang"] for r in found]) if found else None
+            if k in sums:
+                total = sums[k][:size] / UNIT
+                for i in range(len(named)):
+                    if (at := topics + k * len(named) + i) in sums:
+                        total = total - means[i] * (sums[at][0] / UNIT * 1024)
+                if np.linalg.norm(total) > 0:
+                    centres[k] = total / np.linalg.norm(total)
+        if np.array_equal(last, centres):
+            break
+    return Topics((centres * rarity).T, {lang: centres @ means[i] for i, lang in enumerate(named)}, np.zeros(topics))
+
+
+def topic_model(docs: DataFrame) -> Topics | None:
+    """Clusters of all distinct texts with words."""
+    common.prepare(docs.sparkSession)
+    named = common.pick(docs, "text", "lang").where(F.col("text").isNotNull()).select(F.md5("text").alias("digest"), "text", F.col("lang").cast("string").alias("lang"))
+    vectors = common.stash(named.mapInArrow(_vectors, VECTOR).dropDuplicates(["digest", "lang"]), "mix-vectors")
+    model = fit_topics(vectors)
+    common.drop_stash(vectors)
+    return model
 
 
 def _weigh(batches: Iterator[pa.RecordBatch], model: Topics | None, text: str, lang: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, list[str]]]:

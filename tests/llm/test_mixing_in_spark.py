@@ -32,3 +32,21 @@ def test_both_ways_agree(spark, share, targets):
 def test_no_words(spark):
     df = spark.createDataFrame([(i, f"s{i}", "en", "none", 0) for i in range(20)], "doc_id long, source string, lang string, topic string, n_tokens long")
     assert {v[1:] for v in cells(mixing.probabilities(df, 0.5, most=5)).values()} == {(0.0, 1.0, 0.0)}
+
+
+def test_topics_are_fitted_on_all_texts(spark):
+    """Words of one text in three thousand weigh by their rarity among all of them, and rows may lie in any partitions."""
+    import math
+
+    import pyarrow as pa
+
+    rows = [(i, f"common{i % 7} common{i % 5} ordinary{i % 11} w{i:05}", "en") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model, again = mixing.topic_model(docs.repartition(2)), mixing.topic_model(docs.repartition(9))
+    assert (model.table == again.table).all() and model.offsets.keys() == {"en"}
+    held = {}
+    for _, text, _ in rows:
+        for b in set(mixing.word_buckets(pa.array([text], type=pa.large_string()))[0].tolist()):
+            held[b] = held.get(b, 0) + 1
+    seen = {b for b in range(model.table.shape[0]) if (model.table[b] != 0).any()}
+    assert seen == {b for b, n in held.items() if math.log((1 + len(rows)) / (1 + n)) > 0}
