@@ -78,7 +78,22 @@ def word_buckets(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (h >> np.uint64(64 - BUCKETS_LOG2)).astype(np.int64), text[long], np.diff(words)
 
 
-VECTOR = "digest string, lang string, bucket array<int>, n array<int>"
+VECTOR = "digest string, lang string, bucket binary, n binary"
+#: Scaled: the entries of a text's vector before its language's mean is taken off, for length one after that.
+UNITS = "digest string, lang int, scale double, bucket binary, x binary"
+
+
+def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary cells of the values between ends: Spark moves a cell at once, and numpy reads it as it is."""
+    offsets = (np.asarray(ends) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _unpacked(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The values of binary cells, and where each cell's begin and the last's end."""
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]].view(kind), (offsets - offsets[0]) // np.dtype(kind).itemsize
 
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,16 +102,16 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, owner, _ = word_buckets(part.column("text"))
         cell, n = np.unique((owner << BUCKETS_LOG2) + bucket, return_counts=True)
         ends = np.searchsorted(cell >> BUCKETS_LOG2, np.arange(part.num_rows + 1))
-        lists = [pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(x, type=pa.int32())) for x in (cell & ((1 << BUCKETS_LOG2) - 1), n)]
-        yield pa.RecordBatch.from_arrays([part.column("digest"), part.column("lang"), *lists], names=["digest", "lang", "bucket", "n"]).filter(pa.array(np.diff(ends) > 0))
+        cells = [_packed((cell & ((1 << BUCKETS_LOG2) - 1)).astype(np.int16), ends), _packed(n.astype(np.int32), ends)]
+        yield pa.RecordBatch.from_arrays([part.column("digest"), part.column("lang"), *cells], names=["digest", "lang", "bucket", "n"]).filter(pa.array(np.diff(ends) > 0))
 
 
 def _sparse(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Owner, bucket and share of the words of every entry of the batch's vectors."""
-    sizes = np.diff(batch.column("bucket").offsets.to_numpy())
-    owner = np.repeat(np.arange(batch.num_rows), sizes)
-    n = batch.column("n").flatten().to_numpy().astype(np.float64)
-    return owner, batch.column("bucket").flatten().to_numpy(), n / np.bincount(owner, weights=n, minlength=batch.num_rows)[owner]
+    bucket, ends = _unpacked(batch.column("bucket"), np.int16)
+    owner = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+    n = _unpacked(batch.column("n"), np.int32)[0].astype(np.float64)
+    return owner, bucket.astype(np.int64), n / np.bincount(owner, weights=n, minlength=batch.num_rows)[owner]
 
 
 #: Sums are of whole numbers, this many a unit, so they are the same however the rows lie.
@@ -104,30 +119,33 @@ UNIT = float(1 << 30)
 
 
 def _summed(vectors: DataFrame, part_of) -> dict[int, np.ndarray]:
-    """The sums by key of what part_of(batch) gives (key, array of a value a bucket): tasks add their own up, Spark those of the tasks."""
+    """The sums by key of what part_of(batch) gives (key, array of whole numbers): tasks add their own up, and one task a key those of the tasks."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(total: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(total), type=pa.int32()), pa.array([v.tobytes() for v in total.values()], type=pa.binary())], names=["key", "v"])
+
+    def added(pairs) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for key, values in part_of(batch):
-                total[key] = total[key] + values if key in total else values
-        for key, values in total.items():
-            at = np.flatnonzero(values)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), key), type=pa.int32()), pa.array(at, type=pa.int32()), pa.array(values[at], type=pa.int64())], names=["key", "at", "v"])
+        for key, values in pairs:
+            if key in total:
+                total[key] += values
+            else:
+                total[key] = values.copy()
+        yield rows(total)
 
-    out: dict[int, np.ndarray] = {}
-    for r in vectors.mapInArrow(run, "key int, at int, v long").groupBy("key", "at").agg(F.sum("v").alias("v")).toLocalIterator():
-        out.setdefault(r["key"], np.zeros((1 << BUCKETS_LOG2) + 1, dtype=np.int64))[r["at"]] = r["v"]
-    return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return added(pair for batch in batches if batch.num_rows for pair in part_of(batch))
 
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return added((k, np.frombuffer(v, dtype=np.int64)) for b in batches for k, v in zip(b.column("key").to_pylist(), b.column("v").to_pylist(), strict=True))
 
-def _whole(owner: np.ndarray, bucket: np.ndarray, values: np.ndarray, keep: np.ndarray) -> np.ndarray:
-    """Sums by bucket, in units, of the entries whose owner is kept; the last place counts the owners."""
-    some = keep[owner]
-    out = np.zeros((1 << BUCKETS_LOG2) + 1, dtype=np.int64)
-    np.add.at(out, bucket[some], np.rint(values[some] * UNIT).astype(np.int64))
-    out[-1] = keep.sum()
-    return out
+    got = vectors.mapInArrow(run, "key int, v binary").repartition("key").mapInArrow(merge, "key int, v binary").collect()
+    return {r["key"]: np.frombuffer(r["v"], dtype=np.int64) for r in got}
+
+
+def _whole(key: np.ndarray, keys: int, values: np.ndarray) -> np.ndarray:
+    """Sums by key of a batch's values, in units; whole numbers of this size are exact in doubles."""
+    return np.bincount(key, weights=np.rint(values * UNIT), minlength=keys).astype(np.int64)
 
 
 def fit_topics(vectors: DataFrame, topics: int = TOPICS) -> Topics | None:
@@ -142,8 +160,9 @@ def fit_topics(vectors: DataFrame, topics: int = TOPICS) -> Topics | None:
         owner, bucket, share = _sparse(batch)
         lang = np.array([code[v] for v in batch.column("lang").to_pylist()])
         for i in np.unique(lang):
-            yield int(i), _whole(owner, bucket, share, lang == i)
-        yield -1, _whole(owner, bucket, np.full(len(bucket), 1 / UNIT), np.ones(batch.num_rows, dtype=bool))
+            some = (lang == i)[owner]
+            yield int(i), np.append(_whole(bucket[some], size, share[some]), (lang == i).sum())
+        yield -1, np.append(np.bincount(bucket, minlength=size), batch.num_rows)
 
     sums = _summed(vectors, counted)
     seen = sums.pop(-1)
@@ -151,46 +170,62 @@ def fit_topics(vectors: DataFrame, topics: int = TOPICS) -> Topics | None:
     means = np.stack([rarity * (sums[i][:size] / UNIT) / sums[i][size] for i in range(len(named))])
     square = (means**2).sum(axis=1)
 
-    def unit(batch: pa.RecordBatch):
+    def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Entries scaled so that the vectors, less their language's mean, have length one; language and scale of each."""
-        owner, bucket, share = _sparse(batch)
-        lang = np.array([code[v] for v in batch.column("lang").to_pylist()], dtype=np.int64)
-        x = share * rarity[bucket]
-        n = batch.num_rows
-        length = np.bincount(owner, weights=x * x - 2 * x * means[lang[owner], bucket], minlength=n) + square[lang]
-        scale = 1 / np.sqrt(np.maximum(length, 1e-24))
-        return owner, bucket, x * scale[owner], lang, scale
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            owner, bucket, share = _sparse(batch)
+            lang = np.array([code[v] for v in batch.column("lang").to_pylist()], dtype=np.int64)
+            x = share * rarity[bucket]
+            own = np.bincount(owner, weights=x * x, minlength=batch.num_rows)
+            length = own - 2 * np.bincount(owner, weights=x * means[lang[owner], bucket], minlength=batch.num_rows) + square[lang]
+            scale = np.where(length > np.maximum(1e-6 * own, 1e-12), 1 / np.sqrt(np.maximum(length, 1e-12)), 0)  # what is its language's mean has no direction
+            ends = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            arrays = [batch.column("digest"), pa.array(lang, type=pa.int32()), pa.array(scale), batch.column("bucket"), _packed((x * scale[owner]).astype(np.float32), ends)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["digest", "lang", "scale", "bucket", "x"])
+
+    units = common.stash(vectors.mapInArrow(scaled, UNITS), "mix-units")
 
     def near(batch: pa.RecordBatch, centres: np.ndarray):
-        owner, bucket, x, lang, scale = unit(batch)
-        mean = means @ centres.T
-        return owner, bucket, x, lang, scale, np.stack([np.bincount(owner, weights=x * c[bucket], minlength=batch.num_rows) for c in centres], axis=1) - mean[lang] * scale[:, None]
+        bucket, ends = _unpacked(batch.column("bucket"), np.int16)
+        x = _unpacked(batch.column("x"), np.float32)[0].astype(np.float64)
+        lang, scale = batch.column("lang").to_numpy(), batch.column("scale").to_numpy()
+        table, by = np.ascontiguousarray(centres.T), np.empty((batch.num_rows, len(centres)))
+        for i in range(0, batch.num_rows, 32):  # so many entries times centres stay in a core's cache
+            to = ends[i : i + 33]
+            by[i : i + 32] = np.add.reduceat(table[bucket[to[0] : to[-1]]] * x[to[0] : to[-1], None], to[:-1] - to[0])
+        return bucket, ends, x, lang, scale, by - (means @ centres.T)[lang] * scale[:, None]
 
     def drawn(centres: np.ndarray | None) -> np.ndarray | None:
         """A vector far from the centres, with odds by the square of the distance: the least of exponential times, which follow from the digests."""
         turn = 0 if centres is None else len(centres)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best = None
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                gap = np.ones(batch.num_rows) if centres is None else np.maximum(1 - near(batch, centres)[5].max(axis=1), 0).round(9) ** 2
+                gap = np.ones(batch.num_rows) if centres is None else np.maximum(1 - near(batch, centres)[5].max(axis=1), 0).round(6) ** 2
+                gap *= batch.column("scale").to_numpy() > 0
                 u = np.array([(int(hashlib.md5(f"{turn}:{d}".encode()).hexdigest()[:13], 16) + 1) / float((1 << 52) + 1) for d in batch.column("digest").to_pylist()])
                 time = np.divide(-np.log(u), gap, out=np.full(len(gap), np.inf), where=gap > 0)
-                i = int(time.argmin())
-                if np.isfinite(time[i]):
-                    yield pa.RecordBatch.from_arrays([pa.array([time[i]]), *(batch.column(c).slice(i, 1) for c in ("digest", "lang", "bucket", "n"))], names=["time", "digest", "lang", "bucket", "n"])
-
-        r = vectors.mapInArrow(run, f"time double, {VECTOR}").agg(F.min(F.struct("time", "digest", F.coalesce("lang", F.lit("")).alias("l"), "lang", "bucket", "n")).alias("r")).first()["r"]
+                for i in np.flatnonzero(time == time.min()).tolist() if np.isfinite(time.min()) else ():
+                    key = (float(time[i]), batch.column("digest")[i].as_py(), batch.column("lang")[i].as_py())
+                    if best is None or key < best[0]:
+                        best = key, pa.RecordBatch.from_arrays([pa.array([time[i]]), *(batch.column(c).slice(i, 1) for c in batch.schema.names)], names=["time", *batch.schema.names])
+            if best is not None:
+                yield best[1]
+
+        r = units.mapInArrow(run, f"time double, {UNITS}").agg(F.min(F.struct("time", "digest", "lang", "scale", "bucket", "x")).alias("r")).first()["r"]
         if r is None:
             return None
-        one = pa.RecordBatch.from_arrays([pa.array([r["lang"]], type=pa.string()), pa.array([r["bucket"]], type=pa.list_(pa.int32())), pa.array([r["n"]], type=pa.list_(pa.int32()))], names=["lang", "bucket", "n"])
-        _, bucket, x, lang, scale = unit(one)
-        v = -means[lang[0]] * scale[0]
-        v[bucket] += x
+        v = -means[r["lang"]] * r["scale"]
+        v[np.frombuffer(r["bucket"], dtype=np.int16)] += np.frombuffer(r["x"], dtype=np.float32)
         return v
 
-    centres = drawn(None)[None]
+    centres = drawn(None)
+    centres = np.zeros((1, size)) if centres is None else centres[None]
     while len(centres) < topics:
         more = drawn(centres)
         centres = np.vstack((centres, centres[0] if more is None else more))
@@ -198,28 +233,19 @@ def fit_topics(vectors: DataFrame, topics: int = TOPICS) -> Topics | None:
     for _ in range(MEANS_ROUNDS):
 
         def added(batch: pa.RecordBatch, centres=centres):
-            if not batch.num_rows:
-                return
-            owner, bucket, x, lang, scale, by = near(batch, centres)
-            of = by.round(9).argmax(axis=1)
-            for k in np.unique(of):
-                yield int(k), _whole(owner, bucket, x, of == k)
-                own = np.zeros(size + 1, dtype=np.int64)  # of each language the sum of the scales, at its place
-                for i in np.unique(lang[of == k]):
-                    yield topics + int(k) * len(named) + int(i), np.concatenate(([np.rint(scale[(of == k) & (lang == i)] * UNIT / 1024).astype(np.int64).sum()], own[1:]))
-
-        sums, last = _summed(vectors, added), centres.copy()
-        centres = centres.copy()
-        for k in range(topics):
-            if k in sums:
-                total = sums[k][:size] / UNIT
-                for i in range(len(named)):
-                    if (at := topics + k * len(named) + i) in sums:
-                        total = total - means[i] * (sums[at][0] / UNIT * 1024)
-                if np.linalg.norm(total) > 0:
-                    centres[k] = total / np.linalg.norm(total)
+            bucket, ends, x, lang, scale, by = near(batch, centres)
+            of = by.round(6).argmax(axis=1)
+            yield from enumerate(_whole(np.repeat(of << BUCKETS_LOG2, np.diff(ends)) + bucket, topics * size, x).reshape(topics, size))
+            yield topics, _whole(of * len(named) + lang, topics * len(named), scale / 1024)  # the scales, by topic and language
+
+        sums, last = _summed(units, added), centres
+        total = np.stack([sums[k] for k in range(topics)]) / UNIT - (sums[topics].reshape(topics, len(named)) / UNIT * 1024) @ means
+        length = np.linalg.norm(total, axis=1)
+        some = length > 0
+        centres = np.where(some[:, None], total / np.where(some, length, 1)[:, None], last)
         if np.array_equal(last, centres):
             break
+    common.drop_stash(units)
     return Topics((centres * rarity).T, {lang: centres @ means[i] for i, lang in enumerate(named)}, np.zeros(topics))
 
 
