@@ -25,8 +25,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +36,7 @@ from siltstone import lineage
 FETCH = "url string, seq long, status int, raw string, last_modified string, is_error boolean, stored_hash string"
 OUTCOME = "url string, seq long, action string, raw_hash string, content_hash string, last_modified string, skip_reason string"
 RECORD = T.StructType([T.StructField(n, T.StringType()) for n in ("raw_hash", "content_hash", "last_modified", "skip_reason")])
+Outcome = Row("url", "seq", "action", "raw_hash", "content_hash", "last_modified", "skip_reason")
 #: Characters under which a text is no page.
 SHORT = 100
 
@@ -94,17 +94,15 @@ class Pages(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.kept = handle.getValueState("record", RECORD)
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fetches = sorted((f for frame in rows for f in frame.itertuples(index=False)), key=lambda f: f.seq)
-        record, out = (tuple(self.kept.get()) if self.kept.exists() else None), []
-        for f in fetches:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        kept = record = tuple(self.kept.get()) if self.kept.exists() else None
+        for f in sorted(rows, key=lambda f: f.seq):
             action, record = judged(record, f, self.cutoff, self.short)
-            out.append((key[0], f.seq, action, *(record or (None,) * 4)))
-        if record is None:
+            yield Outcome(key[0], f.seq, action, *(record or (None,) * 4))
+        if record is None and kept is not None:
             self.kept.clear()
-        else:
+        elif record != kept:
             self.kept.update(record)
-        yield pd.DataFrame(out, columns=["url", "seq", "action", "raw_hash", "content_hash", "last_modified", "skip_reason"], dtype=object)
 
     def close(self) -> None:
         pass
@@ -113,7 +111,7 @@ class Pages(StatefulProcessor):
 def outcomes(fetches: DataFrame, cutoff: str, short: int = SHORT) -> DataFrame:
     """The outcomes of a stream of fetches. The session's state store must hold processors (see ``run``)."""
     lineage.ship(fetches.sparkSession)
-    return fetches.where("url is not null").groupBy("url").transformWithStateInPandas(Pages(cutoff, short), OUTCOME, outputMode="append", timeMode="none")
+    return fetches.where("url is not null").groupBy("url").transformWithState(Pages(cutoff, short), OUTCOME, outputMode="append", timeMode="none")
 
 
 def run(spark, landed: str, out: str, checkpoint: str, cutoff: str, short: int = SHORT, files_a_batch: int = 1000) -> None:

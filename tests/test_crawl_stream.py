@@ -77,3 +77,36 @@ def test_replays_equal_batch_plans_and_go_on_after_a_restart(spark, tmp_path):
     assert sorted(map(tuple, got.select("url", "seq", "action", "raw_hash", "content_hash", "last_modified", "skip_reason").collect()), key=repr) == sorted(want, key=repr)
     assert len({w[2] for w in want}) == 7
     assert sorted(map(tuple, crawl.records(got).collect()), key=repr) == sorted(map(tuple, state.collect()), key=repr)
+
+
+def test_pages_take_rows_one_by_one_and_write_what_changed():
+    """A page costs no frame of its own, and a record that stays is not written again."""
+
+    class Kept:
+        value, calls = None, []
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, v):
+            self.value = v
+            self.calls.append("update")
+
+        def clear(self):
+            self.value = None
+            self.calls.append("clear")
+
+    pages = crawl.Pages(CUT, crawl.SHORT)
+    pages.kept = kept_now = Kept()
+
+    def taken(*fetches):
+        return [(r["seq"], r["action"]) for r in pages.handleInputRows(("u",), iter(fetches), None)]
+
+    assert taken(fetch(status=503)) == [(1, "fail")] and kept_now.calls == []
+    assert taken(fetch(seq=3, stored_hash=OUT), fetch(seq=2)) == [(2, "convert"), (3, "skip")] and kept_now.calls == ["update"]
+    assert taken(fetch(seq=4, status=304, raw=None, stored_hash=OUT)) == [(4, "skip")] and kept_now.calls == ["update"]
+    assert taken(fetch(seq=5, last_modified="2020-01-01")) == [(5, "expired")] and kept_now.calls == ["update", "clear"]
+    assert taken(fetch(seq=6, last_modified="2020-01-01")) == [(6, "expired")] and kept_now.calls == ["update", "clear"]
